@@ -304,19 +304,28 @@ def _refill(text: str | None, leaves) -> str | None:
     return filled if value is text else json.dumps(filled, ensure_ascii=False, separators=(",", ":"))
 
 
+@F.pandas_udf(T.ArrayType(T.ArrayType(T.StringType())))
+def _json_leaves(documents: pd.Series) -> pd.Series:
+    return documents.map(lambda texts: None if texts is None else [_leaves(text) for text in texts])
+
+
 @F.pandas_udf(T.ArrayType(T.StringType()))
-def _json_leaves(texts: pd.Series) -> pd.Series:
-    return texts.map(_leaves)
+def _json_refill(documents: pd.Series, leaves: pd.Series) -> pd.Series:
+    def refill(texts, found):
+        return None if texts is None else [_refill(text, strings) for text, strings in zip(texts, found)]
+
+    return pd.Series([refill(texts, found) for texts, found in zip(documents, leaves)], dtype=object)
 
 
-@F.pandas_udf(T.StringType())
-def _json_refill(texts: pd.Series, leaves: pd.Series) -> pd.Series:
-    return pd.Series([_refill(text, found) for text, found in zip(texts, leaves)], dtype=object)
+def scrub_json_list(c: Column) -> Column:
+    """Scrub each JSON document of an array. Python only takes the strings out and puts them back; the rules that
+    scrub them stay native."""
+    return _json_refill(c, F.transform(_json_leaves(c), lambda strings: F.transform(strings, scrub_string)))
 
 
 def scrub_json(c: Column) -> Column:
-    """Scrub a JSON document of any shape. Python only takes strings out and puts them back; the rules stay native."""
-    return _json_refill(c, F.transform(_json_leaves(c), scrub_string))
+    """Scrub a JSON document of any shape."""
+    return F.when(c.isNotNull(), F.get(scrub_json_list(F.array(c)), F.lit(0)))
 
 
 def pii_findings(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
