@@ -1,5 +1,5 @@
 """Registered queries: each operator over the given tables, with the SQL that must agree with it."""
 
-from workload import delivery, metrics, performance, traces
+from workload import delivery, metrics, performance, pii, privacy, traces
 
-REGISTRY = {**performance.QUERIES, **metrics.QUERIES, **delivery.QUERIES, **traces.QUERIES}
+REGISTRY = {**performance.QUERIES, **metrics.QUERIES, **delivery.QUERIES, **traces.QUERIES, **privacy.QUERIES, **pii.QUERIES}
