@@ -154,8 +154,11 @@ def passes_luhn(digits: Column) -> Column:
 
 def is_card(digits: Column) -> Column:
     """13 to 19 digits with a card network's prefix and a valid check digit."""
-    shaped = F.length(digits).between(13, MAX_CARD_DIGITS) & digits.rlike(CARD_PREFIX)
-    return F.when(shaped, passes_luhn(digits)).otherwise(False)
+    def check(d: Column) -> Column:
+        shaped = F.length(d).between(13, MAX_CARD_DIGITS) & d.rlike(CARD_PREFIX)
+        return F.when(shaped, passes_luhn(d)).otherwise(False)
+
+    return let(digits, check)
 
 
 def _scrub_run(run: Column) -> Column:
@@ -236,7 +239,16 @@ def is_sensitive_key(name: Column) -> Column:
     return F.coalesce(plain.rlike("|".join(SENSITIVE_WORDS)), F.lit(False))
 
 
+def _has_text(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.StructType):
+        return any(sensitive_name(f.name) or _has_text(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, T.ArrayType):
+        return _has_text(dtype.elementType)
+    return isinstance(dtype, (T.StringType, T.MapType))
+
+
 def _scrub_typed(c: Column, dtype: T.DataType, name: str) -> Column:
+    """Any nesting, one level at a time. Array elements go by their array's name."""
     if sensitive_name(name):
         return F.when(c.isNotNull(), F.lit(REDACTED))
     if isinstance(dtype, T.StringType):
@@ -244,13 +256,13 @@ def _scrub_typed(c: Column, dtype: T.DataType, name: str) -> Column:
     if isinstance(dtype, T.ArrayType):
         return F.transform(c, lambda e: _scrub_typed(e, dtype.elementType, name))
     if isinstance(dtype, T.MapType):
-        if isinstance(dtype.valueType, T.StringType):
-            return F.transform_values(
-                c, lambda k, v: F.when(is_sensitive_key(k) & v.isNotNull(), REDACTED).otherwise(scrub_string(v))
-            )
-        # A redacted value is text, so a map of anything else can only lose its sensitive entries' values.
+        # A redacted value is text; in a map of anything else it can only be emptied.
+        redacted = F.lit(REDACTED) if isinstance(dtype.valueType, T.StringType) else F.lit(None)
         return F.transform_values(
-            c, lambda k, v: F.when(~is_sensitive_key(k), _scrub_typed(v, dtype.valueType, ""))
+            c,
+            lambda k, v: F.when(is_sensitive_key(k) & v.isNotNull(), redacted).otherwise(
+                _scrub_typed(v, dtype.valueType, "")
+            ),
         )
     if isinstance(dtype, T.StructType):
         fields = [_scrub_typed(c[f.name], f.dataType, f.name).alias(f.name) for f in dtype.fields]
@@ -258,74 +270,181 @@ def _scrub_typed(c: Column, dtype: T.DataType, name: str) -> Column:
     return c
 
 
-def scrub_columns(df: DataFrame, cols: list[str] | None = None, json_cols: tuple[str, ...] = ()) -> DataFrame:
-    """Scrub typed columns by their schema, and the named JSON text columns as documents."""
-    chosen = df.columns if cols is None else cols
-    scrubbed = {
-        f.name: scrub_json(F.col(f.name)) if f.name in json_cols else _scrub_typed(F.col(f.name), f.dataType, f.name)
-        for f in df.schema.fields
-        if f.name in chosen
-    }
-    return df.withColumns(scrubbed)
-
-
-def _walk(value, name: str, leaf):
-    """Rebuild a JSON value with ``leaf`` applied to its strings and sensitive entries redacted."""
-    if sensitive_name(name):
-        return REDACTED
-    if isinstance(value, dict):
-        return {key: _walk(item, key, leaf) for key, item in value.items()}
-    if isinstance(value, list):
-        return [_walk(item, name, leaf) for item in value]
-    return leaf(value) if isinstance(value, str) else value
+Slots = list[Column]
+Rebuild = Callable[[Callable[[int], Column]], Column]
 
 
-def _parse(text: str):
-    """A JSON value, or the text itself when it is not JSON."""
-    try:
-        return json.loads(text)
-    except ValueError:
-        return text
+def _slot(slots: Slots, texts: Column) -> int:
+    slots.append(texts)
+    return len(slots) - 1
 
 
-def _leaves(text: str | None) -> list[str] | None:
-    if text is None:
-        return None
-    found: list[str] = []
-    _walk(_parse(text), "", lambda s: found.append(s) or s)
-    return found
+def _plan(c: Column, dtype: T.DataType, name: str, slots: Slots, pieces: dict[str, Column]) -> Rebuild:
+    """Hand a column's strings over to ``slots``, and say how the column is put together again from them.
+
+    ``pieces`` holds the taken-apart documents of columns that are JSON text.
+    """
+    if sensitive_name(name.rsplit(".", 1)[-1]):
+        return lambda get: F.when(c.isNotNull(), F.lit(REDACTED))
+    if name in pieces:
+        found = pieces[name]
+        i = _slot(slots, F.transform(found, lambda p: p["text"]))
+        return lambda get: F.when(c.isNotNull(), _joined(found, get(i)))
+    if isinstance(dtype, T.StringType):
+        i = _slot(slots, F.array(c))
+        return lambda get: F.get(get(i), F.lit(0))
+    if isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.StringType):
+        i = _slot(slots, c)
+        return lambda get: get(i)
+    if isinstance(dtype, T.MapType) and isinstance(dtype.valueType, T.StringType):
+        i = _slot(slots, F.map_values(c))
+
+        def remap(get):
+            def value(k, v):
+                return F.when(is_sensitive_key(k) & v.isNotNull(), REDACTED).otherwise(v)
 
+            return F.map_from_arrays(F.map_keys(c), F.zip_with(F.map_keys(c), get(i), value))
 
-def _refill(text: str | None, leaves) -> str | None:
+        return remap
+    if isinstance(dtype, T.StructType):
+        parts = {f.name: _plan(c[f.name], f.dataType, f"{name}.{f.name}", slots, pieces) for f in dtype.fields}
+        return lambda get: F.when(c.isNotNull(), F.struct(*[part(get).alias(n) for n, part in parts.items()]))
+    if isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.StructType):
+        fields = dtype.elementType.fields
+        if all(isinstance(f.dataType, T.StringType) or not _has_text(f.dataType) for f in fields):
+            return _plan_records(c, fields, name, slots, pieces)
+    if _has_text(dtype):
+        return lambda get: _scrub_typed(c, dtype, name)
+    return lambda get: c
+
+
+def _plan_records(c: Column, fields: list[T.StructField], name: str, slots: Slots, pieces: dict[str, Column]) -> Rebuild:
+    """An array of flat records: one slot per text field, holding that field of every record."""
+
+    def picker(f: T.StructField):
+        path = f"{name}.{f.name}"
+        if path in pieces:
+            found = pieces[path]
+            i = _slot(slots, F.transform(found, lambda p: p["text"]))
+            return lambda e, at, get: F.when(e[f.name].isNotNull(), _joined(found, get(i), at))
+        if sensitive_name(f.name):
+            return lambda e, at, get: F.when(e[f.name].isNotNull(), F.lit(REDACTED))
+        if isinstance(f.dataType, T.StringType):
+            i = _slot(slots, F.transform(c, lambda e: e[f.name]))
+            return lambda e, at, get: F.get(get(i), at)
+        return lambda e, at, get: e[f.name]
+
+    pickers = {f.name: picker(f) for f in fields}
+
+    def rebuild(get):
+        return F.transform(
+            c, lambda e, at: F.struct(*[pick(e, at, get).alias(n) for n, pick in pickers.items()])
+        )
+
+    return rebuild
+
+
+def scrub_columns(df: DataFrame, cols: list[str] | None = None, json_cols: tuple[str, ...] = ()) -> DataFrame:
+    """Scrub typed columns by their schema, and the named JSON text columns as documents (``trail.data`` names the
+    ``data`` of the records of an array ``trail``).
+
+    The strings of all columns are scrubbed together, so a wide record costs one copy of the rules in the plan.
+    """
+    chosen = [f for f in df.schema.fields if cols is None or f.name in cols]
+    documents = {}
+    for path in json_cols:
+        top, _, field = path.partition(".")
+        texts = F.transform(top, lambda e: e[field]) if field else F.array(top)
+        documents[path] = _json_pieces(texts)
+    held = {f"__pieces_{i}": d for i, d in enumerate(documents.values())}
+    pieces = {path: F.col(f"__pieces_{i}") for i, path in enumerate(documents)}
+    slots: Slots = []
+    plans = {f.name: _plan(F.col(f.name), f.dataType, f.name, slots, pieces) for f in chosen}
+    taken = df.withColumns(held) if held else df
+    if slots:
+        taken = taken.withColumn("__slots", F.transform(F.array(*slots), lambda s: F.transform(s, scrub_string)))
+    done = {n: plan(lambda i: F.get(F.col("__slots"), F.lit(i))) for n, plan in plans.items()}
+    return taken.withColumns(done).drop("__slots", *held)
+
+
+def _write(value, name: str, raw: list[str], pieces: list[tuple]) -> None:
+    """Write a JSON value as pieces: text that stays as it is, each followed by a string still to be scrubbed."""
+    if sensitive_name(name):
+        raw.append(json.dumps(REDACTED))
+    elif isinstance(value, dict):
+        for i, (key, item) in enumerate(value.items()):
+            raw.append(("," if i else "{") + json.dumps(key, ensure_ascii=False) + ":")
+            _write(item, key, raw, pieces)
+        raw.append("}" if value else "{}")
+    elif isinstance(value, list):
+        for i, item in enumerate(value):
+            raw.append("," if i else "[")
+            _write(item, name, raw, pieces)
+        raw.append("]" if value else "[]")
+    elif isinstance(value, str):
+        pieces.append(("".join(raw), value, True))
+        raw.clear()
+    else:
+        raw.append(json.dumps(value))
+
+
+def _pieces(text: str | None) -> list[tuple] | None:
+    """(unchanged text, string to scrub, whether it needs quotes) of a document; text that is no JSON is one string."""
     if text is None:
         return None
-    value, rest = _parse(text), iter(leaves)
-    filled = _walk(value, "", lambda s: next(rest))
-    return filled if value is text else json.dumps(filled, ensure_ascii=False, separators=(",", ":"))
+    try:
+        value = json.loads(text)
+    except ValueError:
+        return [("", text, False)]
+    raw, pieces = [], []
+    _write(value, "", raw, pieces)
+    return [*pieces, ("".join(raw), None, False)]
+
+
+_PIECE = T.StructType(
+    [
+        T.StructField("document", T.IntegerType()),
+        T.StructField("raw", T.StringType()),
+        T.StructField("text", T.StringType()),
+        T.StructField("quoted", T.BooleanType()),
+    ]
+)
+
+
+@F.pandas_udf(T.ArrayType(_PIECE))
+def _json_pieces(lists: pd.Series) -> pd.Series:
+    """The documents of each array, taken apart. Python does no more than that; the rules stay native."""
 
+    def split(texts):
+        if texts is None:
+            return None
+        return [dict(zip(_PIECE.names, (i, *p))) for i, t in enumerate(texts) if t is not None for p in _pieces(t)]
 
-@F.pandas_udf(T.ArrayType(T.ArrayType(T.StringType())))
-def _json_leaves(documents: pd.Series) -> pd.Series:
-    return documents.map(lambda texts: None if texts is None else [_leaves(text) for text in texts])
+    return lists.map(split)
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _json_refill(documents: pd.Series, leaves: pd.Series) -> pd.Series:
-    def refill(texts, found):
-        return None if texts is None else [_refill(text, strings) for text, strings in zip(texts, found)]
+def _json_quoted(c: Column) -> Column:
+    return F.regexp_extract(F.to_json(F.struct(c.alias("s"))), r'(?s)\A\{"s":(.*)\}\z', 1)
 
-    return pd.Series([refill(texts, found) for texts, found in zip(documents, leaves)], dtype=object)
 
+def _joined(pieces: Column, texts: Column, document: Column | None = None) -> Column:
+    """A document put together from its pieces and their scrubbed texts."""
 
-def scrub_json_list(c: Column) -> Column:
-    """Scrub each JSON document of an array. Python only takes the strings out and puts them back; the rules that
-    scrub them stay native."""
-    return _json_refill(c, F.transform(_json_leaves(c), lambda strings: F.transform(strings, scrub_string)))
+    def write(p: Column, t: Column) -> Column:
+        written = F.concat(p["raw"], F.coalesce(F.when(p["quoted"], _json_quoted(t)).otherwise(t), F.lit("")))
+        return written if document is None else F.when(p["document"] == document, written)
+
+    # array_join leaves out the nulls of other documents' pieces.
+    return F.array_join(F.zip_with(pieces, texts, write), "")
 
 
 def scrub_json(c: Column) -> Column:
     """Scrub a JSON document of any shape."""
-    return F.when(c.isNotNull(), F.get(scrub_json_list(F.array(c)), F.lit(0)))
+
+    def rebuild(pieces: Column) -> Column:
+        return _joined(pieces, F.transform(pieces, lambda p: scrub_string(p["text"])))
+
+    return F.when(c.isNotNull(), let(_json_pieces(F.array(c)), rebuild))
 
 
 def pii_findings(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

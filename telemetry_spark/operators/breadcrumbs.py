@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telemetry_spark.config import TRAIL_SLACK_SECONDS, Config
-from telemetry_spark.functions.pii import scrub_json_list, scrub_string
+from telemetry_spark.functions.pii import scrub_columns
 from telemetry_spark.functions.timefmt import micros, time_bucket
 from telemetry_spark.plans.asof import latest_as_of
 from telemetry_spark.plans.caps import first_n
@@ -111,22 +111,6 @@ def resolve_user(
     return known.withColumn("user", F.coalesce(F.col("user"), F.col("__current"))).drop("__current")
 
 
-def scrub_breadcrumbs(c: Column) -> Column:
-    """A trail with its texts and its free-form data scrubbed."""
-    data = scrub_json_list(F.transform(c, lambda e: e["data"]))
-
-    def clean(entry: Column, scrubbed: Column) -> Column:
-        return F.struct(
-            scrub_string(entry["category"]).alias("category"),
-            scrub_string(entry["message"]).alias("message"),
-            scrub_string(entry["level"]).alias("level"),
-            entry["timestamp"].alias("timestamp"),
-            scrubbed.alias("data"),
-        )
-
-    return F.zip_with(c, data, clean)
-
-
 def scrub_trails(trails: DataFrame, cfg: Config = Config()) -> DataFrame:
-    """Trails the way they are persisted: scrubbed, unless scrubbing is off."""
-    return trails.withColumn("breadcrumbs", scrub_breadcrumbs(F.col("breadcrumbs"))) if cfg.scrub else trails
+    """Trails the way they are persisted: texts and free-form data scrubbed, unless scrubbing is off."""
+    return scrub_columns(trails, ["breadcrumbs"], json_cols=("breadcrumbs.data",)) if cfg.scrub else trails

@@ -15,11 +15,14 @@ from telemetry_spark.functions.privacy import (
     user_id_only,
 )
 from telemetry_spark.functions.sqltext import mask_sql, sql_objects, statement_in
-from telemetry_spark.operators.breadcrumbs import scrub_breadcrumbs
 from telemetry_spark.operators.delivery import filter_enabled
 
 DEFAULT_CLASS = "NSException"  # fixed value
 SOURCE_KEYS = ("context_line", "pre_context", "post_context")  # fixed values
+SCRUBBED = (
+    "exception_class", "message", "backtrace", "environment", "release", "server_name", "context", "tags", "sdk_name",
+    "breadcrumbs", "sql_objects", "sql_statement",
+)
 DROPPED_WHEN_STRICT = ("breadcrumbs", "endpoint", "sql_statement")  # fixed values
 
 
@@ -69,13 +72,10 @@ def with_defaults(df: DataFrame, cfg: Config) -> DataFrame:
 
 def scrub_events(df: DataFrame) -> DataFrame:
     """Scrub every attribute that can hold text, the user and the trace id excepted: those are sent as they are."""
-    plain = [c for c in df.columns if c in ("exception_class", "message", "backtrace", "environment", "release",
-                                            "server_name", "sdk_name", "sql_objects", "sql_statement")]
     documents = tuple(c for c in ("context", "tags") if c in df.columns)
-    scrubbed = scrub_columns(df, [*plain, *documents], json_cols=documents)
     if "breadcrumbs" in df.columns:
-        scrubbed = scrubbed.withColumn("breadcrumbs", scrub_breadcrumbs(F.col("breadcrumbs")))
-    return scrubbed
+        documents += ("breadcrumbs.data",)
+    return scrub_columns(df, [c for c in SCRUBBED if c in df.columns], json_cols=documents)
 
 
 def build_events(df: DataFrame, cfg: Config = Config()) -> DataFrame:

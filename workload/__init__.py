@@ -1,5 +1,14 @@
 """Registered queries: each operator over the given tables, with the SQL that must agree with it."""
 
-from workload import delivery, metrics, performance, pii, privacy, traces
+from workload import delivery, events, metrics, performance, pii, privacy, sqltext, traces
 
-REGISTRY = {**performance.QUERIES, **metrics.QUERIES, **delivery.QUERIES, **traces.QUERIES, **privacy.QUERIES, **pii.QUERIES}
+REGISTRY = {
+    **performance.QUERIES,
+    **metrics.QUERIES,
+    **delivery.QUERIES,
+    **traces.QUERIES,
+    **privacy.QUERIES,
+    **pii.QUERIES,
+    **sqltext.QUERIES,
+    **events.QUERIES,
+}
