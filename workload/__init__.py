@@ -1,6 +1,6 @@
 """Registered queries: each operator over the given tables, with the SQL that must agree with it."""
 
-from workload import delivery, events, metrics, performance, pii, privacy, sqltext, traces
+from workload import delivery, events, metrics, performance, pii, privacy, sqltext, streams, traces
 
 REGISTRY = {
     **performance.QUERIES,
@@ -11,4 +11,5 @@ REGISTRY = {
     **pii.QUERIES,
     **sqltext.QUERIES,
     **events.QUERIES,
+    **streams.QUERIES,
 }
