@@ -93,8 +93,9 @@ class UserState(StatefulProcessor):
 class TraceAssembler(StatefulProcessor):
     """Holds a trace's spans until its root comes, then sends them, root first, if the trace was slow.
 
-    Rows: ``at``, ``seq``, ``span_id``, ``is_root``, ``duration_ms``, ``span`` (JSON text). The first root finishes
-    the trace; spans after it are dropped, as are those beyond the cap. Unfinished and closed traces expire.
+    Rows: ``at`` (with a watermark), ``seq``, ``is_root``, ``duration_ms``, ``span`` (JSON text). The first root
+    finishes the trace; spans after it are dropped, as are those beyond the cap. A trace is forgotten, finished or
+    not, once the watermark is ``ttl_ms`` past its first row.
     """
 
     SCHEMA = "trace_id string, spans int, root string, rest array<string>"
@@ -103,15 +104,19 @@ class TraceAssembler(StatefulProcessor):
         self.threshold_s, self.limit, self.ttl_ms = threshold_s, limit, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.spans = handle.getListState("spans", "span string", self.ttl_ms)
-        self.closed = handle.getValueState("closed", "closed boolean", self.ttl_ms)
+        self.handle = handle
+        self.spans = handle.getListState("spans", "span string")
+        self.closed = handle.getValueState("closed", "closed boolean")
 
     def handleInputRows(self, key, rows, timerValues):
         if self.closed.exists():
             return
+        ordered = _ordered(rows)
+        if not any(True for _ in self.handle.listTimers()):
+            self.handle.registerTimer(int(pd.Timestamp(ordered[0]["at"]).timestamp() * 1000) + self.ttl_ms)
         spans = [r[0] for r in self.spans.get()] if self.spans.exists() else []
         known = len(spans)
-        for row in _ordered(rows):
+        for row in ordered:
             if row["is_root"]:
                 self.closed.update((True,))
                 self.spans.clear()
@@ -124,6 +129,11 @@ class TraceAssembler(StatefulProcessor):
         if len(spans) > known:
             self.spans.appendList([(s,) for s in spans[known:]])
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.spans.clear()
+        self.closed.clear()
+        return iter([])
+
     def close(self) -> None:
         pass
 
@@ -232,11 +242,13 @@ class TallyFlusher(StatefulProcessor):
         pass
 
 
-def keyed(df: DataFrame, key: str, processor: StatefulProcessor, expires: bool = False) -> DataFrame:
-    """Run a processor over a stream, one state per key."""
+def keyed(df: DataFrame, key: str, processor: StatefulProcessor, watermark: str | None = None) -> DataFrame:
+    """Run a processor over a stream, one state per key; with a watermark on ``at`` where its state expires."""
+    if watermark is not None:
+        df = df.withWatermark("at", watermark)
     return df.groupBy(key).transformWithStateInPandas(
         statefulProcessor=processor,
         outputStructType=processor.SCHEMA,
         outputMode="Append",
-        timeMode="ProcessingTime" if expires else "None",
+        timeMode="None" if watermark is None else "EventTime",
     )

@@ -78,7 +78,7 @@ def streamed_traces(spark, sf):
         (F.col("event_type") == "purchase").alias("is_root"), (F.col("value") * 40).alias("duration_ms"),
         F.col("event_id").cast("string").alias("span"),
     )
-    found = collected(state.keyed(shaped, "trace_id", state.TraceAssembler(limit=6), expires=True), "stream-traces")
+    found = collected(state.keyed(shaped, "trace_id", state.TraceAssembler(limit=6), "10 minutes"), "stream-traces")
     return found.select("trace_id", "spans", "root", F.array_join("rest", ",").alias("rest"))
 
 
