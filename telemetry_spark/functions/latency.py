@@ -24,8 +24,13 @@ def latency_bucket(duration_ms: Column) -> Column:
 
 def bucket_counts(duration_ms: Column) -> list[Column]:
     """One counting aggregate per bucket. Plain long columns combine before the shuffle; a map would not."""
-    label = latency_bucket(duration_ms)
-    return [F.count_if(label == text).alias(name) for text, name in zip(LABELS, BUCKET_COLUMNS)]
+    lows, highs = (None, *BOUNDARIES_MS), (*BOUNDARIES_MS, None)
+    counts = []
+    for low, high, name in zip(lows, highs, BUCKET_COLUMNS):
+        inside = [duration_ms > low] if low is not None else []
+        inside += [duration_ms <= high] if high is not None else []
+        counts.append(F.count_if(reduce(lambda a, b: a & b, inside)).alias(name))
+    return counts
 
 
 def histogram_map(*counts: Column) -> Column:

@@ -89,40 +89,59 @@ def host_of(c: Column) -> Column:
     """The host of an address, or null for a relative path. By pattern, so an address no parser accepts still
     never passes through whole."""
 
-    def name(parts: Column) -> Column:
+    def take_apart(address: Column) -> Column:
+        rest = F.regexp_replace(address, SCHEME, "")
+        authority = F.regexp_replace(F.regexp_extract(rest, r"\A[^/?#]*+", 0), r"(?s)\A.*@", "")
+        return F.struct(authority.alias("authority"), address.rlike(SCHEME).alias("scheme"))
+
+    def without_port(parts: Column) -> Column:
         host = F.regexp_replace(parts["authority"], PORT, "")
-        named = parts["authority"].rlike(PORT) | host.contains(".") | (F.lower(host) == "localhost")
-        return F.when((F.length(host) > 0) & (parts["scheme"] | named), host)
+        return F.struct(host.alias("host"), (parts["scheme"] | parts["authority"].rlike(PORT)).alias("explicit"))
+
+    def name(parts: Column) -> Column:
+        host = parts["host"]
+        named = parts["explicit"] | host.contains(".") | (F.lower(host) == "localhost")
+        return F.when((F.length(host) > 0) & named, host)
 
-    rest = F.regexp_extract(F.regexp_replace(c, SCHEME, ""), r"\A[^/?#]*+", 0)
-    authority = F.regexp_replace(rest, r"(?s)\A.*@", "")
-    return let(F.struct(authority.alias("authority"), c.rlike(SCHEME).alias("scheme")), name)
+    return chain(c, take_apart, without_port, name)
 
 
 def strict_span_name(c: Column) -> Column:
     """A path reduced, ``METHOD target`` as the method and the target's host or reduced path, else unchanged."""
-    target = F.regexp_extract(c, HTTP_NAME, 2)
-    reduced = let(
-        target,
-        lambda t: F.when(t.startswith("/"), strict_path(t)).otherwise(F.coalesce(host_of(t), strict_path(t))),
-    )
-    call = F.concat_ws(" ", F.upper(F.regexp_extract(c, HTTP_NAME, 1)), reduced)
-    return F.when(c.startswith("/"), strict_path(c)).when(c.rlike(HTTP_NAME), call).otherwise(c)
+
+    def reduce(name: Column) -> Column:
+        target = F.regexp_extract(name, HTTP_NAME, 2)
+        method = F.upper(F.regexp_extract(name, HTTP_NAME, 1))
+        # One reduced path serves both a name that is a path and a call whose target is one.
+        plain = let(
+            F.struct(F.when(name.startswith("/"), name).otherwise(target).alias("t"), method.alias("method")),
+            lambda p: F.struct(p["method"].alias("method"), F.when(~p["t"].startswith("/"), host_of(p["t"])).alias("host"),
+                               strict_path(p["t"]).alias("path")),
+        )
+        called = let(plain, lambda p: F.concat(p["method"], F.lit(" "), F.coalesce(p["host"], p["path"])))
+        return F.when(name.startswith("/"), plain["path"]).when(name.rlike(HTTP_NAME), called).otherwise(name)
+
+    return let(c, reduce)
 
 
 def strict_transaction(c: Column) -> Column:
-    return F.when(is_blank(c), c).otherwise(strict_span_name(c))
+    return let(c, lambda name: F.when(is_blank(name), name).otherwise(strict_span_name(name)))
 
 
 def strict_page_url(c: Column) -> Column:
     """Scheme and host, without credentials or port, and the reduced path."""
-    scheme = F.regexp_extract(c, SCHEME, 0)
-    rest = F.regexp_replace(c, SCHEME, "")
-    host = F.regexp_replace(
-        F.regexp_replace(F.regexp_extract(rest, r"\A[^/?#]*+", 0), r"(?s)\A.*@", ""), PORT, ""
-    )
-    path = F.regexp_extract(rest, r"(?s)\A[^/?#]*+(.*)\z", 1)
-    return F.when(c.rlike(SCHEME), F.concat(scheme, host, strict_path(path))).otherwise(strict_path(c))
+
+    def split(url: Column) -> Column:
+        scheme = F.regexp_extract(url, SCHEME, 0)
+        rest = F.substr(url, F.length(scheme) + 1)
+        authority = F.regexp_replace(F.regexp_extract(rest, r"\A[^/?#]*+", 0), r"(?s)\A.*@", "")
+        absolute = F.struct(
+            F.concat(scheme, F.regexp_replace(authority, PORT, "")).alias("origin"),
+            F.regexp_extract(rest, r"(?s)\A[^/?#]*+(.*)\z", 1).alias("path"),
+        )
+        return F.when(scheme != "", absolute).otherwise(F.struct(F.lit("").alias("origin"), url.alias("path")))
+
+    return chain(c, split, lambda parts: F.concat(parts["origin"], strict_path(parts["path"])))
 
 
 def user_id_only(identifier: Column, boolean: bool = False) -> Column:

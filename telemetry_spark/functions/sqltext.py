@@ -67,19 +67,22 @@ def statement_in(info: Column, reason: Column, causes: Column | None = None, key
 
 def mask_sql(statement: Column, system: Column | None = None) -> Column:
     """String, dollar-quoted and number literals as ``?``, cut at 4000 characters; null for blank text."""
-    plain = F.regexp_replace(statement, LITERAL, "?")
-    if system is None:
-        masked = plain
-    else:
+
+    def mask(s: Column) -> Column:
+        # Every literal holds a quote, a dollar sign or a digit; a statement without any is its own mask.
+        plain = F.when(s.rlike("['$0-9]"), F.regexp_replace(s, LITERAL, "?")).otherwise(s)
+        if system is None:
+            return F.when(~is_blank(s), plain)
         quoted = F.lower(system).isin(*DOUBLE_QUOTE_SYSTEMS)
-        masked = F.when(quoted, F.regexp_replace(statement, LITERAL_WITH_DOUBLE_QUOTES, "?")).otherwise(plain)
+        fully = F.when(s.rlike("['\"$0-9]"), F.regexp_replace(s, LITERAL_WITH_DOUBLE_QUOTES, "?")).otherwise(s)
+        return F.when(~is_blank(s), F.when(quoted, fully).otherwise(plain))
 
     def cut(m: Column) -> Column:
         return F.when(
             F.length(m) > MAX_STATEMENT, F.concat(F.left(m, F.lit(MAX_STATEMENT)), F.lit("..."))
         ).otherwise(m)
 
-    return F.when(~is_blank(statement), let(masked, cut))
+    return chain(statement, mask, cut)
 
 
 def _clean_names(names: Column) -> Column:
@@ -130,5 +133,8 @@ def sql_objects(masked: Column) -> Column:
         named = (F.size(objects["procedures"]) > 0) | (F.size(objects["relations"]) > 0)
         return F.when(named | objects["operation"].isNotNull(), objects)
 
-    without_from = F.regexp_replace(masked, FROM_INSIDE_FUNCTION, " ")
-    return F.when(~is_blank(masked), chain(without_from, collect, finish, anything))
+    def parse(m: Column) -> Column:
+        without_from = F.regexp_replace(m, FROM_INSIDE_FUNCTION, " ")
+        return F.when(~is_blank(m), chain(without_from, collect, finish, anything))
+
+    return let(masked, parse)

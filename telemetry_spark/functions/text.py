@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode separators and the control characters that count as line or word breaks when trimming.
-SPACE = r"[\p{Z}\t\n\x0B\f\r\x85]"
+# The characters trimming takes off, which are Unicode's separators and the line and tab controls.
+SPACES = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -23,12 +26,12 @@ def chain(value: Column, *steps: Callable[[Column], Column]) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"\A{SPACE}++|{SPACE}++\z", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def is_blank(c: Column) -> Column:
     """True for null and for text made only of white space."""
-    return ~F.coalesce(c.rlike(r"[^\p{Z}\t\n\x0B\f\r\x85]"), F.lit(False))
+    return F.coalesce(F.length(strip(c)), F.lit(0)) == 0
 
 
 def blank_to_null(c: Column) -> Column:

@@ -13,7 +13,7 @@ from telemetry_spark.functions.text import empty_to_null, let, strip
 SPAN_KINDS = ("controller", "service", "database", "redis", "http", "job", "other")
 TRACE_ID = r"\A(?!0+\z)[0-9a-f]{32}\z"
 SPAN_ID = r"\A(?!0+\z)[0-9a-f]{16}\z"
-TRACEPARENT = r"\A00-((?!0{32})[0-9a-f]{32})-((?!0{16})[0-9a-f]{16})-[0-9a-f]{2}\z"
+TRACEPARENT = r"\A00-(?!0{32})[0-9a-f]{32}-(?!0{16})[0-9a-f]{16}-[0-9a-f]{2}\z"
 KEPT_DATA = ("db.statement", "db.system")
 
 
@@ -56,9 +56,10 @@ def traceparent(trace: Column, span: Column, existing: Column, allowed: Column)
 
 def parse_traceparent(c: Column) -> Column:
     """Trace id and parent span id of a header, null fields for a malformed one."""
+    # Version, 32 digits, 16 digits and flags stand at fixed places in a well-formed header.
+    valid = c.rlike(TRACEPARENT)
     return F.struct(
-        empty_to_null(F.regexp_extract(c, TRACEPARENT, 1)).alias("trace_id"),
-        empty_to_null(F.regexp_extract(c, TRACEPARENT, 2)).alias("parent_span_id"),
+        F.when(valid, F.substring(c, 4, 32)).alias("trace_id"), F.when(valid, F.substring(c, 37, 16)).alias("parent_span_id")
     )
 
 

@@ -136,22 +136,22 @@ def span_tree(df: DataFrame, max_depth: int = MAX_SPANS) -> DataFrame:
 
 def link_errors_to_traces(events: DataFrame, df: DataFrame) -> DataFrame:
     """Each error with its trace's root and number of spans, null for an error without a known trace."""
-    root = F.when(F.expr(IS_ROOT), F.struct("started_at", "span_id", "name", "duration_ms"))
-    traces = df.groupBy("trace_id").agg(F.min(root).alias("root"), F.count(F.lit(1)).alias("trace_spans"))
-    traces = traces.select(
-        "trace_id", F.col("root.name").alias("trace_name"), F.col("root.duration_ms").alias("trace_duration_ms"),
-        "trace_spans",
+    # Errors outside any trace share a null id; they skip the joins instead of meeting in one partition.
+    traced = events.where("trace_id is not null")
+    wanted = df.join(traced.select("trace_id").distinct(), "trace_id", "left_semi")
+    tops = roots(wanted).select(
+        "trace_id", F.col("name").alias("trace_name"), F.col("duration_ms").alias("trace_duration_ms")
     )
-    # Errors outside any trace share a null id; they skip the join instead of meeting in one partition.
-    traced = events.where("trace_id is not null").join(traces, "trace_id", "left")
+    sizes = wanted.groupBy("trace_id").agg(F.count(F.lit(1)).alias("trace_spans"))
+    traced = traced.join(sizes, "trace_id", "left").join(tops, "trace_id", "left")
     return traced.unionByName(events.where("trace_id is null"), allowMissingColumns=True)
 
 
 def stitch_traces(client: DataFrame, backend: DataFrame) -> DataFrame:
     """Backend roots under the client span whose id their ``traceparent`` names."""
-    parsed = backend.withColumn("__from", parse_traceparent(F.col("traceparent")))
-    continued = parsed.where(F.col("__from.trace_id").isNotNull()).select(
-        F.col("__from.trace_id").alias("trace_id"), F.col("__from.parent_span_id").alias("parent_span_id"),
+    parsed = parse_traceparent(F.col("traceparent"))
+    continued = backend.select(
+        parsed["trace_id"].alias("trace_id"), parsed["parent_span_id"].alias("parent_span_id"),
         F.col("span_id").alias("backend_span_id"), F.col("name").alias("backend_name"),
     )
     callers = client.select(

@@ -10,7 +10,7 @@ from telemetry_spark.functions.timefmt import iso_millis, iso_seconds
 from telemetry_spark.operators import breadcrumbs as trail
 from telemetry_spark.operators import changes as change
 from telemetry_spark.operators.events import build_events
-from telemetry_spark.plans.session import fresh_dir
+from telemetry_spark.plans.session import fresh_dir, spread
 from telemetry_spark.schemas import ERROR_EVENT
 from telemetry_spark.sources.envelopes import change_envelopes
 from telemetry_spark.sources.reports import complete_signal_reports, signal_events, write_events
@@ -47,7 +47,7 @@ p AS (SELECT x.event_id, c.event_id AS crumb, row_number() OVER (PARTITION BY x.
       FROM e x JOIN e c ON c.user_id = x.user_id AND c.epoch = x.epoch AND NOT c.is_error AND NOT c.is_clear
         AND (c.ts, c.event_id) < (x.ts, x.event_id) WHERE x.is_error),
 t AS (SELECT event_id, count(*) AS crumbs, string_agg(crumb, ',' ORDER BY n DESC) AS trail FROM p WHERE n <= 30 GROUP BY 1)
-SELECT e.event_id, coalesce(crumbs, 0) AS crumbs, coalesce(trail, '') AS trail
+SELECT e.event_id, CAST(coalesce(crumbs, 0) AS INTEGER) AS crumbs, coalesce(trail, '') AS trail
 FROM e LEFT JOIN t USING (event_id) WHERE is_error"""
 
 
@@ -65,7 +65,7 @@ WITH p AS (SELECT x.event_id, c.event_id AS crumb, row_number() OVER (PARTITION
            FROM events x JOIN events c ON c.user_id = x.user_id AND c.event_type <> 'error'
              AND (c.ts, c.event_id) < (x.ts, x.event_id) WHERE x.event_type = 'error'),
 t AS (SELECT event_id, count(*) AS crumbs, string_agg(crumb, ',' ORDER BY n DESC) AS trail FROM p WHERE n <= 30 GROUP BY 1)
-SELECT e.event_id, coalesce(crumbs, 0) AS crumbs, coalesce(trail, '') AS trail
+SELECT e.event_id, CAST(coalesce(crumbs, 0) AS INTEGER) AS crumbs, coalesce(trail, '') AS trail
 FROM events e LEFT JOIN t USING (event_id) WHERE e.event_type = 'error'"""
 
 
@@ -138,7 +138,7 @@ REPORTING = Config(
 
 def raw_errors(spark, sf):
     """Exceptions with everything an error can carry."""
-    rows = events(spark, sf).where("event_type = 'error'")
+    rows = spread(events(spark, sf).where("event_type = 'error'"))
     user = F.col("user_id").cast("string")
     crumb = F.struct(
         F.lit("payment").alias("category"), F.concat(F.lit("mailed u"), user, F.lit("@example.com")).alias("message"),
@@ -233,7 +233,7 @@ def parsed_frames(spark, sf):
     )
     frames = parse_frames(F.array(line), F.lit("Shop"))
     seed = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return table(spark, sf, "lineitem").select(seed.alias("id"), F.get(frames, F.lit(0)).alias("f")).select(
+    return spread(table(spark, sf, "lineitem")).select(seed.alias("id"), F.get(frames, F.lit(0)).alias("f")).select(
         "id", F.col("f.file").alias("file"), F.col("f.method").alias("method"), F.col("f.in_app").alias("in_app")
     )
 
@@ -249,7 +249,7 @@ def raw_changes(spark, sf, title=None):
     """A change per document: whole texts as titles, unless another title is given."""
     key = F.col("doc_id")
     text = F.when(key % 11 == 0, " \n\t ").otherwise(F.concat(F.lit(" \n"), "text"))
-    return table(spark, sf, "documents").select(
+    return spread(table(spark, sf, "documents")).select(
         F.when(key % 3 == 0, "feature_flag").when(key % 3 == 1, "config").otherwise("flag").alias("kind"),
         (text if title is None else title).alias("title"),
         F.when(key % 2 == 0, "qa").alias("environment"),
@@ -272,7 +272,7 @@ SELECT CASE doc_id % 3 WHEN 0 THEN 'feature_flag' WHEN 1 THEN 'config' ELSE 'oth
   CASE WHEN doc_id % 2 = 0 THEN 'qa' ELSE 'production' END AS environment,
   strftime(make_timestamp((1704067200 + doc_id * 60) * 1000000), '%Y-%m-%dT%H:%M:%S.%gZ') AS occurred_at,
   CASE WHEN doc_id % 2 = 0 THEN '{"n":' || doc_id || '}' END AS details,
-  CASE WHEN doc_id % 5 > 0 THEN source END AS service, NULL AS actor,
+  CASE WHEN doc_id % 5 > 0 THEN source END AS service, CAST(NULL AS VARCHAR) AS actor,
   CASE WHEN doc_id % 7 > 0 THEN 'https://x.test/' || doc_id END AS url,
   CASE WHEN doc_id % 4 > 0 THEN source || '-' || lang END AS id
 FROM documents WHERE doc_id % 11 <> 0"""

@@ -137,7 +137,7 @@ def metric_envelopes(spark, sf):
 
 ENVELOPES_SQL = f"""
 WITH m AS (SELECT *, row_number() OVER (ORDER BY recorded_at, event_id) AS position FROM ({METRICS_SQL}))
-SELECT CAST(floor((position - 1) / 1000) AS BIGINT) AS batch_id, count(*) AS records,
+SELECT CAST(floor((position - 1) / 1000) AS BIGINT) AS batch_id, CAST(count(*) AS INTEGER) AS records,
        '{{"metrics":[' || string_agg('{{"metric_name":"' || metric_name || '","value":' || value
          || ',"environment":"production","release":null,"recorded_at":"' || {iso_sql('recorded_at')} || '"}}', ','
          ORDER BY position) || ']}}' AS body,

@@ -62,7 +62,7 @@ def error_rows(spark, sf):
 
 
 def issues(spark, sf):
-    found = issues_of(error_rows(spark, sf).drop("event_type"))
+    found = issues_of(spread(error_rows(spark, sf).drop("event_type")))
     stamped = {c: iso_seconds(F.col(c)) for c in ("first_seen", "last_seen")}
     return found.withColumns(stamped)
 
@@ -78,7 +78,7 @@ FROM events GROUP BY 1, 2"""
 
 def strict_event_rows(spark, sf):
     """Events reduced twice over, the second time to show that nothing more happens."""
-    rows = error_rows(spark, sf)
+    rows = spread(error_rows(spark, sf))
     raw = rows.select(
         "event_id", "exception_class", "message",
         F.concat(F.lit('{"k":'), item(rows), F.lit(',"who":"Jane","nested":{"a":1},"type":"'), F.col("event_type"),
@@ -99,7 +99,7 @@ STRICT_EVENTS_SQL = f"""
 SELECT event_id, 'Error' || CAST(floor({ITEM_SQL} / 10) AS BIGINT) AS exception_class, '' AS message,
   left(sha256('Could not ' || event_type || ' item <n> of <str> for <str> at 0x mail <email>'), 32)
     AS message_fingerprint,
-  '{{"k":' || {ITEM_SQL} || ',"type":"' || event_type || '"}}' AS context, NULL AS tags,
+  '{{"k":' || {ITEM_SQL} || ',"type":"' || event_type || '"}}' AS context, CAST(NULL AS VARCHAR) AS tags,
   CASE WHEN value >= 5 THEN user_id::VARCHAR END AS "user", 'GET /users/:path' AS transaction_name
 FROM events"""
 
@@ -135,7 +135,7 @@ def strict_pages(spark, sf):
 
 PAGES_SQL = f"""
 SELECT page_id, regexp_extract(url, '^(https?://[^/?#:]+)', 1) || {REDUCED_PATH_SQL} AS page_url,
-  {REDUCED_PATH_SQL} AS path, regexp_extract(url, '^https?://([^/?#:]+)', 1) AS host, NULL AS path_host,
+  {REDUCED_PATH_SQL} AS path, regexp_extract(url, '^https?://([^/?#:]+)', 1) AS host, CAST(NULL AS VARCHAR) AS path_host,
   'GET ' || {REDUCED_PATH_SQL} AS transaction_name,
   CASE WHEN regexp_matches(t, '[?#]') THEN regexp_replace(t, '[?#].*$', '/{{slug}}')
        WHEN page_id % 2 = 0 THEN t ELSE {REDUCED_PATH_SQL} END AS template

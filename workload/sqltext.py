@@ -92,9 +92,10 @@ def masked_documents(spark, sf):
     words = F.concat(F.lit("SELECT "), F.regexp_replace(text, "[^A-Za-z ]", ""))
     double = F.concat(F.lit('SELECT "'), F.replace(F.replace(text, F.lit("\\"), F.lit("")), F.lit('"'), F.lit("")), F.lit('" FROM t'))
     system = F.when(F.col("doc_id") % 2 == 0, "MariaDB").otherwise("postgresql")
-    return spread(table(spark, sf, "documents").select("doc_id", "text")).select(
-        "doc_id", fn.mask_sql(quoted).alias("literal"), F.md5(fn.mask_sql(words)).alias("cut_md5"),
-        F.length(fn.mask_sql(words)).cast("bigint").alias("cut_length"),
+    documents = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    return documents.withColumn("cut", fn.mask_sql(words)).select(
+        "doc_id", fn.mask_sql(quoted).alias("literal"), F.md5("cut").alias("cut_md5"),
+        F.length("cut").cast("bigint").alias("cut_length"),
         F.when(F.col("doc_id") % 2 == 0, fn.mask_sql(double, system)).alias("mysql"),
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetry_spark.plans.session import use_utc
+from telemetry_spark.plans.session import spread, use_utc
 
 EPOCH_TEXT = "%Y-%m-%dT%H:%M:%SZ"
 
@@ -33,7 +33,13 @@ ITEM_SQL = "CAST(props->>'k' AS BIGINT)"
 
 
 def hex_id(number: Column, width: int) -> Column:
-    return F.lpad(F.lower(F.hex(number)), width, "0")
+    """An id made of a key. Marked as never null, so that no join has to check that it is not."""
+    return F.coalesce(F.lpad(F.lower(F.hex(number)), width, "0"), F.lit(""))
+
+
+def line_id() -> Column:
+    seed = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return F.coalesce(F.left(F.sha2(seed, 256), F.lit(16)), F.lit(""))
 
 
 def hex_sql(number: str, width: int) -> str:
@@ -53,16 +59,15 @@ MEASUREMENTS_SQL = "SELECT event_type AS transaction_name, ts, value * 20 AS dur
 
 def order_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Traces: an order is the root, its lines are the spans below it."""
-    orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    orders, lines = table(spark, sf_dir, "orders"), spread(table(spark, sf_dir, "lineitem"))
     root = orders.select(
         hex_id(F.col("o_orderkey") + 1, 32).alias("trace_id"), hex_id(F.col("o_orderkey") + 1, 16).alias("span_id"),
         F.lit(None).cast("string").alias("parent_span_id"), F.col("o_orderpriority").alias("name"),
         F.lit("controller").alias("kind"), F.col("o_orderdate").cast("timestamp").alias("started_at"),
         (F.col("o_totalprice") / 100).alias("duration_ms"), F.lit(0).cast("bigint").alias("seq"),
     )
-    seed = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     child = lines.select(
-        hex_id(F.col("l_orderkey") + 1, 32).alias("trace_id"), F.left(F.sha2(seed, 256), F.lit(16)).alias("span_id"),
+        hex_id(F.col("l_orderkey") + 1, 32).alias("trace_id"), line_id().alias("span_id"),
         hex_id(F.col("l_orderkey") + 1, 16).alias("parent_span_id"),
         F.concat(F.lit("line "), F.col("l_linenumber")).alias("name"), F.lit("service").alias("kind"),
         F.col("l_shipdate").cast("timestamp").alias("started_at"), (F.col("l_extendedprice") / 100).alias("duration_ms"),

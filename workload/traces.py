@@ -8,6 +8,7 @@ from telemetry_spark.functions.privacy import strict_span_name
 from telemetry_spark.functions.timefmt import iso_millis
 from telemetry_spark.functions.tracing import is_span_id, is_trace_id, traceparent
 from telemetry_spark.operators import traces as op
+from telemetry_spark.plans.session import spread
 from telemetry_spark.sources.envelopes import trace_envelopes
 from workload.performance import PAGE_PARTS_SQL, REDUCED_PATH_SQL
 from workload.tables import (
@@ -17,6 +18,7 @@ from workload.tables import (
     hex_id,
     hex_sql,
     item,
+    line_id,
     order_spans,
     table,
 )
@@ -45,9 +47,8 @@ def supplier_spans(spark, sf):
         F.col("s_suppkey").cast("string").alias("trace_id"), F.lit("root").alias("span_id"),
         F.lit(None).cast("string").alias("parent_span_id"), F.lit(None).cast("timestamp").alias("started_at"),
     )
-    seed = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    lines = table(spark, sf, "lineitem").select(
-        F.col("l_suppkey").cast("string").alias("trace_id"), F.left(F.sha2(seed, 256), F.lit(16)).alias("span_id"),
+    lines = spread(table(spark, sf, "lineitem")).select(
+        F.col("l_suppkey").cast("string").alias("trace_id"), line_id().alias("span_id"),
         F.lit("root").alias("parent_span_id"), F.col("l_shipdate").cast("timestamp").alias("started_at"),
     )
     return supplier.unionByName(lines)
@@ -79,7 +80,7 @@ slow AS (SELECT trace_id, name FROM s WHERE parent_span_id IS NULL AND duration_
 k AS (SELECT s.*, slow.name AS root_name,
              row_number() OVER (PARTITION BY s.trace_id ORDER BY parent_span_id IS NOT NULL, seq, started_at, span_id)
              AS n FROM s JOIN slow USING (trace_id))
-SELECT trace_id, count(*) AS spans, any_value(root_name) AS root_name,
+SELECT trace_id, CAST(count(*) AS INTEGER) AS spans, any_value(root_name) AS root_name,
        string_agg(span_id, ',' ORDER BY n) AS span_ids FROM k WHERE n <= 500 GROUP BY trace_id"""
 
 
@@ -98,7 +99,7 @@ WITH s AS ({ORDER_SPANS_SQL}),
 slow AS (SELECT trace_id FROM s WHERE parent_span_id IS NULL AND duration_ms >= 1000),
 k AS (SELECT s.*, row_number() OVER (PARTITION BY trace_id ORDER BY parent_span_id IS NOT NULL, seq, started_at,
              span_id) AS n FROM s WHERE trace_id IN (SELECT trace_id FROM slow))
-SELECT trace_id, count(*) AS records,
+SELECT trace_id, CAST(count(*) AS INTEGER) AS records,
        md5('{{"trace_id":"' || trace_id || '","spans":[' || string_agg({SPAN_JSON_SQL}, ',' ORDER BY n) || ']}}')
        AS body_md5 FROM k WHERE n <= 500 GROUP BY trace_id"""
 
@@ -150,10 +151,10 @@ def stitched_traces(spark, sf):
     client = order_spans(spark, sf)
     seed = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     ours = traceparent(
-        hex_id(F.col("l_orderkey") + 1, 32), F.left(F.sha2(seed, 256), F.lit(16)), F.lit(None).cast("string"), F.lit(True)
+        hex_id(F.col("l_orderkey") + 1, 32), line_id(), F.lit(None).cast("string"), F.lit(True)
     )
     header = F.when(F.col("l_tax") == 0, F.upper(ours)).otherwise(ours)
-    backend = table(spark, sf, "lineitem").where("l_returnflag = 'R'").select(
+    backend = spread(table(spark, sf, "lineitem").where("l_returnflag = 'R'")).select(
         F.concat_ws("-", F.lit("b"), seed).alias("span_id"), F.concat(F.lit("part "), F.col("l_partkey")).alias("name"),
         header.alias("traceparent"),
     )
