@@ -93,11 +93,12 @@ def running_since(
     )
     local = _prefix(Window.partitionBy(KEY, SLICE).orderBy(*order))
     rows = rows.withColumns({"__epoch": F.sum("__reset").over(local), "__sum": F.sum("__value").over(local)})
-    # The sum at the last reset seen, to take off again; it only grows, so its running maximum is the latest one.
-    rows = rows.withColumn("__base", F.max(F.when(F.col("__reset") == 1, F.col("__sum"))).over(local))
+    # The sum at the last reset seen, to take off again.
+    at_reset = F.when(F.col("__reset") == 1, F.col("__sum"))
+    rows = rows.withColumn("__base", F.last(at_reset, ignorenulls=True).over(local))
     slices = rows.groupBy(KEY, SLICE).agg(
         F.max("__reset").alias("__had_reset"),
-        (F.sum("__value") - F.coalesce(F.max("__base"), F.lit(0))).alias("__tail"),
+        (F.sum("__value") - F.coalesce(F.max_by("__base", "__epoch"), F.lit(0))).alias("__tail"),
     )
     by_key = Window.partitionBy(KEY).orderBy(SLICE)
     slices = slices.withColumn("__era", F.sum("__had_reset").over(_prefix(by_key)))

@@ -21,7 +21,7 @@ SIGNAL_MESSAGE = "Uncaught fatal signal: "
 def read_events(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Event documents, one per file, and the text of files that hold no JSON object. The schema is fixed."""
     files = (
-        spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(path)
+        spark.read.text(path, wholetext=True, pathGlobFilter="*.json")
         .select(
             F.col("value"), F.col("_metadata.file_path").alias("payload_id"),
             F.col("_metadata.file_modification_time").alias("created_at"),
@@ -48,7 +48,7 @@ def signal_events(df: DataFrame) -> DataFrame:
 
 def read_signal_reports(spark: SparkSession, path: str) -> DataFrame:
     """Raw signal reports as events. ``crashed_at`` comes from the file name, or else its modification time."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.txt").text(path)
+    files = spark.read.text(path, wholetext=True, pathGlobFilter="*.txt")
     name = F.regexp_extract(F.col("_metadata.file_name"), r"\Asignal-[0-9]+-([0-9]{9,11})\.txt\z", 1)
     named = F.timestamp_seconds(F.when(name != "", name.cast("bigint")))
     written = F.col("_metadata.file_modification_time")
