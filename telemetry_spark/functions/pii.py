@@ -52,6 +52,8 @@ CARD_PREFIX = (
 DIGIT_RUN = r"(?<![A-Za-z0-9_])[0-9]++(?![A-Za-z0-9_])(?:[ -][0-9]++(?![A-Za-z0-9_]))*+"
 THIRTEEN_DIGITS = r"[0-9](?:[ -]?[0-9]){12}"
 MAX_CARD_DIGITS = 19
+# What any text must hold for one of the rules to touch it.
+ANYTHING = r"(?U)\d|@|(?i:bearer)|ey|AKIA|[sr]k_|gh[pousr]_"
 
 
 def _has_any(c: Column, *needles: str) -> Column:
@@ -207,7 +209,12 @@ def scrub_cards(c: Column) -> Column:
 
 def scrub_string(c: Column) -> Column:
     """IBANs first (a spaced IBAN looks like a formatted card), the patterns in order, then cards of any shape."""
-    return chain(c, scrub_iban, *[_rule(label) for label in _PATTERNS], scrub_cards)
+
+    def scrub(t: Column) -> Column:
+        steps = [scrub_iban, *[_rule(label) for label in _PATTERNS], scrub_cards]
+        return F.when(t.rlike(ANYTHING), chain(t, *steps)).otherwise(t)
+
+    return let(c, scrub)
 
 
 def pii_labels(c: Column) -> Column:

@@ -98,16 +98,12 @@ def sql_objects(masked: Column) -> Column:
         return F.regexp_extract_all(sql, F.lit(pattern), F.lit(group))
 
     def collect(sql: Column) -> Column:
-        mentions = F.zip_with(
-            F.zip_with(
-                all_groups(sql, RELATION, 1),
-                all_groups(sql, RELATION, 2),
-                lambda keyword, name: F.struct(F.upper(keyword).alias("keyword"), name.alias("name")),
-            ),
-            all_groups(sql, RELATION, 3),
-            lambda mention, paren: F.struct(
-                mention["name"].alias("name"),
-                (mention["keyword"].isin("FROM", "JOIN") & (F.length(paren) > 0)).alias("call"),
+        # A mention that ends in a parenthesis is a call, but after FROM and JOIN only: elsewhere it lists columns.
+        mentions = F.transform(
+            all_groups(sql, RELATION, 0),
+            lambda mention: F.struct(
+                F.regexp_extract(mention, RELATION, 2).alias("name"),
+                (mention.endswith("(") & F.lower(F.left(mention, F.lit(4))).isin("from", "join")).alias("call"),
             ),
         )
         operation = F.upper(F.regexp_extract(sql, r"(?U)\A\s*(\w+)", 1))

@@ -51,17 +51,19 @@ def errors_around_changes(
     before_seconds: float,
     after_seconds: float,
     keys: Sequence[str] = ("environment",),
-    slice_seconds: float = 3600.0,
+    slice_seconds: float = 60.0,
 ) -> DataFrame:
     """Errors in ``[change - before, change)`` and ``[change, change + after]``, per change (``change_id``).
 
     Each change asks for the running number of errors at three moments, so the work is one ordered pass over errors
-    and changes, however many errors stand around each change.
+    and changes, however many errors stand around each change. Errors are counted per moment first, which bounds a
+    burst of them by the moments in a slice.
     """
     at = micros(F.col("occurred_at"))
     before, after = int(before_seconds * 1_000_000), int(after_seconds * 1_000_000)
-    counted = errors.select(
-        *keys, at.alias("__at"), F.lit(1).alias("__side"), F.lit(1).alias("__error"),
+    moments_hit = errors.groupBy(*keys, at.alias("__at")).agg(F.count(F.lit(1)).alias("__error"))
+    counted = moments_hit.select(
+        *keys, "__at", F.lit(1).alias("__side"), "__error",
         F.lit(None).cast("string").alias("change_id"), F.lit(None).cast("int").alias("__probe"),
     )
     moments = F.array(
@@ -70,7 +72,7 @@ def errors_around_changes(
         F.struct((at + after).alias("at"), F.lit(2).alias("side"), F.lit(2).alias("probe")),
     )
     asked = records.select(*keys, F.col("change_id").cast("string"), F.explode(moments).alias("m")).select(
-        *keys, F.col("m.at").alias("__at"), F.col("m.side").alias("__side"), F.lit(0).alias("__error"),
+        *keys, F.col("m.at").alias("__at"), F.col("m.side").alias("__side"), F.lit(0).cast("bigint").alias("__error"),
         "change_id", F.col("m.probe").alias("__probe"),
     )
     order = [F.col("__at"), F.col("__side"), F.col("change_id")]

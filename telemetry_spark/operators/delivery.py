@@ -24,7 +24,7 @@ from telemetry_spark.functions.delivery import (
     is_enabled,
 )
 from telemetry_spark.functions.timefmt import micros, time_bucket
-from telemetry_spark.plans.caps import numbered
+from telemetry_spark.plans.caps import first_n
 from telemetry_spark.plans.running import running, running_since
 
 DAY = 86400.0
@@ -79,7 +79,7 @@ def streaks(
 
 def pending_after(payloads: DataFrame, attempts: DataFrame, on: str = "payload_id") -> DataFrame:
     """Payloads no attempt has delivered or had rejected."""
-    settled = attempts.where(delivery_outcome(F.col("status")) != FAILED).select(on)
+    settled = attempts.where(delivery_outcome(F.col("status")) != FAILED).select(on).distinct()
     return payloads.join(settled, on, "left_anti")
 
 
@@ -89,20 +89,21 @@ def label_retention(
     max_age_seconds: int = MAX_PAYLOAD_AGE_SECONDS,
     max_n: int = MAX_PENDING_PAYLOADS,
     keys: Sequence[str] = ("source",),
-    slice_seconds: float = DAY,
 ) -> DataFrame:
     """Payloads with ``drop_reason``: ``expired`` beyond the age, ``excess`` beyond the newest ``max_n`` of the rest.
 
-    A payload of unknown age never expires and counts as the oldest.
+    A payload of unknown age never expires and counts as the oldest. Only the newest of each key are ever ranked;
+    the oldest of them is the line every other payload is held against.
     """
-    created = F.col("created_at")
-    too_old = micros(created) < micros(now) - max_age_seconds * 1_000_000
-    aged = payloads.withColumn("__expired", F.coalesce(too_old, F.lit(False)))
-    newest_first = [created.desc_nulls_last(), F.col("payload_id").desc()]
-    by_age = F.coalesce(-time_bucket(created, slice_seconds), F.lit((1 << 62)))
-    ranked = numbered(aged, [*keys, "__expired"], newest_first, by_age, "__position")
-    reason = F.when(F.col("__expired"), "expired").when(F.col("__position") > max_n, "excess")
-    return ranked.withColumn("drop_reason", reason).drop("__expired", "__position")
+    created = micros(F.col("created_at"))
+    expired = F.coalesce(created < micros(now) - max_age_seconds * 1_000_000, F.lit(False))
+    age = F.struct(F.coalesce(created, F.lit(-(1 << 62))).alias("created"), F.col("payload_id").alias("id"))
+    aged = payloads.withColumns({"__expired": expired, "__age": age, "__key": F.struct(*keys)})
+    newest = first_n(aged.where(~F.col("__expired")).select("__key", "__age"), ["__key"], [F.col("__age").desc()], max_n)
+    lines = newest.groupBy("__key").agg(F.min("__age").alias("__line"))
+    reason = F.when(F.col("__expired"), "expired").when(F.col("__age") < F.col("__line"), "excess")
+    held = aged.join(lines, "__key", "left")
+    return held.withColumn("drop_reason", reason).drop("__key", "__expired", "__age", "__line")
 
 
 def retain(payloads: DataFrame, now: Column, **options) -> tuple[DataFrame, DataFrame]:

@@ -58,7 +58,7 @@ def strict_spans(df: DataFrame) -> DataFrame:
 
 def slow_traces(df: DataFrame, threshold_s: float = 1.0) -> DataFrame:
     """Whole traces whose root took at least the threshold."""
-    slow = df.where(IS_ROOT).where(F.col("duration_ms") >= threshold_s * 1000).select("trace_id")
+    slow = df.where(IS_ROOT).where(F.col("duration_ms") >= threshold_s * 1000).select("trace_id").distinct()
     return df.join(slow, "trace_id", "left_semi")
 
 
