@@ -81,7 +81,7 @@ def attach_breadcrumbs(
     joined = asking.join(blocks, [*keys, "__block"], "left")
     number, epoch = F.col("__number"), F.col("__epoch")
     mine = F.filter(
-        F.coalesce(F.array_sort("__entries"), F.array().cast(joined.schema["__entries"].dataType)),
+        F.coalesce(F.sort_array("__entries"), F.array().cast(joined.schema["__entries"].dataType)),
         lambda e: (e["epoch"] == epoch) & (e["number"] > number - n) & (e["number"] <= number),
     )
     return joined.select("__error.*", F.transform(mine, lambda e: e["crumb"]).alias("breadcrumbs"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from telemetry_spark.config import MAX_SPANS, Config
@@ -68,9 +68,21 @@ def roots(df: DataFrame) -> DataFrame:
 
 
 def cap_spans(df: DataFrame, order: list[Column], limit: int = MAX_SPANS) -> DataFrame:
-    """The root and the first ``limit - 1`` other spans recorded in each trace."""
-    children = first_n(df.where(f"not ({IS_ROOT})"), ["trace_id"], order, limit - 1)
-    return roots(df).unionByName(children)
+    """The root and the first ``limit - 1`` other spans recorded in each trace, which is as many without its root.
+
+    The root sorts first, so one ranking serves both, and what it leaves is already partitioned by trace.
+    """
+    ranking = [F.expr(f"not ({IS_ROOT})"), *order]
+    kept = first_n(df, ["trace_id"], ranking, limit)
+    trace = Window.partitionBy("trace_id")
+    placed = kept.withColumns(
+        {
+            "__n": F.row_number().over(trace.orderBy(*ranking)),
+            "__roots": F.count_if(F.expr(IS_ROOT)).over(trace),
+        }
+    )
+    room = limit - F.when(F.col("__roots") > 0, 0).otherwise(1)
+    return placed.where(F.col("__n") <= room).drop("__n", "__roots")
 
 
 def dedupe_finish(df: DataFrame, finishes: DataFrame) -> DataFrame:
@@ -99,7 +111,7 @@ def assemble_traces(
     )
     position = F.struct(F.expr(f"not ({IS_ROOT})").alias("late"), *[o.alias(f"o{i}") for i, o in enumerate(order)])
     listed = kept.groupBy("trace_id").agg(
-        F.array_sort(F.collect_list(F.struct(position.alias("p"), span.alias("s")))).alias("entries")
+        F.sort_array(F.collect_list(F.struct(position.alias("p"), span.alias("s")))).alias("entries")
     )
     return listed.select("trace_id", F.transform("entries", lambda e: e["s"]).alias("spans"))
 

@@ -33,7 +33,7 @@ def to_envelopes(
     placed = numbered(df, keys, order, slice_by, "__position")
     batch = F.floor((F.col("__position") - 1) / batch_size).alias("batch_id")
     record = F.struct(F.col("__position").alias("p"), F.struct(*named).alias("r"))
-    listed = placed.groupBy(*keys, batch).agg(F.array_sort(F.collect_list(record)).alias("entries"))
+    listed = placed.groupBy(*keys, batch).agg(F.sort_array(F.collect_list(record)).alias("entries"))
     records = F.transform("entries", lambda e: e["r"])
     body = F.to_json(F.struct(records.alias(LIST_KEYS[signal])), {"ignoreNullFields": "false"})
     return listed.select(*keys, "batch_id", F.size("entries").alias("records"), body.alias("body"))

@@ -32,6 +32,11 @@ def test_a_trace_holds_500_spans_root_first(spark):
     assert got[1].started_at == "2023-11-14T22:13:20.123Z"
 
 
+def test_a_trace_without_its_root_leaves_room_for_it(spark):
+    rows = [("t", f"s{i}", "r", "q", "database", 1.0, i, "{}") for i in range(700)]
+    assert traces.cap_spans(spans(spark, rows), [F.col("seq")]).agg(F.count("*"), F.max("seq")).first() == (499, 498)
+
+
 def test_a_strict_trace_reduces_every_span(spark):
     rows = [
         ("t", "r", None, "GET /patients/42/notes", "controller", 5000.0, 0, "{}"),

@@ -138,7 +138,7 @@ REPORTING = Config(
 
 def raw_errors(spark, sf):
     """Exceptions with everything an error can carry."""
-    rows = spread(events(spark, sf).where("event_type = 'error'"))
+    rows = spread(events(spark, sf).where("event_type = 'error'"), "event_id")
     user = F.col("user_id").cast("string")
     crumb = F.struct(
         F.lit("payment").alias("category"), F.concat(F.lit("mailed u"), user, F.lit("@example.com")).alias("message"),
@@ -233,7 +233,7 @@ def parsed_frames(spark, sf):
     )
     frames = parse_frames(F.array(line), F.lit("Shop"))
     seed = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return spread(table(spark, sf, "lineitem")).select(seed.alias("id"), F.get(frames, F.lit(0)).alias("f")).select(
+    return spread(table(spark, sf, "lineitem"), "l_orderkey", "l_partkey").select(seed.alias("id"), F.get(frames, F.lit(0)).alias("f")).select(
         "id", F.col("f.file").alias("file"), F.col("f.method").alias("method"), F.col("f.in_app").alias("in_app")
     )
 
@@ -249,7 +249,7 @@ def raw_changes(spark, sf, title=None):
     """A change per document: whole texts as titles, unless another title is given."""
     key = F.col("doc_id")
     text = F.when(key % 11 == 0, " \n\t ").otherwise(F.concat(F.lit(" \n"), "text"))
-    return spread(table(spark, sf, "documents")).select(
+    return spread(table(spark, sf, "documents"), "doc_id").select(
         F.when(key % 3 == 0, "feature_flag").when(key % 3 == 1, "config").otherwise("flag").alias("kind"),
         (text if title is None else title).alias("title"),
         F.when(key % 2 == 0, "qa").alias("environment"),

@@ -37,7 +37,7 @@ def message_fingerprints(spark, sf):
     turns = table(spark, sf, "conversations").select(
         F.concat(F.lit("c"), F.col("conv_id"), F.lit("."), F.col("turn")).alias("id"), F.col("text")
     )
-    messages = spread(documents.unionByName(turns))
+    messages = spread(documents.unionByName(turns), "id")
     return messages.select("id", fn.message_fingerprint(F.col("text")).alias("fingerprint"))
 
 
@@ -62,7 +62,7 @@ def error_rows(spark, sf):
 
 
 def issues(spark, sf):
-    found = issues_of(spread(error_rows(spark, sf).drop("event_type")))
+    found = issues_of(spread(error_rows(spark, sf).drop("event_type"), "event_id"))
     stamped = {c: iso_seconds(F.col(c)) for c in ("first_seen", "last_seen")}
     return found.withColumns(stamped)
 
@@ -78,7 +78,7 @@ FROM events GROUP BY 1, 2"""
 
 def strict_event_rows(spark, sf):
     """Events reduced twice over, the second time to show that nothing more happens."""
-    rows = spread(error_rows(spark, sf))
+    rows = spread(error_rows(spark, sf), "event_id")
     raw = rows.select(
         "event_id", "exception_class", "message",
         F.concat(F.lit('{"k":'), item(rows), F.lit(',"who":"Jane","nested":{"a":1},"type":"'), F.col("event_type"),

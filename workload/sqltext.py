@@ -28,7 +28,7 @@ def line_statements(spark, sf):
         .otherwise(F.concat(F.lit("  "), F.lit("explain "), F.col("l_shipdate").cast("date").cast("string")))
     )
     seed = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return spread(table(spark, sf, "lineitem")).select(seed.alias("id"), number.alias("shape"), statement.alias("statement"))
+    return spread(table(spark, sf, "lineitem"), "l_orderkey", "l_partkey").select(seed.alias("id"), number.alias("shape"), statement.alias("statement"))
 
 
 def masked_statements(spark, sf):
@@ -92,7 +92,7 @@ def masked_documents(spark, sf):
     words = F.concat(F.lit("SELECT "), F.regexp_replace(text, "[^A-Za-z ]", ""))
     double = F.concat(F.lit('SELECT "'), F.replace(F.replace(text, F.lit("\\"), F.lit("")), F.lit('"'), F.lit("")), F.lit('" FROM t'))
     system = F.when(F.col("doc_id") % 2 == 0, "MariaDB").otherwise("postgresql")
-    documents = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    documents = spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
     return documents.withColumn("cut", fn.mask_sql(words)).select(
         "doc_id", fn.mask_sql(quoted).alias("literal"), F.md5("cut").alias("cut_md5"),
         F.length("cut").cast("bigint").alias("cut_length"),

@@ -59,7 +59,7 @@ MEASUREMENTS_SQL = "SELECT event_type AS transaction_name, ts, value * 20 AS dur
 
 def order_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Traces: an order is the root, its lines are the spans below it."""
-    orders, lines = table(spark, sf_dir, "orders"), spread(table(spark, sf_dir, "lineitem"))
+    orders, lines = table(spark, sf_dir, "orders"), spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
     root = orders.select(
         hex_id(F.col("o_orderkey") + 1, 32).alias("trace_id"), hex_id(F.col("o_orderkey") + 1, 16).alias("span_id"),
         F.lit(None).cast("string").alias("parent_span_id"), F.col("o_orderpriority").alias("name"),

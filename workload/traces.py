@@ -47,7 +47,7 @@ def supplier_spans(spark, sf):
         F.col("s_suppkey").cast("string").alias("trace_id"), F.lit("root").alias("span_id"),
         F.lit(None).cast("string").alias("parent_span_id"), F.lit(None).cast("timestamp").alias("started_at"),
     )
-    lines = spread(table(spark, sf, "lineitem")).select(
+    lines = spread(table(spark, sf, "lineitem"), "l_orderkey", "l_partkey").select(
         F.col("l_suppkey").cast("string").alias("trace_id"), line_id().alias("span_id"),
         F.lit("root").alias("parent_span_id"), F.col("l_shipdate").cast("timestamp").alias("started_at"),
     )
@@ -154,7 +154,7 @@ def stitched_traces(spark, sf):
         hex_id(F.col("l_orderkey") + 1, 32), line_id(), F.lit(None).cast("string"), F.lit(True)
     )
     header = F.when(F.col("l_tax") == 0, F.upper(ours)).otherwise(ours)
-    backend = spread(table(spark, sf, "lineitem").where("l_returnflag = 'R'")).select(
+    backend = spread(table(spark, sf, "lineitem").where("l_returnflag = 'R'"), "l_orderkey", "l_partkey").select(
         F.concat_ws("-", F.lit("b"), seed).alias("span_id"), F.concat(F.lit("part "), F.col("l_partkey")).alias("name"),
         header.alias("traceparent"),
     )
