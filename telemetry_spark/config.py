@@ -24,7 +24,7 @@ class Config:
     environment: str = "production"
     release: str | None = None
     server_name: str | None = None
-    sdk_name: str = "objc"
+    sdk_name: str = "objc"  # fixed value: the client language events are marked with
     enabled_environments: tuple[str, ...] = ("production", "staging")
     scrub: bool = True
     capture_sql_objects: bool = True
