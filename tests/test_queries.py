@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as registered
+import workload
 from oracle import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -21,7 +22,7 @@ def test_registry():
     assert set(sql) <= set(queries) and registered.FLAGSHIP in queries
 
 
-@pytest.mark.parametrize("name", [n for n in registered.queries() if not n.startswith("streamed_")])
+@pytest.mark.parametrize("name", [n for n in registered.queries() if n in workload.REGISTRY and not n.startswith("streamed_")])
 def test_query_agrees_with_its_sql(spark, tables, name):
     sql = registered.oracle_sql().get(name)
     assert compare(spark, tables, registered.queries()[name], sql, SF_DIR) == ""
