@@ -22,6 +22,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded(df: DataFrame, broadcast_rows: int) -> DataFrame:
+    """Mark a table for broadcasting if it has at most so many rows."""
+    return F.broadcast(df) if df.limit(broadcast_rows + 1).count() <= broadcast_rows else df
+
+
 def ascii_words(text: Column) -> Column:
     """Words of a text in order, A-Z lower-cased, nothing else folded. A null text has none."""
     lowered = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)

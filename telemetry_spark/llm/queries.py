@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from telemetry_spark.llm import packing, sharding
+from telemetry_spark.llm import decontamination, extraction, langid, licenses, neardup, neighbours, packing, sharding, toxicity, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +18,25 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).drop("passages")
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.fit(docs, vocabulary("piece_bpe_32k.model")))
+
+
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract_pages(table(spark, sf_dir, "pages")).drop("path")
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(
         table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("byte_bpe_50k.tiktoken"), with_ids=False
@@ -24,12 +44,40 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces
 
 
+#: Verdict, host and path of the url rules.
+URL_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
+
+
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES).drop("block_probability")
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
+
+
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), 40)
 
 
 #: Queries by name with the SQL that must agree, or None where SQL cannot say it.
 REGISTRY = {
+    "op1_toxicity": (op1_toxicity, None),
+    "op2_language_id": (op2_language_id, None),
+    "op3_html_extraction": (op3_html_extraction, None),
+    "op4_license_scan": (op4_license_scan, None),
     "op5_packing": (op5_packing, None),
+    "op6_nearest_neighbours": (op6_nearest_neighbours, None),
+    "op7_url_filter": (op7_url_filter, None),
+    "op8_decontamination": (op8_decontamination, None),
+    "op9_near_duplicates": (op9_near_duplicates, None),
     "op10_sharding": (op10_sharding, None),
 }
