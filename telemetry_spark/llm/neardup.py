@@ -8,12 +8,13 @@ the vertex nearest to what the region agrees on, which holds the region together
 
 The forests join to groups of vertices that may be linked, and every link is confirmed there on full shingle sets, all pairs of a group
 through its inverted index. A group larger than ``block_rows`` is cut into runs of that many vertices in several of the sorted orders, and its
-hubs (the vertices with most forest edges) are in every run. Tasks thus hold ``block_rows`` sets at most, and what comes out is one spanning
-forest of confirmed links for each run.
+hubs (the vertices with most forest edges) are in every run, which links nearly all there is to link; then every vertex outside
+the group's largest component meets all vertices of the group, in blocks. Tasks thus hold about ``2 * block_rows`` sets at most, and what
+comes out is one spanning forest of confirmed links for each block.
 
-What is missed: a link at the threshold shares a region in none of ``trees`` orders with probability ``(1 - threshold**3)**trees``
-(2e-7 at 0.85 and 16 trees, and far less above it), and a sketch errs by five standard errors in 3 of 10 million cases. In groups and regions above the
-bounds a link also needs common neighbours or a common run; the README has the measured figures.
+What can be missed is a group: two linked documents whose signatures meet in none of ``trees`` orders, with probability
+``(1 - threshold**3)**trees`` at the threshold (2e-7 at 0.85 and 16 trees, and far less above it), or whose sketches err by five standard
+errors, 3 in 10 million. Within a group no link between different components is.
 
 Defined results: a text that is null or has no words has no shingles, is its own component and linked with nothing; fewer words than a
 shingle are one shingle; rows with equal sets are linked; rows that share an id share a vertex if it is the least of theirs; a row with a null id is in the
@@ -83,7 +84,9 @@ def described(docs: DataFrame, size: int, with_set: bool) -> DataFrame:
                 rows.append((len(own), xxhash.xxh3_128_digest(own.tobytes()), body.tobytes()) if len(own) else (0, None, None))
             yield pd.DataFrame(rows, columns=["n_shingles", "mark", "body"])
 
-    return docs.select("id", describe("text").alias("d")).select("id", "d.*")
+    # Else a filter on its result would be moved below the joins in front of it, and all documents described.
+    describe = describe.asNondeterministic()
+    return docs.select("id", "text_hash", describe("text").alias("d")).select("id", "text_hash", "d.*")
 
 
 def in_orders(vertices: DataFrame, orders: int, region: str | None = None) -> DataFrame:
@@ -227,14 +230,19 @@ def confirmed(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     return links
 
 
-def confirmed_links(blocks: DataFrame, vertices: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """``a, b``: confirmed links that span each block's components."""
+def sets_of(blocks: DataFrame, vertices: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """``node, mark, members``: the full shingle sets of the vertices in blocks."""
     asked = vertices.join(blocks.select("node").distinct(), "node").select("id", "node", "mark")
     # Only the documents that stand for these vertices are read again.
     wanted = bounded(written(asked.select("id").distinct(), "neardup-asked"), 200_000).withColumnRenamed("id", "asked")
     again = docs.join(wanted, docs["id"].eqNullSafe(F.col("asked")), "left_semi")
     full = described(again, size, True).where("mark is not null").select("mark", F.col("body").alias("members"))
-    full = written(full.join(asked.select("node", "mark"), "mark").dropDuplicates(["node", "mark"]).select("node", "mark", "members"), "neardup-sets")
+    full = full.join(asked.select("node", "mark"), "mark").dropDuplicates(["node", "mark"])
+    return written(full.select("node", "mark", "members"), "neardup-sets")
+
+
+def links_within(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: confirmed links that span the components of each block."""
 
     def link(block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values(["node", "mark"])
@@ -243,15 +251,39 @@ def confirmed_links(blocks: DataFrame, vertices: DataFrame, docs: DataFrame, siz
         found = [(nodes[a], nodes[b]) for a, b in confirmed(sets, percent)]
         return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
-    return blocks.join(full, "node").groupBy("block").applyInPandas(link, "a bigint, b bigint").where("a <> b").distinct()
+    return blocks.join(sets, "node").groupBy("block").applyInPandas(link, "a bigint, b bigint").where("a <> b").distinct()
+
+
+def rest_of(groups: DataFrame, linked: DataFrame, block_rows: int) -> DataFrame:
+    """``block, node``: what links in a large group may still be missing, or None if there can be none.
+
+    Two vertices that are not linked yet are not both in the group's largest component, so each vertex outside of it meets
+    every vertex of the group: those outside are cut into chunks, all into blocks, and each chunk meets each block.
+    """
+    sizes = groups.groupBy("component").count().where(F.col("count") > block_rows)
+    named = linked.select("node", F.col("component").alias("label"))
+    labelled = groups.join(sizes, "component").join(named, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    counts = labelled.groupBy("component", "label").agg(F.count(F.lit(1)).alias("n"), F.first("count").alias("all"))
+    main = counts.groupBy("component").agg(F.max(F.struct("n", "label")).alias("main"), F.first("all").alias("all"))
+    part = lambda n: F.ceil(n / block_rows).cast("int")
+    shape = main.select("component", F.col("main.label").alias("main"), part(F.col("all")).alias("blocks"), part(F.col("all") - F.col("main.n")).alias("chunks"))
+    placed = written(labelled.select("component", "node", "label").join(shape.where("chunks > 0"), "component"), "neardup-rest")
+    if placed.isEmpty():
+        return None
+    name = lambda block, chunk: F.concat_ws(".", F.lit("x"), "component", block, chunk).alias("block")
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    everyone = placed.select("component", "node", own("blocks").alias("b"), upto("chunks").alias("c"))
+    outside = placed.where("label <> main").select("component", "node", own("chunks").alias("c"), upto("blocks").alias("b"))
+    return everyone.unionByName(outside).select(name("b", "c"), "node").distinct()
 
 
 def near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, region_rows: int = REGION_ROWS, block_rows: int = BLOCK_ROWS,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept``: documents linked where ``100 * intersection >= percent * union`` of their shingles."""
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
+    """``doc_id, n_shingles, component_id, kept, text_hash``: documents are linked where ``100 * intersection >= percent * union``."""
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("text_hash"))
     known = written(described(rows, shingle, False), "neardup-signatures")
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "body")).alias("first")
     by_set = known.where("mark is not null").groupBy("mark").agg(first)
@@ -264,13 +296,32 @@ def near_duplicates(
     edges = written(forest_edges(vertices.select("node", "body"), percent, region_rows), "neardup-edges")
     groups = components(edges)
     blocks = written(blocks_of(groups, edges, vertices.select("node", "body"), block_rows), "neardup-blocks")
-    linked = components(confirmed_links(blocks, vertices.drop("body"), rows, shingle, percent))
+    sets = sets_of(blocks, vertices.drop("body"), rows, shingle)
+    links = written(links_within(blocks, sets, percent), "neardup-links")
+    linked = components(links)
+    rest = rest_of(groups, linked, block_rows)
+    if rest is not None:
+        linked = components(links.unionByName(links_within(rest, sets, percent)))
     labelled = vertices.select("mark", "id", "node").join(linked, "node", "left").withColumn("label", F.coalesce("component", "node"))
     least = labelled.groupBy("label").agg(F.min("id").alias("component_id"))
     names = labelled.select("mark", "label").join(least, "label").select("mark", "component_id")
-    out = known.select("id", "n_shingles", "mark").join(names, "mark", "left")
+    out = known.select("id", "text_hash", "n_shingles", "mark").join(names, "mark", "left")
     component = F.when(F.col("mark").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return out.select(
         F.col("id").alias("doc_id"), "n_shingles", component.alias("component_id"),
-        F.when(F.col("id").isNull(), component.isNull()).otherwise(F.col("id") == component).alias("kept"),
+        F.when(F.col("id").isNull(), component.isNull()).otherwise(F.col("id") == component).alias("kept"), "text_hash",
     )
+
+
+def without_duplicates(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents that ``near_duplicates`` keeps, all columns as they are; of rows that repeat an id and a text, one."""
+    rows = docs.withColumns({"__id": F.col(id_col).cast("bigint"), "__hash": F.xxhash64(F.col(text_col))})
+    named = lambda df: df.select(F.col("doc_id").alias("__a"), F.col("text_hash").alias("__b"))
+    same = F.col("__id").eqNullSafe(F.col("__a")) & (F.col("__hash") == F.col("__b"))
+    dropped = written(named(found.where(~F.col("kept"))).distinct(), "neardup-dropped")
+    kept = rows.join(bounded(dropped, 200_000), same, "left_anti")
+    repeated = written(named(found.where("kept")).groupBy("__a", "__b").count().where("count > 1").drop("count"), "neardup-repeated")
+    if not repeated.isEmpty():
+        once = kept.join(repeated, same, "left_semi").dropDuplicates(["__id", "__hash"])
+        kept = kept.join(repeated, same, "left_anti").unionByName(once)
+    return kept.drop("__id", "__hash")
