@@ -32,7 +32,7 @@ WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 #: Longer runs of letters (scripts without spaces) go through a rescaled recursion of their own.
 LONG_WORD = 40
 #: Texts are scored in lots of about so many characters, and at most so many words are remembered.
-LOT_CHARS, MEMORY_WORDS = 2_000_000, 400_000
+LOT_CHARS, MEMORY_WORDS, LOT_WORDS = 2_000_000, 500_000, 8192
 
 
 def load_pieces(path: str) -> list[str]:
@@ -48,6 +48,43 @@ def load_pieces(path: str) -> list[str]:
     return list(dict.fromkeys(p for p in kept if WORD.fullmatch(p.lstrip(START)) or p == START))
 
 
+class Slots:
+    """Pieces by the hash of their letters, found for many spans of letters at once."""
+
+    FACTOR, SPREAD = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, pieces: list[str]):
+        self.bits = max(4, (4 * len(pieces)).bit_length())
+        self.keys, self.ids = np.zeros(1 << self.bits, np.uint64), np.full(1 << self.bits, -1, np.int64)
+        for i, piece in enumerate(pieces):
+            h = np.zeros(1, np.uint64)
+            for letter in piece:
+                h = self.longer(h, np.array([ord(letter)], np.uint64))
+            at = int(self.first(h)[0])
+            while self.ids[at] >= 0:
+                at = (at + 1) % len(self.ids)
+            self.keys[at], self.ids[at] = h[0], i
+
+    def longer(self, hashes: np.ndarray, letters: np.ndarray) -> np.ndarray:
+        return (hashes ^ (letters + np.uint64(1))) * self.FACTOR
+
+    def first(self, hashes: np.ndarray) -> np.ndarray:
+        return ((hashes * self.SPREAD) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The piece of each hash, or -1. A 64-bit hash stands for the letters."""
+        at, out = self.first(hashes), np.full(len(hashes), -1, np.int64)
+        ids, same = self.ids[at], self.keys[at] == hashes
+        out[same] = ids[same]
+        left = np.flatnonzero(~same & (ids >= 0))  # taken by another piece: go on with the next slot
+        while len(left):
+            at[left] = (at[left] + 1) % len(self.ids)
+            ids, same = self.ids[at[left]], self.keys[at[left]] == hashes[left]
+            out[left[same]] = ids[same]
+            left = left[~same & (ids >= 0)]
+        return out
+
+
 @dataclass
 class Model:
     """``table[i, l]`` is the probability of piece i in language l; the last row stands for a letter that is no piece."""
@@ -58,14 +95,18 @@ class Model:
 
     def __post_init__(self):
         self.index = {p: i for i, p in enumerate(self.pieces)}
+        self.slots = Slots(self.pieces)
         self.longest = max(map(len, self.pieces), default=1)
 
     def spans(self, words: list[str]) -> Iterator[tuple[int, int, np.ndarray]]:
         """All (begin, end) spans of words of one length, with each word's piece there, or -1."""
-        get, size = self.index.get, len(words[0])
+        size = len(words[0])
+        letters = np.array(words, f"<U{size}").view(np.uint32).reshape(len(words), size).T.astype(np.uint64)
+        hashes = np.zeros((size, len(words)), np.uint64)
         for end in range(1, size + 1):
             for begin in range(max(0, end - self.longest), end):
-                ids = np.array([get(w[begin:end], -1) for w in words])
+                hashes[begin] = self.slots.longer(hashes[begin], letters[end - 1])
+                ids = self.slots.find(hashes[begin])
                 if end - begin == 1:
                     ids[ids < 0] = len(self.pieces)
                 yield begin, end, ids
@@ -106,8 +147,9 @@ class Model:
             else:
                 by_size.setdefault(len(word), []).append(at)
         for places in by_size.values():
-            alpha, _ = self.forward([words[i] for i in places])
-            out[places] = np.log(alpha[-1])
+            for some in (places[i : i + LOT_WORDS] for i in range(0, len(places), LOT_WORDS)):
+                alpha, _ = self.forward([words[i] for i in some])
+                out[some] = np.log(alpha[-1])
         return out
 
     def expected(self, words: list[str], counts: np.ndarray, language: int) -> np.ndarray:
@@ -117,7 +159,7 @@ class Model:
             if len(word) <= LONG_WORD:
                 by_size.setdefault(len(word), []).append(at)
         column = self.table[:, language]
-        for places in by_size.values():
+        for places in (own[i : i + LOT_WORDS] for own in by_size.values() for i in range(0, len(own), LOT_WORDS)):
             alpha, used = self.forward([words[i] for i in places], language)
             beta = np.zeros_like(alpha)
             beta[-1] = 1
@@ -131,7 +173,7 @@ class Model:
 
 
 def words_of(text: str | None) -> list[str]:
-    return [START + w for w in WORD.findall(text.lower())] if text else []
+    return WORD.findall(text.lower()) if text else []
 
 
 def labelled_sample(docs: DataFrame, docs_per_language: int, max_languages: int, id_col: str, text_col: str, lang_col: str) -> DataFrame:
@@ -183,7 +225,7 @@ def expected_counts(words: DataFrame, model: Model) -> np.ndarray:
         for batch in batches:
             for lang, own in batch.groupby("lang"):
                 at = model.languages.index(lang)
-                sums[:, at] += model.expected(own["word"].tolist(), own["n"].to_numpy(float), at)
+                sums[:, at] += model.expected([START + w for w in own["word"]], own["n"].to_numpy(float), at)
         piece, lang = np.nonzero(sums)
         yield pd.DataFrame({"piece": piece, "lang": lang, "n": sums[piece, lang]})
 
@@ -200,8 +242,8 @@ def smoothed(counts: np.ndarray, weight: float) -> np.ndarray:
     return (counts + weight * shared[:, None]) / (counts.sum(axis=0) + weight)
 
 
-def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, held_out, lang_pred, score``: the likeliest language and its share of all languages' likelihood."""
+def annotated(docs: DataFrame, model: Model, column: str, text_col: str = "text") -> DataFrame:
+    """Add ``struct(lang_pred, score)``: the likeliest language and its share of all languages' likelihood."""
 
     def decide(logs: np.ndarray, n: int) -> tuple[str, float]:
         if not n or not len(logs):
@@ -221,15 +263,20 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                     continue
                 if len(places) > MEMORY_WORDS:
                     places, table = {}, table[:0]
-                new = list({w for words in lot for w in words if w not in places})
-                places.update((w, i) for i, w in enumerate(new, len(places)))
-                table = np.concatenate([table, model.log_probabilities(new)])
+                new = list(set().union(*lot).difference(places))
+                places.update(zip(new, range(len(places), len(places) + len(new)), strict=True))
+                table = np.concatenate([table, model.log_probabilities([START + w for w in new])])
                 for words in lot:
                     ids = np.fromiter(map(places.__getitem__, words), np.int64, len(words))
                     found.append(decide(table[ids].sum(axis=0), len(ids)))
                 lot, chars = [], 0
             yield pd.DataFrame(found, columns=["lang_pred", "score"])
 
+    return docs.withColumn(column, run(F.col(text_col)))
+
+
+def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, held_out, lang_pred, score`` for each document."""
     held_out = F.coalesce(crc_mod(F.col(id_col), 5) == 0, F.lit(False))
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), held_out.alias("held_out"), run(F.col(text_col)).alias("found"))
-    return rows.select("doc_id", "held_out", "found.lang_pred", "found.score")
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), held_out.alias("held_out"), F.col(text_col).alias("text"))
+    return annotated(rows, model, "found").select("doc_id", "held_out", "found.lang_pred", "found.score")
