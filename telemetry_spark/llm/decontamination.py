@@ -69,7 +69,8 @@ def contamination(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, broadcast_rows: int = 200_000,
     id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
 ) -> DataFrame:
-    """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans``: spans are the hit (begin, end) places in words."""
+    """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans, row``: spans are the hit (begin, end) places in words, row a
+    hash of id and text."""
     windows = written(benchmark_windows(benchmark, window, item_col, text_col), "benchmark-windows")
     lengths = [r[0] for r in windows.select(F.size("span")).distinct().collect()]  # at most ``window`` numbers
     kinds = profiles(lengths, window)
@@ -92,10 +93,17 @@ def contamination(
     return joined.select(
         "doc_id", "n_words", F.coalesce(covered(F.col("spans")), F.lit(0)).cast("bigint").alias("n_hit"),
         F.size(items).cast("bigint").alias("n_items"), F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
-        F.col("spans").isNotNull().alias("contaminated"), "spans",
+        F.col("spans").isNotNull().alias("contaminated"), "spans", "row",
     )
 
 
+def without_contaminated(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents in which ``contamination`` finds nothing, all columns as they are."""
+    dirty = written(found.where("contaminated").select(F.col("row").alias("__dirty")).distinct(), "contaminated-rows")
+    rows = docs.withColumn("__row", F.xxhash64(F.col(id_col), F.col(text_col)))
+    return rows.join(bounded(dirty, 200_000), F.col("__row") == F.col("__dirty"), "left_anti").drop("__row")
+
+
 def extended(rows: DataFrame, hits: DataFrame, windows: DataFrame, kinds: list[tuple[int, int]], window: int, broadcast_rows: int) -> DataFrame:
     """Grow the hits of candidate documents to whole windows: ``row, begin, end, item_id`` of the runs that are an item's window."""
     tokens = rows.select("row", "text").join(hits, "row").select("row", "hits", ascii_words(F.col("text")).alias("words"))

@@ -57,11 +57,46 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans", "row")
+
+
+WORDS_SQL = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+DECONTAMINATION_SQL = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {WORDS_SQL} AS w FROM documents),
+b AS (SELECT item_id, {WORDS_SQL} AS w FROM benchmark WHERE item_id IS NOT NULL),
+spans AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS span
+          FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+runs AS (SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS span
+         FROM (SELECT r, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM spans) WHERE len(w) >= n)),
+hits AS (SELECT r, i, n, item_id FROM runs JOIN spans USING (n, span)),
+places AS (SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS place FROM hits) GROUP BY r),
+items AS (SELECT r, count(DISTINCT item_id::VARCHAR) AS n_items,
+                 string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS list FROM hits GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(list, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN places USING (r) LEFT JOIN items USING (r)"""
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85).drop("text_hash")
+
+
+NEAR_DUPLICATES_SQL = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS shingle
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y USING (shingle)
+                            WHERE x.doc_id <> y.doc_id GROUP BY ALL)
+          JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * c >= 85 * (p.n + q.n - c)),
+reach AS (SELECT doc_id AS node, doc_id AS seen FROM d UNION SELECT reach.node, links.b FROM reach JOIN links ON links.a = reach.seen)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(seen) AS component_id, doc_id = min(seen) AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN reach ON node = doc_id GROUP BY doc_id"""
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +112,7 @@ REGISTRY = {
     "op5_packing": (op5_packing, None),
     "op6_nearest_neighbours": (op6_nearest_neighbours, None),
     "op7_url_filter": (op7_url_filter, None),
-    "op8_decontamination": (op8_decontamination, None),
-    "op9_near_duplicates": (op9_near_duplicates, None),
+    "op8_decontamination": (op8_decontamination, DECONTAMINATION_SQL),
+    "op9_near_duplicates": (op9_near_duplicates, NEAR_DUPLICATES_SQL),
     "op10_sharding": (op10_sharding, None),
 }

@@ -247,9 +247,9 @@ def probability(x: float, model: Model) -> float:
     return 1 / (1 + math.exp(-max(-30.0, min(30.0, model.slope * min(x, 60.0) + model.offset))))
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", max_chance: float = 0.01) -> DataFrame:
-    """``doc_id, held_out, score, predicted, passages``: passages are the segments (first word, word after the last, score,
-    expected number by chance) of which fewer than ``max_chance`` are expected in a clean text of that length."""
+def annotated(docs: DataFrame, model: Model, column: str, text_col: str = "text", max_chance: float = 0.01) -> DataFrame:
+    """Add ``struct(score, passages)``: passages are the segments (first word, word after the last, score, expected number by
+    chance) of which fewer than ``max_chance`` are expected in a clean text of that length."""
 
     @F.pandas_udf("score double, passages array<struct<begin:int,end:int,score:double,chance:double>>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -264,8 +264,12 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 rows.append((probability(evidence(segments, n, model) if segments else 0.0, model), passages))
             yield pd.DataFrame(rows, columns=["score", "passages"])
 
+    return docs.withColumn(column, run(F.col(text_col)))
+
+
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, held_out, score, predicted, passages`` for each document."""
     held_out = F.coalesce(crc_mod(F.col(id_col), 3) == 1, F.lit(False))
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), held_out.alias("held_out"), run(F.col(text_col)).alias("found"))
-    return rows.select(
-        "doc_id", "held_out", "found.score", (F.col("found.score") >= THRESHOLD).cast("int").alias("predicted"), "found.passages"
-    )
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), held_out.alias("held_out"), F.col(text_col).alias("text"))
+    predicted = (F.col("found.score") >= THRESHOLD).cast("int").alias("predicted")
+    return annotated(rows, model, "found").select("doc_id", "held_out", "found.score", predicted, "found.passages")
