@@ -8,8 +8,8 @@ best container.
 
 What never counts as text: scripts, styles, forms and their controls; elements, roles and classes of menus, page headers, footers, sidebars, notices,
 adverts, sharing, related links and reader comments; hidden elements. Blocks end at block-level elements; a line break is white
-space. Votes are added up in every task before they are shuffled, so a host with a third of all pages is no hot spot; a host's winner is
-one short row, and Spark splits the join if a host is large.
+space. Votes are added up in every task before they are shuffled, so a host with a third of all pages is no hot spot. A host's winner is
+one short row; up to ``broadcast_hosts`` of them go to every task, more are joined by host.
 
 Defined results: a null or empty page has the empty text; a page with no host (null url, or no ``://``) votes with the others without one; of two
 paths with equal votes the first in alphabetical order wins; rows that repeat an id are read each by itself; no rows give no rows;
@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from telemetry_spark.llm.common import LOWER, UPPER
+from telemetry_spark.llm.common import LOWER, UPPER, bounded, written
 
 #: Share of a page's text that a container needs for a vote, the bonus for each level, and the least share of the own best.
 VOTE_SHARE, DEPTH_BONUS, LEAST_SHARE = 0.7, 0.02, 0.25
@@ -286,9 +286,12 @@ def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     return summed.groupBy("host").agg(F.min_by("path", F.struct(-F.col("votes"), F.col("path"))).alias("path"))
 
 
-def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def extract_pages(
+    pages: DataFrame, broadcast_hosts: int = 200_000, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
+) -> DataFrame:
     """``page_id, url, text, n_chars, path``: path is the host's."""
-    paths = host_paths(pages, url_col, html_col)
+    # With the hosts broadcast no page moves, so a host of any size is no hot spot; beyond the bound Spark splits the join.
+    paths = bounded(written(host_paths(pages, url_col, html_col), "host-paths"), broadcast_hosts)
 
     @F.pandas_udf("string")
     def text_of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
