@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 from telemetry_spark.config import MAX_FRAMES
 from telemetry_spark.schemas import FRAME
 
-# Fixed value: frame index, image name, address, symbol, offset.
-FRAME_LINE = r"(?U)^\s*\d+\s+(\S+)\s+0x[0-9a-fA-F]+\s+(.+?)\s+\+\s+\d+\s*$"
+# Fixed value: frame index, image name, address, symbol, offset. The symbol is words up to the last plus sign and number;
+# nothing backs up, so a long line takes time in proportion.
+FRAME_LINE = (
+    r"(?U)^\s*+\d++\s++(\S++)\s++0x[0-9a-fA-F]++\s++"
+    r"(\S++(?:\s++(?!\+\s++\d++\s*+$)\S++)*+)\s++\+\s++\d++\s*+$"
+)
 
 
 def in_app(file: Column, executable: Column) -> Column:

@@ -48,9 +48,9 @@ def histogram_columns(histogram: Column) -> list[Column]:
 
 def bucket_percentile(counts: list[Column], q: float, max_ms: Column) -> Column:
     """Upper bound of the first bucket whose cumulative count reaches ``ceil(q * n)``; the maximum for overflow."""
-    permille = round(q * 1000)
+    millionths = round(q * 1_000_000)
     total = reduce(lambda a, b: a + b, counts)
-    rank = F.ceil(total * permille / 1000)
+    rank = F.ceil(total * millionths / 1_000_000)
     seen = F.lit(0)
     bound = None
     for boundary, count in zip(BOUNDARIES_MS, counts):

@@ -6,10 +6,8 @@ corpus, never reaches the regular expression engine.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,7 +34,11 @@ EMAIL = r"(?:\G|(?<![a-zA-Z0-9._%+-]))[a-zA-Z0-9._%+-]++@[a-zA-Z0-9.-]+\.[a-zA-Z
 SSN = r"(?U)\b\d{3}-\d{2}-\d{4}\b"
 CARD_FORMAT = r"(?U)\b\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,4}\b"
 BEARER = r"(?Ui)\bBearer\s+[A-Za-z0-9\-._~+/]+=*"
-JWT = r"(?U)\bey[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\b"
+# Only the first "ey" of a run can begin a token: the others would end in the same place. What is before it stays, as $1.
+JWT = (
+    r"(?U)(?<![A-Za-z0-9_-])((?:(?!\bey)[A-Za-z0-9_-])*+)"
+    r"\bey[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}\b"
+)
 AWS_KEY = r"(?U)\bAKIA[0-9A-Z]{16}\b"
 STRIPE_KEY = r"(?U)\b[sr]k_(?:live|test)_[A-Za-z0-9]{10,}\b"
 GITHUB_TOKEN = r"(?U)\bgh[pousr]_[A-Za-z0-9]{20,}\b"
@@ -52,6 +54,10 @@ CARD_PREFIX = (
 DIGIT_RUN = r"(?<![A-Za-z0-9_])[0-9]++(?![A-Za-z0-9_])(?:[ -][0-9]++(?![A-Za-z0-9_]))*+"
 THIRTEEN_DIGITS = r"[0-9](?:[ -]?[0-9]){12}"
 MAX_CARD_DIGITS = 19
+# JSON: strings, marks, other scalars, and whatever is none of these. Unrolled and possessive, so it is linear.
+JSON_TOKEN = r'(?s)"[^"\\]*+(?:\\.[^"\\]*+)*+"|[{}\[\]:,]|[^\s{}\[\]:,"]++|"'
+JSON_SCALAR = r"\A(?:-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?(?:[eE][+-]?[0-9]++)?|true|false|null)\z"
+JSON_CHUNK = 256
 # What any text must hold for one of the rules to touch it.
 ANYTHING = r"(?U)\d|@|(?i:bearer)|ey|AKIA|[sr]k_|gh[pousr]_"
 
@@ -78,7 +84,8 @@ _PATTERNS = {
 
 def _rule(label: str) -> Callable[[Column], Column]:
     pattern, possible = _PATTERNS[label]
-    return lambda t: F.when(possible(t), F.regexp_replace(t, pattern, f"[{label} FILTERED]")).otherwise(t)
+    replacement = f"$1[{label} FILTERED]" if label == "JWT" else f"[{label} FILTERED]"
+    return lambda t: F.when(possible(t), F.regexp_replace(t, pattern, replacement)).otherwise(t)
 
 
 def _scrub(c: Column, label: str) -> Column:
@@ -289,14 +296,15 @@ def _slot(slots: Slots, texts: Column) -> int:
 def _plan(c: Column, dtype: T.DataType, name: str, slots: Slots, pieces: dict[str, Column]) -> Rebuild:
     """Hand a column's strings over to ``slots``, and say how the column is put together again from them.
 
-    ``pieces`` holds the taken-apart documents of columns that are JSON text.
+    ``pieces`` holds the tokens of columns that are JSON text.
     """
     if sensitive_name(name.rsplit(".", 1)[-1]):
         return lambda get: F.when(c.isNotNull(), F.lit(REDACTED))
     if name in pieces:
         found = pieces[name]
         i = _slot(slots, F.transform(found, lambda p: p["text"]))
-        return lambda get: F.when(c.isNotNull(), _joined(found, get(i)))
+        joined = lambda get: let(_json_items(found, get(i)), lambda items: _json_joined(c, items))
+        return lambda get: F.when(c.isNotNull(), joined(get))
     if isinstance(dtype, T.StringType):
         i = _slot(slots, F.array(c))
         return lambda get: F.get(get(i), F.lit(0))
@@ -333,7 +341,12 @@ def _plan_records(c: Column, fields: list[T.StructField], name: str, slots: Slot
         if path in pieces:
             found = pieces[path]
             i = _slot(slots, F.transform(found, lambda p: p["text"]))
-            return lambda e, at, get: F.when(e[f.name].isNotNull(), _joined(found, get(i), at))
+
+            def joined(text: Column, at: Column, get) -> Column:
+                own = F.filter(_json_items(found, get(i)), lambda item: item["document"] == at)
+                return let(own, lambda items: _json_joined(text, items))
+
+            return lambda e, at, get: F.when(e[f.name].isNotNull(), joined(e[f.name], at, get))
         if sensitive_name(f.name):
             return lambda e, at, get: F.when(e[f.name].isNotNull(), F.lit(REDACTED))
         if isinstance(f.dataType, T.StringType):
@@ -362,7 +375,7 @@ def scrub_columns(df: DataFrame, cols: list[str] | None = None, json_cols: tuple
     for path in json_cols:
         top, _, field = path.partition(".")
         texts = F.transform(top, lambda e: e[field]) if field else F.array(top)
-        documents[path] = _json_pieces(texts)
+        documents[path] = _json_tokens(texts)
     held = {f"__pieces_{i}": d for i, d in enumerate(documents.values())}
     pieces = {path: F.col(f"__pieces_{i}") for i, path in enumerate(documents)}
     slots: Slots = []
@@ -374,84 +387,111 @@ def scrub_columns(df: DataFrame, cols: list[str] | None = None, json_cols: tuple
     return taken.withColumns(done).drop("__slots", *held)
 
 
-def _write(value, name: str, raw: list[str], pieces: list[tuple]) -> None:
-    """Write a JSON value as pieces: text that stays as it is, each followed by a string still to be scrubbed."""
-    if sensitive_name(name):
-        raw.append(json.dumps(REDACTED))
-    elif isinstance(value, dict):
-        for i, (key, item) in enumerate(value.items()):
-            raw.append(("," if i else "{") + json.dumps(key, ensure_ascii=False) + ":")
-            _write(item, key, raw, pieces)
-        raw.append("}" if value else "{}")
-    elif isinstance(value, list):
-        for i, item in enumerate(value):
-            raw.append("," if i else "[")
-            _write(item, name, raw, pieces)
-        raw.append("]" if value else "[]")
-    elif isinstance(value, str):
-        pieces.append(("".join(raw), value, True))
-        raw.clear()
-    else:
-        raw.append(json.dumps(value))
-
-
-def _pieces(text: str | None) -> list[tuple] | None:
-    """(unchanged text, string to scrub, whether it needs quotes) of a document; text that is no JSON is one string."""
-    if text is None:
-        return None
-    try:
-        value = json.loads(text)
-    except ValueError:
-        return [("", text, False)]
-    raw, pieces = [], []
-    _write(value, "", raw, pieces)
-    return [*pieces, ("".join(raw), None, False)]
-
-
-_PIECE = T.StructType(
-    [
-        T.StructField("document", T.IntegerType()),
-        T.StructField("raw", T.StringType()),
-        T.StructField("text", T.StringType()),
-        T.StructField("quoted", T.BooleanType()),
-    ]
-)
+def _unquoted(raw: Column) -> Column:
+    """The text of a JSON string. One with an escape that means nothing is taken as it stands."""
+    inner = F.substr(raw, F.lit(2), F.length(raw) - 2)
+    decoded = F.from_json(F.concat(F.lit('{"s":'), raw, F.lit("}")), "s string")["s"]
+    return F.when(F.contains(raw, F.lit("\\")), F.coalesce(decoded, inner)).otherwise(inner)
 
 
-@F.pandas_udf(T.ArrayType(_PIECE))
-def _json_pieces(lists: pd.Series) -> pd.Series:
-    """The documents of each array, taken apart. Python does no more than that; the rules stay native."""
+def _json_tokens(texts: Column) -> Column:
+    """The tokens of an array of JSON documents: which document, the token, and what a string says."""
 
-    def split(texts):
-        if texts is None:
-            return None
-        return [dict(zip(_PIECE.names, (i, *p))) for i, t in enumerate(texts) if t is not None for p in _pieces(t)]
+    def tokens(text: Column, document: Column) -> Column:
+        found = F.coalesce(F.regexp_extract_all(text, F.lit(JSON_TOKEN), F.lit(0)), F.array().cast("array<string>"))
+        is_text = lambda raw: raw.startswith('"') & (F.length(raw) > 1)
+        return F.transform(
+            found,
+            lambda raw: F.struct(
+                document.alias("document"), raw.alias("raw"), F.when(is_text(raw), _unquoted(raw)).alias("text")
+            ),
+        )
 
-    return lists.map(split)
+    return F.flatten(F.transform(texts, tokens))
 
 
 def _json_quoted(c: Column) -> Column:
     return F.regexp_extract(F.to_json(F.struct(c.alias("s"))), r'(?s)\A\{"s":(.*)\}\z', 1)
 
 
-def _joined(pieces: Column, texts: Column, document: Column | None = None) -> Column:
-    """A document put together from its pieces and their scrubbed texts."""
+def _json_items(tokens: Column, texts: Column) -> Column:
+    """Tokens with their kind (a mark, ``s`` text, ``n`` another scalar, ``?`` neither), as they go out, and whether as a
+    key they ask for redaction. Text that no rule touched goes out as it came in."""
+
+    def item(p: Column, text: Column) -> Column:
+        kind = F.when(p["text"].isNotNull(), "s").when(p["raw"].rlike(r"\A[{}\[\]:,]\z"), p["raw"])
+        kind = kind.when(p["raw"].rlike(JSON_SCALAR), "n").otherwise("?")
+        out = F.when(p["text"].isNull() | (text == p["text"]), p["raw"]).otherwise(_json_quoted(text))
+        return F.struct(
+            p["document"].alias("document"), kind.alias("kind"), p["raw"].alias("raw"), out.alias("out"),
+            F.when(p["text"].isNotNull(), is_sensitive_key(p["text"])).otherwise(False).alias("hides"),
+        )
+
+    return F.zip_with(tokens, texts, item)
+
+
+def _json_step(state: Column, item: Column) -> Column:
+    """One token. ``stack`` holds the open marks and ``want`` what may follow: a (v)alue, a value or the end of a list (V),
+    a key or the end of an object (k), a key (K), a colon, a comma or an end (e), nothing (x). ``cut`` is the depth of the
+    value that is being left out, 0 outside of one, and ``hides`` says that the next value has to be."""
+    kind, stack, want, cut = item["kind"], state["stack"], state["want"], state["cut"]
+    depth, top = F.length(stack), F.right(stack, F.lit(1))
+    value = want.isin("v", "V")
+    opens = kind.isin("{", "[") & value
+    closes = ((kind == "}") & (top == "{") & want.isin("k", "e")) | ((kind == "]") & (top == "[") & want.isin("V", "e"))
+    key = (kind == "s") & want.isin("k", "K")
+    scalar = kind.isin("s", "n") & value
+    colon, comma = (kind == ":") & (want == ":"), (kind == ",") & (want == "e")
+    shown = F.when(state["hides"] & (opens | scalar), F.lit(f'"{REDACTED}"')).when(key, item["raw"]).otherwise(item["out"])
+    return F.struct(
+        F.when(opens, F.concat(stack, kind)).when(closes, F.left(stack, depth - 1)).otherwise(stack).alias("stack"),
+        F.when(opens, F.when(kind == "{", "k").otherwise("V"))
+        .when(closes, F.when(depth > 1, "e").otherwise("x"))
+        .when(scalar, F.when(depth > 0, "e").otherwise("x"))
+        .when(key, ":").when(colon, "v")
+        .when(comma, F.when(top == "{", "K").otherwise("v")).otherwise(want).alias("want"),
+        F.when((cut == 0) & opens & state["hides"], depth + 1).when(closes & (cut == depth), 0).otherwise(cut).alias("cut"),
+        F.when(key, item["hides"]).otherwise(state["hides"] & colon).alias("hides"),
+        (state["ok"] & (opens | closes | key | scalar | colon | comma)).alias("ok"),
+        F.when(cut == 0, F.concat(state["out"], shown)).otherwise(state["out"]).alias("out"),
+    )
 
-    def write(p: Column, t: Column) -> Column:
-        written = F.concat(p["raw"], F.coalesce(F.when(p["quoted"], _json_quoted(t)).otherwise(t), F.lit("")))
-        return written if document is None else F.when(p["document"] == document, written)
 
-    # array_join leaves out the nulls of other documents' pieces.
-    return F.array_join(F.zip_with(pieces, texts, write), "")
+def _json_joined(text: Column, items: Column) -> Column:
+    """A document put together from its tokens. What does not scan as JSON is scrubbed as text, and redacted whole if it
+    looks like a document and holds a sensitive word, because its values cannot be told apart.
+
+    Output is gathered in chunks, so a long document is not copied for each of its tokens.
+    """
+    start = F.struct(
+        F.lit("").alias("stack"), F.lit("v").alias("want"), F.lit(0).alias("cut"), F.lit(False).alias("hides"),
+        F.lit(True).alias("ok"), F.lit("").alias("out"),
+    )
+    carried = ("stack", "want", "cut", "hides", "ok")
+
+    def chunk(state: Column, number: Column) -> Column:
+        fresh = F.struct(*(state[n].alias(n) for n in carried), F.lit("").alias("out"))
+        part = F.aggregate(F.slice(items, number * JSON_CHUNK + 1, JSON_CHUNK), fresh, _json_step)
+        return let(part, lambda p: F.struct(*(p[n].alias(n) for n in carried), F.concat(state["out"], p["out"]).alias("out")))
+
+    chunks = F.sequence(F.lit(0), F.floor(F.size(items) / JSON_CHUNK).cast("int"))
+    hidden = text.rlike(r"\A\s*+[{\[]") & is_sensitive_key(text)
+    plain = F.when(hidden, F.lit(REDACTED)).otherwise(scrub_string(text))
+    whole = lambda state: F.when(state["ok"] & (state["want"] == "x"), state["out"]).otherwise(plain)
+    return let(F.aggregate(chunks, start, chunk), whole)
 
 
 def scrub_json(c: Column) -> Column:
-    """Scrub a JSON document of any shape."""
+    """Scrub a JSON document of any shape and depth. Numbers, repeated keys and escapes stay as they are written."""
+
+    def scrub(text: Column) -> Column:
+        def join(tokens: Column) -> Column:
+            texts = F.transform(tokens, lambda p: scrub_string(p["text"]))
+            return let(_json_items(tokens, texts), lambda items: _json_joined(text, items))
 
-    def rebuild(pieces: Column) -> Column:
-        return _joined(pieces, F.transform(pieces, lambda p: scrub_string(p["text"])))
+        return let(_json_tokens(F.array(text)), join)
 
-    return F.when(c.isNotNull(), let(_json_pieces(F.array(c)), rebuild))
+    return F.when(c.isNotNull(), let(c, scrub))
 
 
 def pii_findings(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

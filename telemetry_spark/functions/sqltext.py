@@ -44,12 +44,13 @@ PROCEDURE_CALL = (
 RELATION = rf"(?Ui)\b(FROM|JOIN|INTO|UPDATE|TABLE)\s+({NAME})(\s*\()?"
 SELECT_FUNCTION = rf"(?Ui)\A\s*SELECT\s+({NAME})\s*\("
 FROM_INSIDE_FUNCTION = r"(?Ui)\b(?:EXTRACT|SUBSTRING|TRIM|OVERLAY)\s*\([^()]*\)"
-COMPILING = r"(?s)while compiling:\s*(.+?)\s*\z"
+COMPILING = r"(?s)while compiling:\s*+(.*)\z"
+SPACE = " \t\n\x0b\f\r"
 
 
 def sqlite_statement(reason: Column) -> Column:
     """The statement in an error text that ends in ``while compiling: ...``, null without one."""
-    return empty_to_null(F.regexp_extract(reason, COMPILING, 1))
+    return empty_to_null(F.rtrim(F.regexp_extract(reason, COMPILING, 1), F.lit(SPACE)))
 
 
 def statement_in(info: Column, reason: Column, causes: Column | None = None, keys=("sql", "statement", "query")):

@@ -22,8 +22,8 @@ def span_kind(kind: Column) -> Column:
 
 
 def round_ms(c: Column) -> Column:
-    """Two decimals, halves up, on the binary value."""
-    return F.floor(c * 100 + 0.5) / 100
+    """Two decimals, halves away from zero, on the binary value."""
+    return F.signum(c) * F.floor(F.abs(c) * 100 + 0.5) / 100
 
 
 def is_trace_id(c: Column) -> Column:

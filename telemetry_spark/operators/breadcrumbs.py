@@ -13,6 +13,7 @@ from telemetry_spark.functions.timefmt import micros, time_bucket
 from telemetry_spark.plans.asof import latest_as_of
 from telemetry_spark.plans.caps import first_n
 from telemetry_spark.plans.running import running
+from telemetry_spark.plans.session import cut_lineage
 
 
 def recorded(crumbs: DataFrame, cfg: Config = Config()) -> DataFrame:
@@ -67,18 +68,20 @@ def attach_breadcrumbs(
         trail_rows.unionByName(error_rows, allowMissingColumns=True), keys, [F.col("__at"), F.col("__seq")], slice_by,
         __number=("sum", F.col("__crumbs")), __epoch=("sum", F.col("__clears")),
     )
+    # Errors and blocks both come from here; a struct of the keys equals itself where a key is null.
+    placed = cut_lineage(placed.withColumn("__who", F.struct(F.lit(0).alias("one"), *keys)))
     block = F.floor((F.col("__number") - 1) / n)
     entry = F.struct(F.col("__number").alias("number"), F.col("__epoch").alias("epoch"), F.col("__crumb").alias("crumb"))
     blocks = (
         placed.where("__crumbs = 1")
-        .select(*keys, F.explode(F.array(block, block + 1)).alias("__block"), entry.alias("__entry"))
-        .groupBy(*keys, "__block")
+        .select("__who", F.explode(F.array(block, block + 1)).alias("__block"), entry.alias("__entry"))
+        .groupBy("__who", "__block")
         .agg(F.collect_list("__entry").alias("__entries"))
     )
     asking = placed.where("__error is not null").select(
-        *keys, "__number", "__epoch", block.alias("__block"), "__error"
+        "__who", "__number", "__epoch", block.alias("__block"), "__error"
     )
-    joined = asking.join(blocks, [*keys, "__block"], "left")
+    joined = asking.join(blocks, ["__who", "__block"], "left")
     number, epoch = F.col("__number"), F.col("__epoch")
     mine = F.filter(
         F.coalesce(F.sort_array("__entries"), F.array().cast(joined.schema["__entries"].dataType)),
@@ -88,13 +91,17 @@ def attach_breadcrumbs(
 
 
 def attach_previous_trail(
-    crashes: DataFrame, trails: DataFrame, keys: Sequence[str], slack_seconds: float = TRAIL_SLACK_SECONDS
+    crashes: DataFrame,
+    trails: DataFrame,
+    keys: Sequence[str],
+    slack_seconds: float = TRAIL_SLACK_SECONDS,
+    slice_seconds: float = 3600.0,
 ) -> DataFrame:
     """Add the trail a crashed run left behind: the last one written no later than the crash, one second of slack
     allowed, null when a later run has replaced every such trail."""
     return latest_as_of(
         crashes, trails, keys, F.col("crashed_at") + F.make_dt_interval(secs=F.lit(slack_seconds)),
-        F.col("modified_at"), F.to_json(F.struct("modified_at")), F.col("breadcrumbs"), "breadcrumbs",
+        F.col("modified_at"), F.to_json(F.struct("modified_at")), F.col("breadcrumbs"), "breadcrumbs", slice_seconds,
     )
 
 

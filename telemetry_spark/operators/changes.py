@@ -14,7 +14,7 @@ from telemetry_spark.functions.text import empty_to_null
 from telemetry_spark.functions.timefmt import micros
 from telemetry_spark.operators.delivery import filter_enabled
 from telemetry_spark.plans.asof import latest_as_of
-from telemetry_spark.plans.caps import first_n
+from telemetry_spark.plans.caps import first_of
 from telemetry_spark.plans.running import running
 
 
@@ -41,7 +41,7 @@ def enabled_changes(df: DataFrame, cfg: Config) -> DataFrame:
 def dedupe_changes(df: DataFrame) -> DataFrame:
     """One record per id, the earliest; records without an id are all kept."""
     order = [F.col("occurred_at"), F.col("kind"), F.col("title")]
-    named = first_n(df.where(F.col("id").isNotNull()), ["id"], order, 1)
+    named = first_of(df.where(F.col("id").isNotNull()), ["id"], order)
     return named.unionByName(df.where(F.col("id").isNull()))
 
 
@@ -89,13 +89,17 @@ def errors_around_changes(
 
 
 def latest_change(
-    errors: DataFrame, records: DataFrame, within_seconds: float, keys: Sequence[str] = ("environment",)
+    errors: DataFrame,
+    records: DataFrame,
+    within_seconds: float,
+    keys: Sequence[str] = ("environment",),
+    slice_seconds: float = 60.0,
 ) -> DataFrame:
     """Each error with the last change at or before it, null when that is more than ``within_seconds`` ago."""
     at = F.col("occurred_at")
     found = latest_as_of(
         errors, records, keys, at, at, F.col("change_id").cast("string"),
-        F.struct(F.col("change_id"), F.col("kind"), F.col("title"), at.alias("changed_at")), "change",
+        F.struct(F.col("change_id"), F.col("kind"), F.col("title"), at.alias("changed_at")), "change", slice_seconds,
     )
     recent = micros(at) - micros(F.col("change.changed_at")) <= int(within_seconds * 1_000_000)
     return found.withColumn("change", F.when(recent, F.col("change")))

@@ -24,7 +24,7 @@ from telemetry_spark.functions.delivery import (
     is_enabled,
 )
 from telemetry_spark.functions.timefmt import micros, time_bucket
-from telemetry_spark.plans.caps import first_n
+from telemetry_spark.plans.caps import first_n, numbered
 from telemetry_spark.plans.running import running, running_since
 
 DAY = 86400.0
@@ -117,6 +117,15 @@ def oldest_first(payloads: DataFrame) -> DataFrame:
     return payloads.orderBy(F.col("created_at").asc_nulls_first(), "payload_id")
 
 
+def upload_order(payloads: DataFrame, slice_seconds: float = 3600.0) -> DataFrame:
+    """Add ``position``, from 1: oldest first, those of unknown age before all others.
+
+    Payloads are counted by slices of their age, so no task sees all of them.
+    """
+    order = [F.col("created_at").asc_nulls_first(), F.col("payload_id")]
+    return numbered(payloads, [], order, time_bucket(F.col("created_at"), slice_seconds))
+
+
 def admit(
     events: DataFrame,
     keys: Sequence[str] = ("source",),
@@ -140,6 +149,7 @@ def admit(
     )
 
 
-def drop_report(dropped: DataFrame) -> DataFrame:
-    """Dropped records counted by signal and reason."""
-    return dropped.groupBy("signal", "reason").agg(F.count(F.lit(1)).alias("dropped"))
+def drop_report(dropped: DataFrame, records: Column | None = None) -> DataFrame:
+    """Dropped records counted by signal and reason; ``records`` says how many a row stands for, one if not given."""
+    count = F.count(F.lit(1)) if records is None else F.sum(records)
+    return dropped.groupBy("signal", "reason").agg(count.alias("dropped"))

@@ -73,16 +73,22 @@ def merge_samples(samples: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     )
 
 
+def percentile_name(q: float) -> str:
+    """``p95_ms``; ``p99_9_ms`` where a whole percentage would not tell it apart."""
+    return f"p{round(q * 100, 4):g}_ms".replace(".", "_")
+
+
 def with_percentiles(samples: DataFrame, quantiles: Sequence[float] = (0.5, 0.95, 0.99)) -> DataFrame:
     counts = [F.col(c) for c in BUCKET_COLUMNS]
     return samples.withColumns(
-        {f"p{round(q * 100)}_ms": bucket_percentile(counts, q, F.col("max_duration_ms")) for q in quantiles}
+        {percentile_name(q): bucket_percentile(counts, q, F.col("max_duration_ms")) for q in quantiles}
     )
 
 
 def top_transactions(samples: DataFrame, k: int, by: str = "duration_sum_ms") -> DataFrame:
-    """The ``k`` heaviest samples by a column, names breaking ties."""
-    return samples.orderBy(F.col(by).desc(), *[F.col(c) for c in KEYS if c in samples.columns]).limit(k)
+    """The ``k`` heaviest samples by a column, names and then periods breaking ties."""
+    ties = [F.col(c) for c in (*KEYS, *PERIOD) if c in samples.columns]
+    return samples.orderBy(F.col(by).desc_nulls_last(), *ties).limit(k)
 
 
 def tally_for(samples: DataFrame, name: str, cfg: Config = Config()) -> DataFrame:

@@ -17,7 +17,7 @@ from telemetry_spark.functions.tracing import (
     span_kind,
     strict_data,
 )
-from telemetry_spark.plans.caps import first_n
+from telemetry_spark.plans.caps import first_n, first_of
 from telemetry_spark.plans.running import running
 from telemetry_spark.plans.session import cut_lineage
 
@@ -64,13 +64,17 @@ def slow_traces(df: DataFrame, threshold_s: float = 1.0) -> DataFrame:
 
 def roots(df: DataFrame) -> DataFrame:
     """One root per trace."""
-    return first_n(df.where(IS_ROOT), ["trace_id"], [F.col("started_at"), F.col("span_id")], 1)
+    return first_of(df.where(IS_ROOT), ["trace_id"], [F.col("started_at"), F.col("span_id")])
 
 
-def cap_spans(df: DataFrame, order: list[Column], limit: int = MAX_SPANS) -> DataFrame:
+def cap_spans(
+    df: DataFrame, order: list[Column], limit: int = MAX_SPANS, threshold_s: float | None = None
+) -> DataFrame:
     """The root and the first ``limit - 1`` other spans recorded in each trace, which is as many without its root.
 
-    The root sorts first, so one ranking serves both, and what it leaves is already partitioned by trace.
+    The root sorts first, so one ranking serves both, and what it leaves is already partitioned by trace. With a
+    threshold only traces whose root took at least that long stay: the root is always among the spans kept, so it is
+    asked in the same pass.
     """
     ranking = [F.expr(f"not ({IS_ROOT})"), *order]
     kept = first_n(df, ["trace_id"], ranking, limit)
@@ -79,15 +83,18 @@ def cap_spans(df: DataFrame, order: list[Column], limit: int = MAX_SPANS) -> Dat
         {
             "__n": F.row_number().over(trace.orderBy(*ranking)),
             "__roots": F.count_if(F.expr(IS_ROOT)).over(trace),
+            "__took": F.max(F.when(F.expr(IS_ROOT), F.col("duration_ms"))).over(trace),
         }
     )
-    room = limit - F.when(F.col("__roots") > 0, 0).otherwise(1)
-    return placed.where(F.col("__n") <= room).drop("__n", "__roots")
+    stays = F.col("__n") <= limit - F.when(F.col("__roots") > 0, 0).otherwise(1)
+    if threshold_s is not None:
+        stays = stays & (F.col("__took") >= threshold_s * 1000)
+    return placed.where(stays).drop("__n", "__roots", "__took")
 
 
 def dedupe_finish(df: DataFrame, finishes: DataFrame) -> DataFrame:
     """The first record of each span, and of those only what was recorded before its trace first finished."""
-    once = first_n(df, ["trace_id", "span_id"], [F.col("recorded_at")], 1)
+    once = first_of(df, ["trace_id", "span_id"], [F.col("recorded_at")])
     finished = finishes.groupBy("trace_id").agg(F.min("finished_at").alias("__finished"))
     joined = once.join(finished, "trace_id", "left")
     in_time = F.col("__finished").isNull() | (F.col("recorded_at") <= F.col("__finished"))
@@ -99,9 +106,9 @@ def assemble_traces(
 ) -> DataFrame:
     """One envelope per slow trace: its capped spans, the root first and the rest as recorded.
 
-    The cap comes first, so the list built per trace never holds more than ``limit`` spans.
+    The cap comes first, so a hot trace moves ``limit`` spans only, and no list holds more than that.
     """
-    kept = cap_spans(slow_traces(df, cfg.trace_capture_threshold), order, limit)
+    kept = cap_spans(df, order, limit, cfg.trace_capture_threshold)
     if cfg.strict_privacy:
         kept = strict_spans(kept)
     span = F.struct(
@@ -150,12 +157,14 @@ def link_errors_to_traces(events: DataFrame, df: DataFrame) -> DataFrame:
     """Each error with its trace's root and number of spans, null for an error without a known trace."""
     # Errors outside any trace share a null id; they skip the joins instead of meeting in one partition.
     traced = events.where("trace_id is not null")
-    wanted = df.join(traced.select("trace_id").distinct(), "trace_id", "left_semi")
-    tops = roots(wanted).select(
-        "trace_id", F.col("name").alias("trace_name"), F.col("duration_ms").alias("trace_duration_ms")
+    first = F.struct(F.expr(f"not ({IS_ROOT})").alias("late"), "started_at", "span_id")
+    top = F.min(F.struct(first.alias("first"), "name", "duration_ms"))
+    known = df.groupBy("trace_id").agg(F.count(F.lit(1)).alias("trace_spans"), top.alias("__top"))
+    root = F.when(~F.col("__top.first.late"), F.col("__top"))
+    known = known.select(
+        "trace_id", "trace_spans", root["name"].alias("trace_name"), root["duration_ms"].alias("trace_duration_ms")
     )
-    sizes = wanted.groupBy("trace_id").agg(F.count(F.lit(1)).alias("trace_spans"))
-    traced = traced.join(sizes, "trace_id", "left").join(tops, "trace_id", "left")
+    traced = traced.join(known, "trace_id", "left")
     return traced.unionByName(events.where("trace_id is null"), allowMissingColumns=True)
 
 
@@ -196,7 +205,8 @@ def infer_parents(df: DataFrame, slice_seconds: float = 60.0) -> DataFrame:
     slice_by = F.floor(F.col("__at") / int(slice_seconds * 1_000_000))
     both = opened.unionByName(closed, allowMissingColumns=True)
     leveled = running(both, ["trace_id", "thread"], order, slice_by, __depth=("sum", F.col("__step")))
-    placed = leveled.where("__span is not null")
+    # Two more passes follow on what took two to make, so it is written once.
+    placed = cut_lineage(leveled.where("__span is not null"))
     asks = placed.withColumns({"__level": F.col("__depth") - F.col("__step"), "__open": F.lit(None).cast("string")})
     holders = placed.where("__step = 1").withColumns(
         {"__level": F.col("__depth"), "__open": F.col("__id"), "__span": F.lit(None).cast(asks.schema["__span"].dataType)}

@@ -37,11 +37,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
-
-
-def spread(df: DataFrame, *by: str) -> DataFrame:
-    """Give expensive per-row work one partition per core when the input has fewer splits than that. A table of
-    any size has more splits than cores and is left as it is. Hashing by a unique column spares the sort that
-    dealing rows out in turn needs to be repeatable."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *by) if df.rdd.getNumPartitions() < cores else df

@@ -33,7 +33,9 @@ def to_envelopes(
     placed = numbered(df, keys, order, slice_by, "__position")
     batch = F.floor((F.col("__position") - 1) / batch_size).alias("batch_id")
     record = F.struct(F.col("__position").alias("p"), F.struct(*named).alias("r"))
-    listed = placed.groupBy(*keys, batch).agg(F.sort_array(F.collect_list(record)).alias("entries"))
+    # Compared by position alone: records may hold maps, which have no order.
+    by_position = lambda a, b: F.when(a["p"] < b["p"], -1).otherwise(1)
+    listed = placed.groupBy(*keys, batch).agg(F.array_sort(F.collect_list(record), by_position).alias("entries"))
     records = F.transform("entries", lambda e: e["r"])
     body = F.to_json(F.struct(records.alias(LIST_KEYS[signal])), {"ignoreNullFields": "false"})
     return listed.select(*keys, "batch_id", F.size("entries").alias("records"), body.alias("body"))
@@ -61,5 +63,5 @@ def routed(envelopes: DataFrame, signal: str, dsn: Column) -> DataFrame:
 
 
 def write_envelopes(envelopes: DataFrame, path: str) -> None:
-    """Bodies by endpoint."""
-    envelopes.write.mode("append").partitionBy("endpoint").json(path)
+    """Bodies as they are posted, one a line, by endpoint."""
+    envelopes.select("endpoint", "body").write.mode("append").partitionBy("endpoint").text(path)

@@ -9,6 +9,7 @@ from telemetry_spark.config import Config
 from telemetry_spark.functions.frames import raw_frames
 from telemetry_spark.functions.timefmt import iso_seconds
 from telemetry_spark.operators.breadcrumbs import attach_previous_trail, resolve_user, scrub_trails
+from telemetry_spark.operators.delivery import filter_enabled, retain, upload_order
 from telemetry_spark.operators.events import scrub_events, strict_events
 from telemetry_spark.schemas import BREADCRUMB, ERROR_EVENT
 
@@ -92,11 +93,20 @@ def complete_signal_reports(
     return done
 
 
-def pending_events(spark: SparkSession, path: str, cfg: Config = Config(), **completion) -> DataFrame:
-    """Everything waiting under a folder, as events: JSON documents and completed signal reports."""
+def pending_events(
+    spark: SparkSession, path: str, cfg: Config = Config(), now: Column | None = None, **completion
+) -> DataFrame:
+    """What is to be uploaded out of a folder, as events: JSON documents and completed signal reports.
+
+    Nothing unless the project reports; only files inside the age limit, the newest of them up to the limit on their
+    number; ``position`` is the order in which they go out, oldest first.
+    """
+    uploaded = F.current_timestamp() if now is None else now
     events, _ = read_events(spark, path)
-    signals = complete_signal_reports(read_signal_reports(spark, path), cfg, **completion)
-    waiting = events.unionByName(signals, allowMissingColumns=True)
+    signals = complete_signal_reports(read_signal_reports(spark, path), cfg, uploaded, **completion)
+    found = filter_enabled(events.unionByName(signals, allowMissingColumns=True), cfg)
+    kept, _ = retain(found.withColumn("source", F.lit("folder")), uploaded)
+    waiting = upload_order(kept).drop("source")
     return strict_events(waiting, cfg.privacy_allowed_fields) if cfg.strict_privacy else waiting
 
 

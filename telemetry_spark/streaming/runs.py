@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from telemetry_spark.plans.session import fresh_dir, use_utc
@@ -40,12 +41,21 @@ def run_flush(
     df: DataFrame, deliver: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
     """Hand each micro-batch to ``deliver(batch, batch_id)``. A batch that is retried comes with the same id, which is
-    what a sink needs to take it once. Without an interval everything available is flushed and the stream stops."""
-    writer = df.writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint)
+    what a sink needs to take it once. Without an interval everything available is flushed and the stream stops. With one
+    a batch comes at every interval, empty if nothing has arrived, so that what waits is tried again."""
     if every is None:
+        writer = df.writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint)
         query = writer.trigger(availableNow=True).start()
         query.awaitTermination()
         return query
+    ticks = df.sparkSession.readStream.format("rate").option("rowsPerSecond", 1).load()
+    absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields]
+    ticking = df.withColumn("__tick", F.lit(False)).unionByName(ticks.select(*absent, F.lit(True).alias("__tick")))
+
+    def without_ticks(batch: DataFrame, batch_id: int) -> None:
+        deliver(batch.where("not __tick").drop("__tick"), batch_id)
+
+    writer = ticking.writeStream.foreachBatch(without_ticks).option("checkpointLocation", checkpoint)
     return writer.trigger(processingTime=every).start()
 
 

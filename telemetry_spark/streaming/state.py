@@ -21,10 +21,12 @@ from telemetry_spark.functions.latency import BOUNDARIES_MS, LABELS
 DAY_MS = 24 * 3600 * 1000
 
 
-def _ordered(chunks: Iterator[pd.DataFrame]) -> list[dict]:
-    """A key's rows as records in order. Nulls are ``None`` whatever their column's type."""
-    rows = pd.concat(list(chunks)).sort_values(["at", "seq"], kind="stable")
-    return rows.astype(object).where(rows.notna(), None).to_dict("records")
+def _ordered(chunks: Iterator[pd.DataFrame]) -> Iterator[dict]:
+    """A key's rows as records in order, made one at a time. Nulls are ``None`` whatever their column's type."""
+    rows = pd.concat(list(chunks), ignore_index=True).sort_values(["at", "seq"], kind="stable")
+    columns = [rows[c].astype(object).where(rows[c].notna(), None) for c in rows.columns]
+    for values in zip(*columns, strict=True):
+        yield dict(zip(rows.columns, values, strict=True))
 
 
 class BreadcrumbRing(StatefulProcessor):
@@ -95,7 +97,9 @@ class TraceAssembler(StatefulProcessor):
 
     Rows: ``at`` (with a watermark), ``seq``, ``is_root``, ``duration_ms``, ``span`` (JSON text). The first root
     finishes the trace; spans after it are dropped, as are those beyond the cap. A trace is forgotten, finished or
-    not, once the watermark is ``ttl_ms`` past its first row.
+    not, once the watermark is ``ttl_ms`` past its first row. One that never got its root then comes out as a row
+    without a root and without spans, with the number of spans that were given up. A root that comes after that starts
+    a new trace of the same id.
     """
 
     SCHEMA = "trace_id string, spans int, root string, rest array<string>"
@@ -111,7 +115,9 @@ class TraceAssembler(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         if self.closed.exists():
             return
-        ordered = _ordered(rows)
+        ordered = [row for row in _ordered(rows) if row["at"] is not None]
+        if not ordered:
+            return
         if not any(True for _ in self.handle.listTimers()):
             self.handle.registerTimer(int(pd.Timestamp(ordered[0]["at"]).timestamp() * 1000) + self.ttl_ms)
         spans = [r[0] for r in self.spans.get()] if self.spans.exists() else []
@@ -120,7 +126,8 @@ class TraceAssembler(StatefulProcessor):
             if row["is_root"]:
                 self.closed.update((True,))
                 self.spans.clear()
-                if row["duration_ms"] >= self.threshold_s * 1000:
+                # A root without a duration finishes its trace, which is not known to be slow.
+                if row["duration_ms"] is not None and row["duration_ms"] >= self.threshold_s * 1000:
                     sent = (key[0], len(spans) + 1, row["span"], spans)
                     yield pd.DataFrame([sent], columns=["trace_id", "spans", "root", "rest"])
                 return
@@ -130,9 +137,11 @@ class TraceAssembler(StatefulProcessor):
             self.spans.appendList([(s,) for s in spans[known:]])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        given_up = sum(1 for _ in self.spans.get()) if self.spans.exists() else 0
         self.spans.clear()
         self.closed.clear()
-        return iter([])
+        if given_up:
+            yield pd.DataFrame([(key[0], given_up, None, None)], columns=["trace_id", "spans", "root", "rest"])
 
     def close(self) -> None:
         pass
@@ -153,6 +162,8 @@ class QueueAdmission(StatefulProcessor):
         pending = self.pending.get()[0] if self.pending.exists() else 0
         out = []
         for row in _ordered(rows):
+            if row["delta"] is None:
+                continue
             admitted = pending + row["delta"] <= self.limit
             pending = min(pending + row["delta"], self.limit)
             out.append((key[0], row["trace_id"], admitted, pending))
@@ -192,7 +203,8 @@ class TallyFlusher(StatefulProcessor):
     Rows: ``at``, ``seq``, ``kind``, ``transaction_name``, ``duration_ms``, ``status``. A ``record`` is tallied, a
     ``snapshot`` sends every tally, an ``outcome`` settles the last snapshot by its status: delivered and rejected
     tallies go, failed ones stay for the next snapshot until ``limit`` failures in a row drop them too.
-    ``carry_max`` keeps a maximum that has been sent on a tally that still holds newer records.
+    ``carry_max`` keeps a maximum that has been sent on a tally that still holds newer records; without it such a tally
+    goes on with the maximum of its newer records.
     """
 
     SCHEMA = (
@@ -200,7 +212,7 @@ class TallyFlusher(StatefulProcessor):
         "max_duration_ms double, histogram map<string,bigint>"
     )
 
-    def __init__(self, limit: int = MAX_CONSECUTIVE_FAILURES, carry_max: bool = False):
+    def __init__(self, limit: int = MAX_CONSECUTIVE_FAILURES, carry_max: bool = True):
         self.limit, self.carry_max = limit, carry_max
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -211,6 +223,8 @@ class TallyFlusher(StatefulProcessor):
         tallies, out = kept["tallies"], []
         for row in _ordered(rows):
             if row["kind"] == "record":
+                if row["duration_ms"] is None:
+                    continue  # nothing was measured
                 empty = {"count": 0, "sum": 0.0, "max": 0.0, "newest_max": 0.0, "histogram": {}}
                 _add(tallies.setdefault(row["transaction_name"], empty), float(row["duration_ms"]))
             elif row["kind"] == "snapshot":
@@ -221,7 +235,8 @@ class TallyFlusher(StatefulProcessor):
                         key[0], row["seq"], name, tally["count"], tally["sum"], tally["max"], dict(tally["histogram"])
                     ))
             else:
-                self._settle(kept, int(row["status"]))
+                # No status is no answer, which the rules count as a failure.
+                self._settle(kept, 0 if row["status"] is None else int(row["status"]))
         self.state.update((json.dumps(kept),))
         columns = ["source", "flush_seq", "transaction_name", "request_count", "duration_sum_ms", "max_duration_ms",
                    "histogram"]

@@ -1,16 +1,21 @@
 """The skew-proof plan shapes give what plain windows and brute force give."""
 
+import os
 import random
 
 import pytest
+import workload
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from telemetry_spark.plans.asof import latest_as_of
-from telemetry_spark.plans.caps import first_n, numbered
+from telemetry_spark.plans.caps import first_n, first_of, numbered
 from telemetry_spark.plans.running import running, running_since
 
 
+SF_DIR = "/root/testdata/sf0.001"
+
+
 @pytest.fixture(scope="module")
 def rows(spark):
     """3000 rows, a third of them under one key, some under a null one."""
@@ -82,3 +87,29 @@ def test_a_hot_key_is_shared_between_tasks(spark, rows):
     assert "hashpartitioning(__key" in text and "__slice" in text
     capped = first_n(rows, ["k"], [F.col("t")], 3)._jdf.queryExecution().executedPlan().toString()
     assert capped.count("WindowGroupLimit") == 4 and "Partial" in capped
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="needs the given tables")
+@pytest.mark.parametrize(("query", "scans"), [("inferred_parents", 4), ("error_trails", 2), ("errors_to_traces", 4), ("assembled_traces", 2)])
+def test_inputs_are_not_read_again_and_again(spark, query, scans):
+    plan = final_plan(workload.REGISTRY[query][0](spark, SF_DIR))
+    assert plan.count("FileScan") <= scans
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="needs the given tables")
+def test_traces_are_assembled_in_two_exchanges(spark):
+    plan = final_plan(workload.REGISTRY["assembled_traces"][0](spark, SF_DIR))
+    assert plan.count("Exchange hashpartitioning") <= 2
+
+
+def test_first_of_is_the_same_in_every_run(rows):
+    tied = rows.withColumn("t", F.col("t") % 3)
+    want = first_of(tied, ["k"], [F.col("t")]).collect()
+    assert sorted(map(str, want)) == sorted(map(str, first_of(tied.repartition(7), ["k"], [F.col("t")]).collect()))
+    least = {r.k: r.t for r in tied.groupBy("k").agg(F.min("t").alias("t")).collect()}
+    assert {r.k: r.t for r in want} == least

@@ -1,5 +1,8 @@
 """Streams over several files: state carries over between micro-batches, and failed deliveries are retried."""
 
+import os
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -170,6 +173,8 @@ def test_metrics_wait_for_a_delivery_that_succeeds(spark, scratch):
     flusher(batch("e"), 8)  # a batch that is run again is not sent again
     flusher(nothing, 9)  # nothing left: no delivery
     assert seen == [["a"], ["a", "b"], ["c"], ["d"], ["d"], ["d"], ["d"], ["d"], ["e"]]
+    assert sorted(os.listdir(scratch + "/state")) == ["entries", "marks"]
+    assert os.listdir(scratch + "/state/entries") == [] and len([m for m in os.listdir(scratch + "/state/marks") if m[0] != "."]) == 1
     outcomes = [r.outcome for r in flusher.history(spark).orderBy("batch_id").collect()]
     assert outcomes == ["failed", "delivered", "rejected", *["failed"] * 4, "dropped", "delivered"]
 
@@ -192,3 +197,59 @@ def test_run_flush_hands_over_every_batch_once(spark, stream, scratch):
     assert got == {0: [1, 2], 1: [3]}
     runs.run_flush(source, lambda df, i: got.setdefault(i, []), scratch + "/checkpoint")
     assert len(got) == 2
+
+
+def test_what_waits_keeps_its_place(spark, scratch):
+    """A late row with an old time does not push out an entry that already waits."""
+    seen = []
+    flusher = MetricFlusher(lambda e, i: seen.append(sorted(r.name for r in e.collect())) or 503, scratch + "/state", limit=2)
+
+    def rows(*named):
+        data = [("s", i, name, day) for i, (name, day) in enumerate(named)]
+        return spark.createDataFrame(data, "source string, seq bigint, name string, day string").selectExpr(
+            "source", "seq", "name", "cast(day as timestamp) as recorded_at")
+
+    flusher(rows(("new", "2024-01-05"), ("newer", "2024-01-06")), 0)
+    flusher(rows(("late", "2023-01-01")), 1)
+    assert seen == [["new", "newer"], ["new", "newer"]]
+
+
+def test_a_failed_delivery_is_tried_again_without_new_rows(spark, stream, scratch):
+    answers, seen = iter([503, 503, 202]), []
+
+    def deliver(entries, batch_id):
+        seen.append(sorted(r.name for r in entries.collect()))
+        return next(answers)
+
+    source = stream("source string, seq bigint, name string", [[("s", 1, "a")]])
+    source = source.withColumn("recorded_at", F.lit("2024-01-01").cast("timestamp"))
+    query = runs.run_flush(source, MetricFlusher(deliver, scratch + "/state"), scratch + "/checkpoint", "1 second")
+    until = time.time() + 60
+    while len(seen) < 3 and time.time() < until and query.exception() is None:
+        time.sleep(0.5)
+    runs.discard(query)
+    assert seen == [["a"], ["a"], ["a"]]
+
+
+def test_rows_that_lack_a_value_do_not_stop_a_stream(spark, stream, scratch):
+    schema = "trace_id string, seq bigint, is_root boolean, duration_ms double, span string"
+    batches = [[("a", 1, False, None, "a1"), ("b", 1, True, None, "b1")], [("a", 2, True, float("nan"), "a2"), ("c", 1, True, 2000.0, "c1")]]
+    assembled = state.keyed(timed(stream(schema, batches)), "trace_id", state.TraceAssembler(), "1 hour")
+    assert {r.trace_id for r in flushed(spark, assembled, scratch)} == {"c"}
+
+
+def test_a_tally_passes_over_what_was_not_measured(spark, stream, scratch):
+    schema = "source string, seq bigint, kind string, transaction_name string, duration_ms double, status int"
+    batches = [[("s", 1, "record", "t", None, None), ("s", 2, "record", "t", 70.0, None), ("s", 3, "snapshot", None, None, None)],
+               [("s", 4, "outcome", None, None, None), ("s", 5, "snapshot", None, None, None)]]
+    rows = flushed(spark, state.keyed(timed(stream(schema, batches)), "source", state.TallyFlusher()), scratch)
+    assert [(r.flush_seq, r.request_count, r.duration_sum_ms) for r in rows] == [(3, 1, 70.0), (5, 1, 70.0)]
+
+
+def test_an_unfinished_trace_is_counted_when_it_is_given_up(spark, stream, scratch):
+    schema = "trace_id string, seq bigint, is_root boolean, duration_ms double, span string"
+    day = 86400
+    batches = [[("a", 1, False, 1.0, "a1"), ("a", 2, False, 1.0, "a2")], [("b", 3 * day, True, 5000.0, "b1")], [("c", 6 * day, True, 1.0, "c1")]]
+    assembled = state.keyed(timed(stream(schema, batches)), "trace_id", state.TraceAssembler(), "1 hour")
+    got = {(r.trace_id, r.spans, r.root) for r in flushed(spark, assembled, scratch)}
+    assert got == {("a", 2, None), ("b", 1, "b1")}

@@ -95,15 +95,15 @@ FROM r"""
 
 
 def pending_oldest_first(spark, sf):
-    """The hundred oldest reports still inside the age limit, in the order they go out."""
+    """Every report still inside the limits, with its place in the order in which they go out."""
     kept, _ = op.retain(payloads(spark, sf), F.lit(NOW).cast("timestamp"))
-    return op.oldest_first(kept).limit(100).select("source", "payload_id")
+    return op.upload_order(kept).select("source", "payload_id", "position")
 
 
 OLDEST_SQL = f"""
-SELECT source, payload_id FROM (SELECT r.*, CASE WHEN event_type <> 'signup' THEN ts END AS created_at
-  FROM ({RETAIN_SQL}) r JOIN events ON event_id = payload_id WHERE drop_reason IS NULL)
-ORDER BY created_at NULLS FIRST, payload_id LIMIT 100"""
+SELECT source, payload_id, row_number() OVER (ORDER BY created_at NULLS FIRST, payload_id) AS position
+FROM (SELECT r.*, CASE WHEN event_type <> 'signup' THEN ts END AS created_at
+  FROM ({RETAIN_SQL}) r JOIN events ON event_id = payload_id WHERE drop_reason IS NULL)"""
 
 QUEUE_LIMIT = 3
 

@@ -10,10 +10,10 @@ from telemetry_spark.functions.timefmt import iso_millis, iso_seconds
 from telemetry_spark.operators import breadcrumbs as trail
 from telemetry_spark.operators import changes as change
 from telemetry_spark.operators.events import build_events
-from telemetry_spark.plans.session import fresh_dir, spread
-from telemetry_spark.schemas import ERROR_EVENT
+from telemetry_spark.plans.session import fresh_dir
+from telemetry_spark.schemas import BREADCRUMB, ERROR_EVENT
 from telemetry_spark.sources.envelopes import change_envelopes
-from telemetry_spark.sources.reports import complete_signal_reports, signal_events, write_events
+from telemetry_spark.sources.reports import complete_signal_reports, read_trails, signal_events, write_events, write_trails
 from workload.tables import ITEM_SQL, events, iso_sql, item, table
 
 CLEARS = "event_type = 'purchase' and value > 30"
@@ -138,7 +138,7 @@ REPORTING = Config(
 
 def raw_errors(spark, sf):
     """Exceptions with everything an error can carry."""
-    rows = spread(events(spark, sf).where("event_type = 'error'"), "event_id")
+    rows = events(spark, sf).where("event_type = 'error'")
     user = F.col("user_id").cast("string")
     crumb = F.struct(
         F.lit("payment").alias("category"), F.concat(F.lit("mailed u"), user, F.lit("@example.com")).alias("message"),
@@ -233,7 +233,7 @@ def parsed_frames(spark, sf):
     )
     frames = parse_frames(F.array(line), F.lit("Shop"))
     seed = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return spread(table(spark, sf, "lineitem"), "l_orderkey", "l_partkey").select(seed.alias("id"), F.get(frames, F.lit(0)).alias("f")).select(
+    return table(spark, sf, "lineitem").select(seed.alias("id"), F.get(frames, F.lit(0)).alias("f")).select(
         "id", F.col("f.file").alias("file"), F.col("f.method").alias("method"), F.col("f.in_app").alias("in_app")
     )
 
@@ -245,13 +245,49 @@ SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id,
   CASE WHEN l_linestatus = 'F' THEN l_returnflag = 'R' END AS in_app FROM lineitem"""
 
 
-def raw_changes(spark, sf, title=None):
-    """A change per document: whole texts as titles, unless another title is given."""
+def long_stacks(spark, sf):
+    """Stacks around the limit of 500 frames, a line in seven of them no frame."""
+    depth = 380 + F.col("s_suppkey") * 7 % 400
+    line = lambda i: F.concat(i.cast("string"), F.when(i % 7 == 0, " no frame ").otherwise(" Shop 0x1f "), F.lit("f"), i.cast("string"), F.lit(" + 3"))
+    frames = parse_frames(F.transform(F.sequence(F.lit(1).cast("bigint"), depth), line), F.lit("Shop"))
+    stacks = table(spark, sf, "supplier").select("s_suppkey", frames.alias("frames"))
+    return stacks.select("s_suppkey", F.size("frames").alias("frames"), F.element_at("frames", -1)["method"].alias("last"))
+
+
+STACKS_SQL = """
+SELECT s_suppkey, CAST(least(500, d - d // 7) AS INTEGER) AS frames,
+       'f' || CASE WHEN d - d // 7 > 500 THEN 583 WHEN d % 7 = 0 THEN d - 1 ELSE d END AS last
+FROM (SELECT s_suppkey, 380 + s_suppkey * 7 % 400 AS d FROM supplier)"""
+
+
+def reread_trails(spark, sf):
+    """Trails written the way a run leaves them, and read back: texts and data scrubbed, empty trails left out."""
+    rows = events(spark, sf).where("event_type in ('view', 'click')")
+    entry = F.struct(
+        F.lit("custom").alias("category"), F.concat(F.lit("mail u"), F.col("user_id"), F.lit("@x.org")).alias("message"),
+        F.lit("info").alias("level"), F.col("ts").alias("timestamp"),
+        F.concat(F.lit('{"pwd": 1, "k": '), item(rows), F.lit("}")).alias("data"),
+    )
+    crumbs = F.when(F.col("event_type") == "view", F.array(entry)).otherwise(F.array().cast(f"array<{BREADCRUMB}>"))
+    trails = rows.select(F.col("event_id").cast("string").alias("device"), F.col("ts").alias("modified_at"), crumbs.alias("breadcrumbs"))
+    path = fresh_dir(spark, "trails")
+    write_trails(trails, path)
+    crumb = F.col("breadcrumbs")[0]
+    return read_trails(spark, path).select("device", crumb["message"].alias("message"), crumb["data"].alias("data"))
+
+
+REREAD_SQL = f"""
+SELECT event_id::VARCHAR AS device, 'mail [EMAIL FILTERED]' AS message, '{{"pwd":"[FILTERED]","k":' || {ITEM_SQL} || '}}' AS data
+FROM events WHERE event_type = 'view'"""
+
+
+def raw_changes(spark, sf):
+    """A change per document: whole texts as titles."""
     key = F.col("doc_id")
     text = F.when(key % 11 == 0, " \n\t ").otherwise(F.concat(F.lit(" \n"), "text"))
-    return spread(table(spark, sf, "documents"), "doc_id").select(
+    return table(spark, sf, "documents").select(
         F.when(key % 3 == 0, "feature_flag").when(key % 3 == 1, "config").otherwise("flag").alias("kind"),
-        (text if title is None else title).alias("title"),
+        text.alias("title"),
         F.when(key % 2 == 0, "qa").alias("environment"),
         F.timestamp_seconds(F.lit(1704067200) + key * 60).alias("occurred_at"),
         F.when(key % 2 == 0, F.concat(F.lit('{"n":'), key, F.lit("}"))).otherwise("[1").alias("details"),
@@ -291,20 +327,19 @@ UNION ALL SELECT id, kind, occurred_at FROM c WHERE id IS NULL"""
 
 
 def change_bodies(spark, sf):
-    titled = raw_changes(spark, sf, F.concat(F.lit("change of "), F.col("source")))
-    built = change.changes(titled)
-    return change_envelopes(built.where("id is not null")).select("body")
+    return change_envelopes(change.changes(raw_changes(spark, sf))).select("body")
 
 
 BODIES_SQL = """
 SELECT '{"kind":"' || CASE doc_id % 3 WHEN 0 THEN 'feature_flag' WHEN 1 THEN 'config' ELSE 'other' END
-  || '","title":"change of ' || source || '","environment":"' || CASE WHEN doc_id % 2 = 0 THEN 'qa' ELSE 'production' END
+  || '","title":' || to_json(left(regexp_replace(text, '^[\\s\\x{a0}]+|[\\s\\x{a0}]+$', '', 'g'), 200))
+  || ',"environment":"' || CASE WHEN doc_id % 2 = 0 THEN 'qa' ELSE 'production' END
   || '","occurred_at":"' || strftime(make_timestamp((1704067200 + doc_id * 60) * 1000000), '%Y-%m-%dT%H:%M:%S.%gZ')
   || '"' || CASE WHEN doc_id % 2 = 0 THEN ',"details":{"n":' || doc_id || '}' ELSE '' END
   || CASE WHEN doc_id % 5 > 0 THEN ',"service":"' || source || '"' ELSE '' END
   || CASE WHEN doc_id % 7 > 0 THEN ',"url":"https://x.test/' || doc_id || '"' ELSE '' END
-  || ',"id":"' || source || '-' || lang || '"}' AS body
-FROM documents WHERE doc_id % 4 > 0"""
+  || CASE WHEN doc_id % 4 > 0 THEN ',"id":"' || source || '-' || lang || '"' ELSE '' END || '}' AS body
+FROM documents WHERE doc_id % 11 <> 0"""
 
 
 def timeline(spark, sf):
@@ -360,6 +395,8 @@ QUERIES = {
     "written_events": (written_events, WRITTEN_SQL),
     "signal_reports": (signal_reports, SIGNALS_SQL),
     "parsed_frames": (parsed_frames, FRAMES_SQL),
+    "long_stacks": (long_stacks, STACKS_SQL),
+    "reread_trails": (reread_trails, REREAD_SQL),
     "change_records": (change_records, CHANGES_SQL),
     "deduped_changes": (deduped_changes, DEDUPED_SQL),
     "change_bodies": (change_bodies, BODIES_SQL),

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from telemetry_spark.functions.timefmt import iso_seconds, time_bucket
 from telemetry_spark.operators import metrics as op
-from telemetry_spark.operators.delivery import drop_report
+from telemetry_spark.operators.delivery import drop_report, retain, streaks
 from telemetry_spark.sources.envelopes import routed, to_envelopes
+from workload import delivery
 from workload.tables import events, iso_sql, table
 
 THIRTY_DAYS = 30 * 86400
@@ -106,19 +107,39 @@ SELECT metric_name, {iso_sql(f"make_timestamp({WINDOW_SQL} * {THIRTY_DAYS} * 100
 
 
 def drop_counts(spark, sf):
-    """Everything the metric rules drop, by signal and reason."""
+    """Everything that is dropped, by signal and reason: by the metric rules, the buffer, deliveries and retention."""
     lines = readings(spark, sf)
     invalid = lines.where(~F.coalesce(op.finite(F.col("value")), F.lit(False)))
     _, homeless = op.resolve_hostname(infrastructure(spark, sf), "web-1")
-    reasons = invalid.select(F.lit("metric").alias("signal"), F.lit("not a finite number").alias("reason"))
-    hosts = homeless.select(F.lit("infra_metric").alias("signal"), F.lit("no hostname").alias("reason"))
-    return drop_report(reasons.unionByName(hosts))
-
-
-DROPS_SQL = """
+    over = op.cap_overflow(metrics(spark, sf), ["metric_name"], "30 days")
+    tried = streaks(delivery.event_attempts(spark, sf)).where("action = 'dropped'")
+    _, stale = retain(delivery.payloads(spark, sf), F.lit(delivery.NOW).cast("timestamp"))
+
+    def named(df, signal, reason, records=1):
+        reason = F.lit(reason) if isinstance(reason, str) else reason
+        records = F.lit(records) if isinstance(records, int) else records
+        return df.select(F.lit(signal).alias("signal"), reason.alias("reason"), records.cast("bigint").alias("records"))
+
+    rejected = F.when(F.col("outcome") == "rejected", "rejected").otherwise("failed too often")
+    parts = [
+        named(invalid, "metric", "not a finite number"), named(homeless, "infra_metric", "no hostname"),
+        named(over.where("dropped > 0"), "metric", "buffer full", F.col("dropped")), named(tried, "batch", rejected),
+        named(stale, "event", F.col("drop_reason")),
+    ]
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    return drop_report(every, F.col("records"))
+
+
+DROPS_SQL = f"""
 SELECT 'metric' AS signal, 'not a finite number' AS reason, count(*) AS dropped FROM lineitem
 WHERE l_tax = 0 OR l_discount = 0 OR l_linenumber = 7
-UNION ALL SELECT 'infra_metric', 'no hostname', count(*) FROM events WHERE event_type = 'view'"""
+UNION ALL SELECT 'infra_metric', 'no hostname', count(*) FROM events WHERE event_type = 'view'
+UNION ALL SELECT 'metric', 'buffer full', sum(dropped) FROM ({OVERFLOW_SQL}) HAVING sum(dropped) > 0
+UNION ALL SELECT 'batch', CASE outcome WHEN 'rejected' THEN 'rejected' ELSE 'failed too often' END, count(*)
+  FROM ({delivery.STREAKS_SQL}) WHERE action = 'dropped' GROUP BY 2
+UNION ALL SELECT 'event', drop_reason, count(*) FROM ({delivery.RETAIN_SQL}) WHERE drop_reason IS NOT NULL GROUP BY 2"""
 
 
 def metric_envelopes(spark, sf):

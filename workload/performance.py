@@ -8,6 +8,7 @@ from telemetry_spark.config import Config
 from telemetry_spark.functions.latency import BOUNDARIES_MS, BUCKET_COLUMNS
 from telemetry_spark.functions.timefmt import iso_seconds
 from telemetry_spark.operators import performance as op
+from telemetry_spark.sources.envelopes import to_envelopes
 from workload.tables import MEASUREMENTS_SQL, events, iso_sql, measurements, table
 
 NAME = ["transaction_name"]
@@ -96,7 +97,67 @@ def top_transactions(spark, sf):
 TOP_SQL = f"""
 SELECT * EXCLUDE (started, s), round(s, 4) AS duration_sum_ms, {iso_sql('started')} AS period_started_at,
        {iso_sql('started + INTERVAL 1 HOUR')} AS period_ended_at
-FROM (SELECT * FROM ({HOURLY_SQL}) ORDER BY s DESC, transaction_name LIMIT 20)"""
+FROM (SELECT * FROM ({HOURLY_SQL}) ORDER BY s DESC, transaction_name, started LIMIT 20)"""
+
+
+def feature_gates(spark, sf):
+    """How many samples are left with the feature on, and with it off."""
+    timings = measurements(spark, sf)
+    counted = [
+        op.performance_samples(timings, Config(track_performance=on), "1 hour").agg(F.count(F.lit(1)).alias("samples"))
+        .select(F.lit(on).alias("tracked"), "samples")
+        for on in (True, False)
+    ]
+    return counted[0].unionByName(counted[1])
+
+
+GATES_SQL = f"SELECT true AS tracked, count(*) AS samples FROM ({HOURLY_SQL}) UNION ALL SELECT false, 0"
+
+
+def sample_bodies(spark, sf):
+    """Samples in bodies of a hundred, read back out of the bodies."""
+    wire = op.with_histogram(_hourly(spark, sf))
+    order = [F.col(c) for c in ("period_started_at", "transaction_name")]
+    slices = F.floor(F.unix_seconds("period_started_at") / 86400)
+    sent = to_envelopes(wire, "performance_samples", order, slices, batch_size=100)
+    read = "samples array<struct<transaction_name:string,request_count:bigint,max_duration_ms:double,histogram:map<string,bigint>>>"
+    rows = sent.select("batch_id", "records", F.explode(F.from_json("body", read)["samples"]).alias("s"))
+    return rows.select(
+        "batch_id", "records", F.col("s.transaction_name").alias("transaction_name"), F.col("s.request_count").alias("request_count"),
+        F.col("s.max_duration_ms").alias("max_duration_ms"),
+        F.aggregate(F.map_values("s.histogram"), F.lit(0).cast("bigint"), lambda a, b: a + b).alias("in_buckets"),
+    )
+
+
+BODIES_SQL = f"""
+SELECT (n - 1) // 100 AS batch_id, CAST(count(*) OVER (PARTITION BY (n - 1) // 100) AS INTEGER) AS records,
+       transaction_name, request_count, max_duration_ms, request_count AS in_buckets
+FROM (SELECT *, row_number() OVER (ORDER BY started, transaction_name) AS n FROM ({HOURLY_SQL}))"""
+
+
+def heaviest_transactions(spark, sf):
+    """The transactions that took most time in all."""
+    return rounded(op.top_transactions(op.merge_samples(_hourly(spark, sf), NAME), 3))
+
+
+HEAVIEST_SQL = f"""
+SELECT transaction_name, count(*) AS request_count, round(sum(duration_ms), 4) AS duration_sum_ms,
+       max(duration_ms) AS max_duration_ms, {bucket_sql('duration_ms')}
+FROM ({MEASUREMENTS_SQL}) GROUP BY transaction_name ORDER BY sum(duration_ms) DESC, transaction_name LIMIT 3"""
+
+
+def slowest_transactions(spark, sf):
+    """The transactions with the highest 95th percentile, by name where equal."""
+    merged = op.with_percentiles(op.merge_samples(_hourly(spark, sf), NAME), (0.95, 0.999))
+    return rounded(op.top_transactions(merged, 3, "p95_ms"))
+
+
+SLOWEST_SQL = f"""
+WITH t AS (SELECT transaction_name, count(*) AS request_count, round(sum(duration_ms), 4) AS duration_sum_ms,
+                  max(duration_ms) AS max_duration_ms, {bucket_sql('duration_ms')}
+           FROM ({MEASUREMENTS_SQL}) GROUP BY transaction_name)
+SELECT *, {percentile_sql(950)} AS p95_ms, {percentile_sql(999)} AS p99_9_ms FROM t
+ORDER BY p95_ms DESC, transaction_name LIMIT 3"""
 
 SENT = "ts < TIMESTAMP '2024-01-16' OR transaction_name = 'view'"
 
@@ -169,6 +230,10 @@ QUERIES = {
     "performance_percentiles": (performance_percentiles, PERCENTILES_SQL),
     "merged_samples": (merged_samples, MERGED_SQL),
     "top_transactions": (top_transactions, TOP_SQL),
+    "feature_gates": (feature_gates, GATES_SQL),
+    "sample_bodies": (sample_bodies, BODIES_SQL),
+    "heaviest_transactions": (heaviest_transactions, HEAVIEST_SQL),
+    "slowest_transactions": (slowest_transactions, SLOWEST_SQL),
     "subtracted_tallies": (subtracted_tallies, SUBTRACT_SQL),
     "strict_performance": (strict_performance, STRICT_PERFORMANCE_SQL),
     "tally_lookup": (tally_lookup, TALLY_LOOKUP_SQL),

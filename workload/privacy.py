@@ -8,7 +8,6 @@ from telemetry_spark.functions import privacy as fn
 from telemetry_spark.functions.timefmt import iso_seconds
 from telemetry_spark.operators.events import strict_events, strict_failures
 from telemetry_spark.operators.issues import issues as issues_of
-from telemetry_spark.plans.session import spread
 from workload.performance import PAGE_PARTS_SQL, REDUCED_PATH_SQL
 from workload.tables import ITEM_SQL, events, iso_sql, item, table
 
@@ -37,7 +36,7 @@ def message_fingerprints(spark, sf):
     turns = table(spark, sf, "conversations").select(
         F.concat(F.lit("c"), F.col("conv_id"), F.lit("."), F.col("turn")).alias("id"), F.col("text")
     )
-    messages = spread(documents.unionByName(turns), "id")
+    messages = documents.unionByName(turns)
     return messages.select("id", fn.message_fingerprint(F.col("text")).alias("fingerprint"))
 
 
@@ -62,7 +61,7 @@ def error_rows(spark, sf):
 
 
 def issues(spark, sf):
-    found = issues_of(spread(error_rows(spark, sf).drop("event_type"), "event_id"))
+    found = issues_of(error_rows(spark, sf).drop("event_type"))
     stamped = {c: iso_seconds(F.col(c)) for c in ("first_seen", "last_seen")}
     return found.withColumns(stamped)
 
@@ -78,7 +77,7 @@ FROM events GROUP BY 1, 2"""
 
 def strict_event_rows(spark, sf):
     """Events reduced twice over, the second time to show that nothing more happens."""
-    rows = spread(error_rows(spark, sf), "event_id")
+    rows = error_rows(spark, sf)
     raw = rows.select(
         "event_id", "exception_class", "message",
         F.concat(F.lit('{"k":'), item(rows), F.lit(',"who":"Jane","nested":{"a":1},"type":"'), F.col("event_type"),

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from telemetry_spark.functions import sqltext as fn
 from telemetry_spark.operators.issues import sql_object_counts
-from telemetry_spark.plans.session import spread
 from workload.tables import table
 
 Q = "''"
@@ -28,7 +27,7 @@ def line_statements(spark, sf):
         .otherwise(F.concat(F.lit("  "), F.lit("explain "), F.col("l_shipdate").cast("date").cast("string")))
     )
     seed = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return spread(table(spark, sf, "lineitem"), "l_orderkey", "l_partkey").select(seed.alias("id"), number.alias("shape"), statement.alias("statement"))
+    return table(spark, sf, "lineitem").select(seed.alias("id"), number.alias("shape"), statement.alias("statement"))
 
 
 def masked_statements(spark, sf):
@@ -85,26 +84,44 @@ SELECT split_part(x, ':', 1) AS object_type, split_part(x, ':', 2) AS object_nam
        count(*) AS statements FROM o GROUP BY ALL"""
 
 
+def many_names(spark, sf):
+    """Statements that touch more tables than are kept, some by names longer than is kept."""
+    n = 4 + F.col("p_size") % 20
+    name = lambda i: F.concat(F.lit("t"), i.cast("string"), F.repeat(F.lit("x"), (F.col("p_size") % 3 * 150).cast("int")))
+    statement = F.concat(F.lit("SELECT 1 FROM "), F.array_join(F.transform(F.sequence(F.lit(1), n.cast("int")), name), " JOIN "))
+    parts = table(spark, sf, "part").select("p_partkey", fn.sql_objects(statement).alias("o"))
+    return parts.select("p_partkey", F.size("o.relations").alias("names"), F.element_at("o.relations", -1).alias("last"))
+
+
+NAMES_SQL = """
+SELECT p_partkey, CAST(least(10, 4 + p_size % 20) AS INTEGER) AS names,
+       left('t' || least(10, 4 + p_size % 20) || repeat('x', p_size % 3 * 150), 200) AS last FROM part"""
+
+
 def masked_documents(spark, sf):
-    """Whole documents as string literals, as bare text cut at 4000 characters, and in double quotes per system."""
+    """Whole documents as string literals, as bare text cut at 4000 characters, and in double quotes, which one system
+    reads as a literal and the other as a name."""
     text = F.col("text")
-    quoted = F.concat(F.lit("INSERT INTO t (a) VALUES (E'"), F.replace(F.replace(text, F.lit("\\"), F.lit("")), F.lit("'"), F.lit("''")), F.lit("', 7)"))
+    escaped = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    quoted = F.concat(F.lit("INSERT INTO t (a) VALUES (E'"), F.replace(escaped, F.lit("'"), F.lit("''")), F.lit("', 7)"))
     words = F.concat(F.lit("SELECT "), F.regexp_replace(text, "[^A-Za-z ]", ""))
-    double = F.concat(F.lit('SELECT "'), F.replace(F.replace(text, F.lit("\\"), F.lit("")), F.lit('"'), F.lit("")), F.lit('" FROM t'))
-    system = F.when(F.col("doc_id") % 2 == 0, "MariaDB").otherwise("postgresql")
-    documents = spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    double = F.concat(F.lit('SELECT "'), F.replace(escaped, F.lit('"'), F.lit('""')), F.lit('" FROM t'))
+    name = F.concat(F.lit('SELECT "'), F.regexp_replace(text, "[^A-Za-z ]", ""), F.lit('" FROM t WHERE a = 12'))
+    documents = table(spark, sf, "documents").select("doc_id", "text")
     return documents.withColumn("cut", fn.mask_sql(words)).select(
         "doc_id", fn.mask_sql(quoted).alias("literal"), F.md5("cut").alias("cut_md5"),
-        F.length("cut").cast("bigint").alias("cut_length"),
-        F.when(F.col("doc_id") % 2 == 0, fn.mask_sql(double, system)).alias("mysql"),
+        F.length("cut").cast("bigint").alias("cut_length"), fn.mask_sql(double, F.lit("MariaDB")).alias("mysql"),
+        F.md5(fn.mask_sql(name, F.lit("postgresql"))).alias("name_md5"),
     )
 
 
 DOCUMENTS_SQL = """
-WITH d AS (SELECT doc_id, 'SELECT ' || regexp_replace(text, '[^A-Za-z ]', '', 'g') AS w FROM documents),
-c AS (SELECT doc_id, CASE WHEN length(w) > 4000 THEN left(w, 4000) || '...' ELSE w END AS cut FROM d)
+WITH d AS (SELECT doc_id, 'SELECT ' || regexp_replace(text, '[^A-Za-z ]', '', 'g') AS w,
+  'SELECT "' || regexp_replace(text, '[^A-Za-z ]', '', 'g') || '" FROM t WHERE a = ?' AS q FROM documents),
+c AS (SELECT doc_id, CASE WHEN length(w) > 4000 THEN left(w, 4000) || '...' ELSE w END AS cut,
+  CASE WHEN length(q) > 4000 THEN left(q, 4000) || '...' ELSE q END AS name FROM d)
 SELECT doc_id, 'INSERT INTO t (a) VALUES (?, ?)' AS literal, md5(cut) AS cut_md5, length(cut) AS cut_length,
-       CASE WHEN doc_id % 2 = 0 THEN 'SELECT ? FROM t' END AS mysql FROM c"""
+       'SELECT ? FROM t' AS mysql, md5(name) AS name_md5 FROM c"""
 
 
 def found_statements(spark, sf):
@@ -132,6 +149,7 @@ QUERIES = {
     "masked_statements": (masked_statements, MASKED_SQL),
     "statement_objects": (statement_objects, OBJECTS_SQL),
     "sql_object_roll_up": (sql_object_roll_up, ROLL_UP_SQL),
+    "many_names": (many_names, NAMES_SQL),
     "masked_documents": (masked_documents, DOCUMENTS_SQL),
     "found_statements": (found_statements, FOUND_SQL),
 }

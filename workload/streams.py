@@ -18,10 +18,20 @@ from workload.performance import HOURLY_SQL
 from workload.tables import MEASUREMENTS_SQL, iso_sql, item
 
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+#: Events arrive in micro-batches of so many days of the month.
+BATCH_DAYS = 8
+BATCH_SQL = f"(day(ts) - 1) // {BATCH_DAYS}"
+
 
 def event_stream(spark, sf):
+    """The events as they would arrive: written out days by days, each part one micro-batch of the stream."""
     prepare(spark)
-    df = file_stream(spark, sf, EVENT_SCHEMA, "events.parquet")
+    path, files = fresh_dir(spark, "event-files"), spark.sparkContext.defaultParallelism
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    part = F.floor((F.dayofmonth("ts") - 1) / BATCH_DAYS)
+    for number in range(31 // BATCH_DAYS + 1):
+        events.where(part == number).repartition(files, "event_id").write.mode("append").parquet(path)
+    df = file_stream(spark, path, EVENT_SCHEMA, files_per_trigger=files)
     return df.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -78,8 +88,8 @@ def streamed_traces(spark, sf):
         (F.col("event_type") == "purchase").alias("is_root"), (F.col("value") * 40).alias("duration_ms"),
         F.col("event_id").cast("string").alias("span"),
     )
-    found = collected(state.keyed(shaped, "trace_id", state.TraceAssembler(limit=6), "10 minutes"), "stream-traces")
-    return found.select("trace_id", "spans", "root", F.array_join("rest", ",").alias("rest"))
+    found = collected(state.keyed(shaped, "trace_id", state.TraceAssembler(limit=6, ttl_ms=60 * state.DAY_MS), "10 minutes"), "stream-traces")
+    return found.where("root is not null").select("trace_id", "spans", "root", F.array_join("rest", ",").alias("rest"))
 
 
 STREAM_TRACES_SQL = """
@@ -171,7 +181,7 @@ UNION ALL SELECT NULL, count(*) FROM events WHERE event_type = 'view'"""
 
 
 def streamed_metrics(spark, sf):
-    """Metrics through a flusher whose delivery writes them: at most 1000 of each kind go out in a flush."""
+    """Metrics through a flusher whose delivery writes them: at most 200 of each kind go out in a flush."""
     rows = event_stream(spark, sf).select(
         F.col("event_type").alias("source"), F.col("event_id").alias("seq"), "value", F.col("ts").alias("recorded_at")
     )
@@ -181,13 +191,13 @@ def streamed_metrics(spark, sf):
         entries.write.mode("overwrite").parquet(f"{sent}/batch={batch_id}")
         return 202
 
-    run_flush(rows, MetricFlusher(deliver, fresh_dir(spark, "flush-state")), fresh_dir(spark, "flush-checkpoint"))
+    run_flush(rows, MetricFlusher(deliver, fresh_dir(spark, "flush-state"), limit=200), fresh_dir(spark, "flush-checkpoint"))
     return spark.read.parquet(sent).select("source", "seq", "value")
 
 
-STREAM_METRICS_SQL = """
+STREAM_METRICS_SQL = f"""
 SELECT event_type AS source, event_id AS seq, value FROM events
-QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) <= 1000"""
+QUALIFY row_number() OVER (PARTITION BY event_type, {BATCH_SQL} ORDER BY ts, event_id) <= 200"""
 
 QUERIES = {
     "streamed_performance": (streamed_performance, STREAM_PERFORMANCE_SQL),
