@@ -6,8 +6,8 @@ tell blocked from allowed by lengths, depth, digit share, entropy, parameter cou
 urls that no rule fits. Suffix statistics cover all labelled urls; a labelled url's own label is left out of them, and they are
 drawn towards the overall share by ``PRIOR`` urls' worth.
 
-Everything is built from columns and the trees of Spark's own library. Trees read a few dozen numbers a row; the joins on a suffix are
-on counts already added up, so a host with a third of all rows weighs no more than any other before the last join, which Spark splits.
+Everything is built from columns and the trees of Spark's own library. Suffixes are counted with partial sums in every task; the counts
+are broadcast up to 200,000 of them and joined by suffix beyond that, so a host with a third of all rows weighs no more than others.
 
 Defined results: a url that is null or has no ``://`` has an empty host and path, fits no rule and is judged by its features like any
 other; if the labelled urls are of one verdict only, the method gives that one, and ``allow`` if there are none; rows that repeat an id are
@@ -24,7 +24,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telemetry_spark.llm.common import LOWER, UPPER, share
+from telemetry_spark.llm.common import LOWER, UPPER, bounded, share, written
 
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789-._~/?#&=%:"
@@ -101,10 +101,12 @@ def judge(
     for key in ("domain", "suffix"):
         rows = with_statistics(rows, ruled, key, bad / n)
         names += [f"{key}_share", f"{key}_labelled", f"{key}_rows"]
-    featured = VectorAssembler(inputCols=names, outputCol="features").transform(rows.fillna(0.0, names))
+    rows, assembler = rows.fillna(0.0, names), VectorAssembler(inputCols=names, outputCol="features")
     trees = GBTClassifier(labelCol="blocked", featuresCol="features", maxIter=10, maxDepth=4, seed=11, subsamplingRate=1.0)
-    model = trees.fit(featured.where(F.col("blocked").isNotNull() & F.col("picked")).select("features", "blocked"))
-    scored = model.transform(featured.drop("blocked"))
+    # Training reads its rows several times, so the bounded sample is made once.
+    sample = written(rows.where(F.col("blocked").isNotNull() & F.col("picked")).select(*names, "blocked"), "url-sample")
+    model = trees.fit(assembler.transform(sample).select("features", "blocked"))
+    scored = model.transform(assembler.transform(rows.drop("blocked")))
     method = F.when(F.col("prediction") == 1.0, "block").otherwise("allow")
     chance = 1 / (1 + F.exp(-2 * margin(F.col("rawPrediction"))))
     return scored.select(*columns, F.coalesce("ruled", method).alias("verdict"), chance.alias("block_probability"))
@@ -121,7 +123,7 @@ def with_statistics(rows: DataFrame, ruled: DataFrame, key: str, overall: float)
     counts = ruled.groupBy(key).agg(
         F.count("blocked").alias("labelled"), F.coalesce(F.sum("blocked"), F.lit(0.0)).alias("bad"), F.count(F.lit(1)).alias("all"))
     own, known = F.coalesce("blocked", F.lit(0.0)), F.col("blocked").isNotNull().cast("int")
-    joined = rows.join(counts, key)
+    joined = rows.join(bounded(written(counts, "suffix-statistics"), 200_000), key)
     return joined.withColumns({
         f"{key}_share": (F.col("bad") - own + PRIOR * overall) / (F.col("labelled") - known + PRIOR),
         f"{key}_labelled": F.log1p(F.col("labelled") - known), f"{key}_rows": F.log1p(F.col("all").cast("double")),
