@@ -188,11 +188,16 @@ def forest_edges(vertices: DataFrame, percent: int, region_rows: int) -> DataFra
     return met.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def blocks_of(groups: DataFrame, edges: DataFrame, vertices: DataFrame, block_rows: int) -> DataFrame:
+def large_groups(groups: DataFrame, block_rows: int) -> DataFrame:
+    """``component, count`` of the groups that are too large for one block, of which there are few."""
+    sizes = groups.groupBy("component").count().where(F.col("count") > block_rows)
+    return bounded(written(sizes, "neardup-sizes"), 200_000)
+
+
+def blocks_of(groups: DataFrame, sizes: DataFrame, edges: DataFrame, vertices: DataFrame, block_rows: int) -> DataFrame:
     """``block, node``: the runs of vertices within which links are confirmed."""
-    sizes = groups.groupBy("component").count()
-    small = groups.join(sizes.where(F.col("count") <= block_rows), "component").select(F.concat(F.lit("g"), F.col("component")).alias("block"), "node")
-    large = written(groups.join(sizes.where(F.col("count") > block_rows), "component").select("node", "component"), "neardup-large")
+    small = groups.join(sizes, "component", "left_anti").select(F.concat(F.lit("g"), F.col("component")).alias("block"), "node")
+    large = written(groups.join(sizes, "component").select("node", "component"), "neardup-large")
     if large.isEmpty():
         return small
 
@@ -254,20 +259,20 @@ def links_within(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return blocks.join(sets, "node").groupBy("block").applyInPandas(link, "a bigint, b bigint").where("a <> b").distinct()
 
 
-def rest_of(groups: DataFrame, linked: DataFrame, block_rows: int) -> DataFrame:
+def rest_of(groups: DataFrame, sizes: DataFrame, linked: DataFrame, block_rows: int) -> DataFrame | None:
     """``block, node``: what links in a large group may still be missing, or None if there can be none.
 
     Two vertices that are not linked yet are not both in the group's largest component, so each vertex outside of it meets
     every vertex of the group: those outside are cut into chunks, all into blocks, and each chunk meets each block.
     """
-    sizes = groups.groupBy("component").count().where(F.col("count") > block_rows)
     named = linked.select("node", F.col("component").alias("label"))
     labelled = groups.join(sizes, "component").join(named, "node", "left").withColumn("label", F.coalesce("label", "node"))
     counts = labelled.groupBy("component", "label").agg(F.count(F.lit(1)).alias("n"), F.first("count").alias("all"))
     main = counts.groupBy("component").agg(F.max(F.struct("n", "label")).alias("main"), F.first("all").alias("all"))
     part = lambda n: F.ceil(n / block_rows).cast("int")
     shape = main.select("component", F.col("main.label").alias("main"), part(F.col("all")).alias("blocks"), part(F.col("all") - F.col("main.n")).alias("chunks"))
-    placed = written(labelled.select("component", "node", "label").join(shape.where("chunks > 0"), "component"), "neardup-rest")
+    shape = bounded(written(shape.where("chunks > 0"), "neardup-shape"), 200_000)
+    placed = written(labelled.select("component", "node", "label").join(shape, "component"), "neardup-rest")
     if placed.isEmpty():
         return None
     name = lambda block, chunk: F.concat_ws(".", F.lit("x"), "component", block, chunk).alias("block")
@@ -295,11 +300,12 @@ def near_duplicates(
     )
     edges = written(forest_edges(vertices.select("node", "body"), percent, region_rows), "neardup-edges")
     groups = components(edges)
-    blocks = written(blocks_of(groups, edges, vertices.select("node", "body"), block_rows), "neardup-blocks")
+    sizes = large_groups(groups, block_rows)
+    blocks = written(blocks_of(groups, sizes, edges, vertices.select("node", "body"), block_rows), "neardup-blocks")
     sets = sets_of(blocks, vertices.drop("body"), rows, shingle)
     links = written(links_within(blocks, sets, percent), "neardup-links")
     linked = components(links)
-    rest = rest_of(groups, linked, block_rows)
+    rest = rest_of(groups, sizes, linked, block_rows)
     if rest is not None:
         linked = components(links.unionByName(links_within(rest, sets, percent)))
     labelled = vertices.select("mark", "id", "node").join(linked, "node", "left").withColumn("label", F.coalesce("component", "node"))
