@@ -30,7 +30,7 @@ from telemetry_spark.plans.caps import first_n
 
 PIVOTS, PREFIX = 256, 128
 CANDIDATE_SHARE, LEAST_CANDIDATES = 0.1, 64
-BLOCK_ROWS, BLOCK_QUERIES = 4096, 1024
+BLOCK_ROWS, BLOCK_QUERIES = 1024, 1024
 
 
 def usable(vector: Column, length: int | None = None) -> Column:
