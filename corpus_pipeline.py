@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from telemetry_spark.llm import decontamination, langid, neardup, packing, toxicity
 from telemetry_spark.llm.common import written
-from telemetry_spark.llm.queries import table, vocabulary
+from telemetry_spark.llm.queries import BATCH_ROWS, table, vocabulary
 
 #: Least share of all languages' likelihood that the likeliest must have.
 LEAST_LANGUAGE_SHARE = 0.5
@@ -20,6 +20,7 @@ LEAST_LANGUAGE_SHARE = 0.5
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents of no language, and those that no language is likelier for than all others together."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     model = langid.fit(docs, vocabulary("piece_bpe_32k.model"))
     found = langid.annotated(docs, model, "__language")
     kept = (F.col("__language.lang_pred") != "und") & (F.col("__language.score") >= LEAST_LANGUAGE_SHARE)

@@ -46,7 +46,7 @@ def share(key: Column, fraction: float, seed: int) -> Column:
 class WordHashes(dict):
     """64-bit hashes of byte words. It forgets all words once it holds ``limit`` of them, which bounds a worker's memory."""
 
-    def __init__(self, seed: int = 0, limit: int = 1_000_000):
+    def __init__(self, seed: int = 0, limit: int = 300_000):
         super().__init__()
         self.seed, self.limit = seed, limit
 

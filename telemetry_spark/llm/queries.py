@@ -8,7 +8,12 @@ from pyspark.sql import functions as F
 from telemetry_spark.llm import decontamination, extraction, langid, licenses, neardup, neighbours, packing, sharding, toxicity, urls
 
 
+#: Rows that a Python worker gets at once. Texts are long, and a worker holds a whole batch of them.
+BATCH_ROWS = 1000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

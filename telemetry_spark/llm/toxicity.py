@@ -37,7 +37,7 @@ DRIFT, ERRORS, LEAST_WEIGHT, PRIOR_SHARE, PRIOR_FLAT = 0.25, 2.0, 1.0, 0.01, 0.5
 #: A word that comes again within so many words adds nothing.
 AGAIN = 50
 EULER = 0.5772156649015329
-HELD_WORDS = 400_000
+HELD_WORDS = 150_000
 #: Words of at least so many letters back off to their first ``STEM`` letters.
 STEM, STEM_FROM = 5, 6
 
