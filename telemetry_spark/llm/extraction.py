@@ -1,7 +1,7 @@
 """Main text of web pages by consensus of each host's pages.
 
-Method. A page's elements are read into a tree. Each container that holds most of the page's own text gets a score: its share of that
-text, a little more for each level it lies deeper. Containers are named by their generalised path, tags and classes without
+Method. A page's elements are read into a tree. Of the containers that hold most of the page's own text the deepest is taken that leaves
+out no article text: text of an outer container itself, or within ``article`` or ``main``, is never left out. Containers are named by their generalised path, tags and classes without
 digits; every page votes for the path of its best container, and Spark counts the votes by host and path. The path with most of a host's
 votes is where that host keeps its articles, and every page is read again there. A page without that path, or with less than ``LEAST_SHARE`` of its own best container's text there, keeps its own
 best container.
@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 from telemetry_spark.llm.common import LOWER, UPPER, bounded, written
 
-#: Share of a page's text that a container needs for a vote, the bonus for each level, and the least share of the own best.
-VOTE_SHARE, DEPTH_BONUS, LEAST_SHARE = 0.7, 0.02, 0.25
+#: Share of a page's text that a container needs for a vote, what others beside it may hold, and the least share of the own best.
+VOTE_SHARE, BESIDE_SHARE, LEAST_SHARE = 0.7, 0.02, 0.25
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
@@ -228,20 +228,31 @@ def container_sizes(page: Page) -> list[int]:
     return sizes
 
 
-def path_scores(page: Page) -> dict[str, float]:
-    """Scores of the paths whose containers hold most of the page's text."""
+def path_scores(page: Page) -> dict[str, tuple[float, int]]:
+    """Scores of the paths whose containers hold most of the page's text: the share of article text kept, then the level.
+
+    What a container has besides the one within it is article text if it stands there itself or in an article, or if it is no trifle.
+    """
     sizes = container_sizes(page)
     if not sizes[0]:
         return {}
-    by_path: dict[str, float] = {}
-    for node, size in zip(page.nodes, sizes, strict=True):
-        if size >= VOTE_SHARE * sizes[0]:
-            by_path[node.path] = max(by_path.get(node.path, 0.0), size / sizes[0] + DEPTH_BONUS * node.depth)
+    by_path: dict[str, tuple[float, int]] = {}
+    kept, beside, outer = sizes[0], 0, None
+    for node, size in zip(page.nodes, sizes, strict=True):  # two containers with so much text are one within the other
+        if size < VOTE_SHARE * sizes[0]:
+            continue
+        if outer:
+            rest = outer[1] - size
+            beside += rest
+            if outer[0].chars or outer[0].in_article or beside > BESIDE_SHARE * sizes[0]:
+                kept -= rest
+        outer = node, size
+        by_path[node.path] = max(by_path.get(node.path, (0.0, 0)), (kept / sizes[0], node.depth))
     return by_path
 
 
-def best_of(scores: dict[str, float]) -> str:
-    return min(scores, key=lambda p: (-scores[p], p))
+def best_of(scores: dict[str, tuple[float, int]]) -> str:
+    return min(scores, key=lambda p: (-scores[p][0], -scores[p][1], p))
 
 
 def blocks_at(page: Page, path: str) -> list[str]:

@@ -54,3 +54,13 @@ def test_given_pages_yield_their_articles(spark, sf):
         inner = r.html[r.html.index("<article>") : r.html.index("</article>")]
         assert r.n_chars == len(r.text) and r.text
         assert r.text.replace("\n", " ").split() == __import__("html").unescape(__import__("re").sub(r"<[^>]*>", " ", inner)).split()
+
+
+def test_a_long_article_keeps_title_and_lead():
+    """Title and lead are under 2 % of the text and stand outside of the container with the rest."""
+    body = "<div class=body><table><tbody><tr><td><p>{}</p></td></tr></tbody></table></div>".format("word " * 2000)
+    for page in (f"<body><article><h1>Title</h1><p>lead</p>{body}</article>", f"<body><div><h1>Title</h1><p>lead</p>{body}</div>",
+                 f"<body><main><div><h1>Title</h1></div><blockquote>lead</blockquote>{body}</main>"):
+        path = extraction.best_of(extraction.path_scores(extraction.read(page)))
+        for wanted in (None, path):
+            assert extraction.extract(page, wanted).split("\n") == ["Title", "lead", ("word " * 2000).strip()]
