@@ -7,7 +7,8 @@ votes is where that host keeps its articles, and every page is read again there.
 best container.
 
 What never counts as text: scripts, styles, forms and their controls; elements, roles and classes of menus, page headers, footers, sidebars, notices,
-adverts, sharing, related links and reader comments; hidden elements. Blocks end at block-level elements; a line break is white
+adverts, sharing, related links and reader comments; hidden elements. A class or id counts as a whole (``related``, ``cookie-notice``, not
+``related-work``), and does not hide an element with ``VOTE_SHARE`` of the page's text, unless an ``article`` or ``main`` beside it has more than ``TRIFLE`` of that. Blocks end at block-level elements; a line break is white
 space. Votes are added up in every task before they are shuffled, so a host with a third of all pages is no hot spot. A host's winner is
 one short row; up to ``broadcast_hosts`` of them go to every task, more are joined by host.
 
@@ -21,7 +22,7 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Set
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -32,6 +33,8 @@ from telemetry_spark.llm.common import LOWER, UPPER, bounded, written
 
 #: Share of a page's text that a container needs for a vote, what others beside it may hold, and the least share of the own best.
 VOTE_SHARE, BESIDE_SHARE, LEAST_SHARE = 0.7, 0.02, 0.25
+#: Text in ``article`` or ``main`` of less than this share of another element's is a teaser.
+TRIFLE = 0.1
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
@@ -59,7 +62,10 @@ NO_TEXT_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner "
     "cookie cookies consent gdpr notice notices notification alert popup modal overlay paywall newsletter subscribe subscription signup login "
     "comment comments disqus replies reply respond share sharing social related recommended recommendations widget widgets skip".split())
-WORD = re.compile(r"[a-z]+")
+#: Words that may stand beside these in the name of a class or id.
+PLACE_WORDS = frozenset("left right top bottom main primary secondary site global box container wrapper wrap list area block link links".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+WORD, DIGITS = re.compile(r"[^\W\d_]+"), re.compile(r"\d+(?:x\d+)?")
 
 
 #: Steps of a path that are kept, counted from the container up.
@@ -74,6 +80,8 @@ class Node:
     path: str
     parent: Node | None
     hidden: bool = False
+    #: Where the innermost element begins whose name alone hides this one; None if it is visible or hidden for another reason.
+    named: int | None = None
     in_article: bool = False
     depth: int = 0
     chars: int = 0
@@ -92,17 +100,25 @@ def attributes(rest: str) -> dict[str, str]:
 
 
 def is_hidden(tag: str, known: dict[str, str], parent: Node) -> bool:
-    """Whether an element holds none of the article's text."""
-    if parent.hidden or tag in NO_TEXT or tag == "header" and not parent.in_article:
+    """Whether an element's tag, role or state says that it holds none of the article's text."""
+    if tag in NO_TEXT or tag == "header" and not parent.in_article:
         return True
     if not known or tag in ("html", "body", "article", "main"):
         return False
     if "hidden" in known or known.get("aria-hidden") == "true" or known.get("role", "").lower() in NO_TEXT_ROLES:
         return True
-    if "display:none" in known.get("style", "").replace(" ", "").lower():
-        return True
-    words = WORD.findall(f"{known.get('class', '')} {known.get('id', '')}".lower())
-    return any(w in NO_TEXT_WORDS or w == "header" and not parent.in_article for w in words)
+    return "display:none" in known.get("style", "").replace(" ", "").lower()
+
+
+def is_named_hidden(tag: str, known: dict[str, str], parent: Node) -> bool:
+    """Whether a class or the id, taken whole, names something beside the article. Ids of headings come from their text."""
+    if not known or tag in ("html", "body", "article", "main"):
+        return False
+    for name in f"{known.get('class', '')} {'' if tag in HEADINGS else known.get('id', '')}".lower().split():
+        words = set(WORD.findall(DIGITS.sub(" ", name))) - PLACE_WORDS
+        if words and all(w in NO_TEXT_WORDS or w == "header" and not parent.in_article for w in words):
+            return True
+    return False
 
 
 def step_of(tag: str, known: dict[str, str]) -> str:
@@ -112,17 +128,40 @@ def step_of(tag: str, known: dict[str, str]) -> str:
 
 
 class Reader:
-    """Builds a page from its tokens. The stack holds open blocks, and inline elements only where they hide their text."""
+    """Builds a page from its tokens. The stack holds open blocks, and inline elements only where they hide their text.
 
-    def __init__(self):
-        self.page, self.text = Page(), []
+    Elements that begin at one of ``shown`` are not hidden by their names. ``named`` counts the text of those that are.
+    """
+
+    def __init__(self, shown: Set[int] = frozenset()):
+        self.page, self.text, self.shown = Page(), [], shown
+        self.named: dict[int, int] = {}
+        self.outer: dict[int, tuple[int | None, bool]] = {}
         root = Node("html", "html", None)
         self.stack, self.container = [root], root
         self.page.nodes.append(root)
 
     def add(self, text: str) -> None:
-        if not self.stack[-1].hidden:
+        top = self.stack[-1]
+        if not top.hidden:
             self.text.append(text)
+        elif top.named is not None:
+            self.named[top.named] += len(" ".join(text.split()))
+
+    def main_named(self) -> set[int]:
+        """Where elements begin that their names hide although they hold most of the page's text.
+
+        An article in plain sight has the text, however short it is beside an advert, unless it is a trifle.
+        """
+        sizes = dict(self.named)
+        total = sum(len(text) for text, _ in self.page.blocks) + sum(sizes.values())
+        for at in sorted(sizes, reverse=True):  # an element begins after the one it is in
+            if (outer := self.outer[at][0]) is not None:
+                sizes[outer] += sizes[at]
+        article = sum(len(text) for text, node in self.page.blocks if node.in_article)
+        return {
+            at for at, size in sizes.items()
+            if size > VOTE_SHARE * total and (self.outer[at][1] or article < TRIFLE * size)}
 
     def flush(self) -> None:
         raw = "".join(self.text)
@@ -147,21 +186,26 @@ class Reader:
         elif name == "p":
             self.flush()
 
-    def start(self, name: str, rest: str) -> None:
+    def start(self, name: str, rest: str, at: int) -> None:
         if name in BLOCK:
             self.flush()
             self.imply_ends(name)
         top = self.stack[-1]
         known = attributes(rest)
-        hidden = is_hidden(name, known, top)
+        named, hidden = top.named, top.hidden and top.named is None or is_hidden(name, known, top)
+        if hidden:
+            named = None
+        elif at not in self.shown and is_named_hidden(name, known, top):
+            self.named[at], self.outer[at], named = 0, (named, top.in_article), at
+        hidden = hidden or named is not None
         if name not in BLOCK:
-            if hidden and not top.hidden:
-                self.stack.append(Node(name, top.path, top, True))
+            if (hidden, named) != (top.hidden, top.named):
+                self.stack.append(Node(name, top.path, top, hidden, named))
             return
         if name == "body" and len(self.stack) > 1:
             return
         inside = top if top.tag in CONTAINERS or top.parent is None else top.parent
-        node = Node(name, inside.path, inside, hidden, top.in_article or name in ("article", "main"), inside.depth)
+        node = Node(name, inside.path, inside, hidden, named, top.in_article or name in ("article", "main"), inside.depth)
         if name in CONTAINERS and not hidden:
             node.path = ">".join([*inside.path.split(">"), step_of(name, known)][-PATH_STEPS:])
             node.depth += 1
@@ -181,8 +225,14 @@ class Reader:
 
 
 def read(page: str) -> Page:
-    """Containers and blocks of a page."""
-    reader, at, head, lower = Reader(), 0, False, None
+    """Containers and blocks of a page. An element that holds most of its text is read whatever its name."""
+    reader = read_with(page, Reader())
+    shown = reader.main_named()
+    return read_with(page, Reader(shown)).page if shown else reader.page
+
+
+def read_with(page: str, reader: Reader) -> Reader:
+    at, head, lower = 0, False, None
     while m := TOKEN.search(page, at):
         if m.start() > at and not head:
             reader.add(page[at : m.start()])
@@ -193,7 +243,7 @@ def read(page: str) -> Page:
         elif name in ("head", "body"):
             head = name == "head" and not m["end"]
             if name == "body" and not m["end"]:
-                reader.start(name, m["rest"])
+                reader.start(name, m["rest"], m.start())
         elif m["end"]:
             if not head:
                 reader.end(name)
@@ -212,11 +262,11 @@ def read(page: str) -> Page:
             if name == "hr":
                 reader.flush()
         else:
-            reader.start(name, m["rest"])
+            reader.start(name, m["rest"], m.start())
     if at < len(page) and not head:
         reader.add(page[at:])
     reader.flush()
-    return reader.page
+    return reader
 
 
 def container_sizes(page: Page) -> list[int]:

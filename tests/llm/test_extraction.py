@@ -64,3 +64,21 @@ def test_a_long_article_keeps_title_and_lead():
         path = extraction.best_of(extraction.path_scores(extraction.read(page)))
         for wanted in (None, path):
             assert extraction.extract(page, wanted).split("\n") == ["Title", "lead", ("word " * 2000).strip()]
+
+
+def test_names_hide_only_as_a_whole():
+    body = "<h1>Title</h1><p>{}</p>".format("word " * 300)
+    parts = ("<section id='related-work'><h2 id='widgets'>Widgets</h2><p>prior art</p></section><h2 id='navigation'>Navigation</h2>"
+             "<div class='related'>more</div><div class='sidebar-left'>side</div><div class='ad-300x250'>buy</div><ul id=comments><li>nice</ul>")
+    text = ["Title", ("word " * 300).strip()]
+    for opened in ("<div id=content class='has-sidebar'>", "<div class='article-with-comments'>", "<div class='no-comments'>", "<article>"):
+        assert extraction.extract(f"<body>{opened}{body}{parts}</body>", None).split("\n") == [*text, "Widgets", "prior art", "Navigation"]
+
+
+def test_names_do_not_hide_most_of_a_page():
+    body = "<h1>Title</h1><p>{}</p><div class=share><p>Share</p></div><span class=ad>buy</span>".format("word " * 300)
+    for opened in ("<div class=widget>", "<div id=notice><section class=overlay>", "<my-page class=modal>"):
+        page = f"<body><div class=related>other pages</div>{opened}{body}</body>"
+        assert extraction.extract(page, None).split("\n") == ["Title", ("word " * 300).strip()]
+    assert extraction.extract("<body><p>short article text</p><div class=comments>no</div></body>", None) == "short article text"
+    assert extraction.extract("<div class=menu>" * 3000 + "deep", None) == "deep"
