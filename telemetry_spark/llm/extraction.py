@@ -1,18 +1,20 @@
 """Main text of web pages by consensus of each host's pages.
 
 Method. A page's elements are read into a tree. Of the containers that hold most of the page's own text the deepest is taken that leaves
-out no article text: text of an outer container itself, or within ``article`` or ``main``, is never left out. Containers are named by their generalised path, tags and classes without
-digits; every page votes for the path of its best container, and Spark counts the votes by host and path. The path with most of a host's
-votes is where that host keeps its articles, and every page is read again there. A page without that path, or with less than ``LEAST_SHARE`` of its own best container's text there, keeps its own
-best container.
+out no article text: text of an outer container itself, or within ``article`` or ``main``, is never left out. Containers are named by
+their generalised path, tags and classes without digits; every page votes for the path of its best container, and Spark counts the
+votes by host and path. The path with most of a host's votes is where that host keeps its articles. With its vote a page names the
+containers beside its best one and a hash of what each says. A container is beside the article if on most of the host's pages that have it
+there, its text is also that of a page with another article. Every page is read again, and all its visible text is kept but that of
+containers beside the host's path; a page without that path, or with ``VOTE_SHARE`` of its text in those, keeps them too.
 
 What never counts as text: scripts, styles, forms and their controls; elements, roles and classes of menus, page headers, footers, sidebars, notices,
 adverts, sharing, related links and reader comments; hidden elements. A class or id counts as a whole (``related``, ``cookie-notice``, not
 ``related-work``), and does not hide an element with ``VOTE_SHARE`` of the page's text, unless an ``article`` or ``main`` beside it has more than ``TRIFLE`` of that. Blocks end at block-level elements; a line break is white
 space. Votes are added up in every task before they are shuffled, so a host with a third of all pages is no hot spot. A host's winner is
-one short row; up to ``broadcast_hosts`` of them go to every task, more are joined by host.
+one row, with the paths beside it; up to ``broadcast_hosts`` of them go to every task, more are joined by host.
 
-Defined results: a null or empty page has the empty text; a page with no host (null url, or no ``://``) votes with the others without one; of two
+Defined results: a null or empty page has the empty text; a page with no host (null url, or no ``://``) has no vote and keeps all its visible text; of two
 paths with equal votes the first in alphabetical order wins; rows that repeat an id are read each by itself; no rows give no rows;
 other columns are not read.
 """
@@ -22,17 +24,18 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
-from collections.abc import Iterator, Set
+from collections.abc import Iterable, Iterator, Set
 from dataclasses import dataclass, field
 
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from telemetry_spark.llm.common import LOWER, UPPER, bounded, written
 
-#: Share of a page's text that a container needs for a vote, what others beside it may hold, and the least share of the own best.
-VOTE_SHARE, BESIDE_SHARE, LEAST_SHARE = 0.7, 0.02, 0.25
+#: Share of a page's text that a container needs for a vote, and what others beside it may hold.
+VOTE_SHARE, BESIDE_SHARE = 0.7, 0.02
 #: Text in ``article`` or ``main`` of less than this share of another element's is a teaser.
 TRIFLE = 0.1
 
@@ -305,25 +308,62 @@ def best_of(scores: dict[str, tuple[float, int]]) -> str:
     return min(scores, key=lambda p: (-scores[p][0], -scores[p][1], p))
 
 
-def blocks_at(page: Page, path: str) -> list[str]:
-    """Blocks within the containers that have a path."""
-    inside = set()
+def within(page: Page, paths: Set[str], but: Set[int] = frozenset()) -> set[int]:
+    """The containers that have one of the paths, and all in them, but not those of ``but``."""
+    inside: set[int] = set()
     for node in page.nodes:
-        if node.path == path or id(node.parent) in inside:
+        if id(node) not in but and (node.path in paths or id(node.parent) in inside):
             inside.add(id(node))
-    return [text for text, node in page.blocks if id(node) in inside]
+    return inside
 
 
-def extract(html_text: str | None, path: str | None) -> str:
-    """A page's text at its host's path, or at its own best one where that path holds little of it."""
+def around(page: Page, path: str) -> set[int]:
+    """The containers around those that have a path."""
+    found: set[int] = set()
+    for node in page.nodes:
+        outer = node.parent if node.path == path else None
+        while outer and id(outer) not in found:
+            found.add(id(outer))
+            outer = outer.parent
+    return found
+
+
+def digest(texts: list[str]) -> int:
+    return xxhash.xxh64_intdigest("\n".join(texts)) - (1 << 63)
+
+
+def beside(page: Page, path: str) -> Iterator[tuple[str, int, int]]:
+    """Path and text of each container beside those that have a path, and the text of the latter, as hashes."""
+    own, outer = within(page, {path}), around(page, path)
+    said: dict[int, list[str]] = {}
+    side_of: dict[int, Node] = {}
+    for node in page.nodes:
+        if id(node) in own or id(node) in outer:
+            continue
+        side = side_of[id(node)] = side_of.get(id(node.parent), node)
+        said.setdefault(id(side), [])
+    if not said:
+        return
+    sides = {id(n): n for n in side_of.values()}
+    for text, node in page.blocks:
+        if id(node) in side_of:
+            said[id(side_of[id(node)])].append(text)
+    article = digest([text for text, node in page.blocks if id(node) in own])
+    for key, texts in said.items():
+        if texts and not sides[key].in_article:
+            yield sides[key].path, digest(texts), article
+
+
+def extract(html_text: str | None, path: str | None, sides: Iterable[str] = ()) -> str:
+    """A page's visible text, without the containers that its host has beside those at its path."""
     page = read(html_text or "")
-    own = path_scores(page)
-    if not own:
-        return ""
-    best = blocks_at(page, best_of(own))
-    shared = blocks_at(page, path) if path else []
-    chosen = shared if sum(map(len, shared)) >= LEAST_SHARE * sum(map(len, best)) else best
-    return "\n".join(chosen)
+    whole = [text for text, _ in page.blocks]
+    sides = frozenset(sides) - {path}
+    if not path or not sides or not any(id(n) in (own := within(page, {path})) for _, n in page.blocks):
+        return "\n".join(whole)
+    left_out = within(page, sides, own | around(page, path))
+    kept = [text for text, node in page.blocks if id(node) not in left_out]
+    return "\n".join(kept if sum(map(len, kept)) > (1 - VOTE_SHARE) * sum(map(len, whole)) else whole)
 
 
 def host_of(url: F.Column) -> F.Column:
@@ -331,35 +371,45 @@ def host_of(url: F.Column) -> F.Column:
 
 
 def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``host, path``: where the pages of each host keep their text."""
+    """``host, path, sides``: where the pages of each host keep their text, and the paths beside it."""
 
     def cast_votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            counts: Counter[tuple[str, str]] = Counter()
+            counts: Counter[tuple] = Counter()
             for host, text in zip(batch["host"], batch["html"], strict=True):
-                if scores := path_scores(read(text or "")):
-                    counts[host, best_of(scores)] += 1
-            yield pd.DataFrame([(*k, n) for k, n in counts.items()], columns=["host", "path", "votes"])
-
-    voted = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html")).mapInPandas(
-        cast_votes, "host string, path string, votes bigint")
-    summed = voted.groupBy("host", "path").agg(F.sum("votes").alias("votes"))
-    return summed.groupBy("host").agg(F.min_by("path", F.struct(-F.col("votes"), F.col("path"))).alias("path"))
+                page = read(text or "")
+                if scores := path_scores(page):
+                    path = best_of(scores)
+                    counts[host, path, "", 0, 0] += 1
+                    counts.update((host, path, *side) for side in beside(page, path))
+            yield pd.DataFrame([(*k, n) for k, n in counts.items()], columns=["host", "path", "side", "said", "article", "n"])
+
+    hosts = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html")).where("host <> ''")
+    voted = hosts.mapInPandas(cast_votes, "host string, path string, side string, said bigint, article bigint, n bigint")
+    texts = voted.groupBy("host", "path", "side", "said").agg(
+        F.sum("n").alias("n"), (F.min("article") < F.max("article")).alias("again"))
+    sides = texts.groupBy("host", "path", "side").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("again"), F.col("n"))).alias("again"))
+    summed = sides.groupBy("host", "path").agg(
+        F.sum(F.when(F.col("side") == "", F.col("n"))).alias("votes"),
+        F.collect_list(F.when(2 * F.col("again") > F.col("n"), F.col("side"))).alias("sides"))
+    winner = F.min_by(F.struct("path", "sides"), F.struct(-F.col("votes"), F.col("path")))
+    return summed.groupBy("host").agg(winner.alias("winner")).select("host", "winner.path", "winner.sides")
 
 
 def extract_pages(
     pages: DataFrame, broadcast_hosts: int = 200_000, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
 ) -> DataFrame:
-    """``page_id, url, text, n_chars, path``: path is the host's."""
+    """``page_id, url, text, n_chars, path``: path is the host's, null where there is none."""
     # With the hosts broadcast no page moves, so a host of any size is no hot spot; beyond the bound Spark splits the join.
     paths = bounded(written(host_paths(pages, url_col, html_col), "host-paths"), broadcast_hosts)
 
     @F.pandas_udf("string")
-    def text_of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for texts, wanted in batches:
-            yield pd.Series([extract(t, p) for t, p in zip(texts, wanted, strict=True)], dtype=object)
+    def text_of(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for texts, wanted, sides in batches:
+            found = zip(texts, wanted, sides, strict=True)
+            yield pd.Series([extract(t, p, () if s is None else s) for t, p, s in found], dtype=object)
 
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     joined = rows.withColumn("host", host_of(F.col("url"))).join(paths, "host", "left")
-    found = joined.select("page_id", "url", text_of("html", "path").alias("text"), "path")
+    found = joined.select("page_id", "url", text_of("html", "path", "sides").alias("text"), "path")
     return found.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"), "path")

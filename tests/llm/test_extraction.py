@@ -82,3 +82,24 @@ def test_names_do_not_hide_most_of_a_page():
         assert extraction.extract(page, None).split("\n") == ["Title", ("word " * 300).strip()]
     assert extraction.extract("<body><p>short article text</p><div class=comments>no</div></body>", None) == "short article text"
     assert extraction.extract("<div class=menu>" * 3000 + "deep", None) == "deep"
+
+
+def test_a_hosts_path_drops_no_article_text(spark):
+    """Hosts with two layouts, pages without a host that share a path, and leads in a container of their own."""
+    text = "article {} " * 100
+    rows = [(i, f"http://two.org/{i}", f"<body><div class=box><p>{text.format(*[i] * 100)}</p></div></body>") for i in range(6)]
+    rows.append((10, "http://two.org/x", f"<body><div class=box><p>{'lead ' * 80}</p></div><div class=col><p>{'rest ' * 200}</p></div></body>"))
+    rows += [(20 + i, None, f"<body><div><p>{text.format(*[i] * 100)}</p></div></body>") for i in range(6)]
+    rows.append((30, "no host", f"<body><div><p>{'lead ' * 80}</p></div><section><p>{'rest ' * 200}</p></section></body>"))
+    beside = "<body><div class=lead>lead {}</div><div class=main><p>{}</p></div><div class=more>see also</div></body>"
+    rows += [(40 + i, f"http://leads.org/{i}", beside.format(i, text.format(*[i] * 100))) for i in range(4)]
+    found = {r.page_id: r.text.split("\n") for r in extraction.extract_pages(pages(spark, rows)).collect()}
+    assert found[10] == found[30] == [("lead " * 80).strip(), ("rest " * 200).strip()]
+    for i in range(4):
+        assert found[40 + i] == [f"lead {i}", text.format(*[i] * 100).strip()]
+
+
+def test_copies_of_a_page_do_not_make_its_lead_a_side(spark):
+    page = "<body><div class=lead>lead</div><div class=main><p>{}</p></div></body>".format("word " * 400)
+    for r in extraction.extract_pages(pages(spark, [(i, f"http://h.org/{i}", page) for i in range(5)])).collect():
+        assert r.text.startswith("lead\n")
