@@ -47,6 +47,8 @@ ATTRIBUTE = re.compile(r"([A-Za-z][-\w:]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is no markup.
 RAW = frozenset("script style textarea title iframe noembed noframes xmp template noscript svg math object select".split())
+#: Their ends, in the page as it is: lower-casing a text may lengthen it.
+RAW_END = {name: re.compile("</" + "".join(f"[{c}{c.upper()}]" for c in name)) for name in RAW}
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
@@ -235,7 +237,7 @@ def read(page: str) -> Page:
 
 
 def read_with(page: str, reader: Reader) -> Reader:
-    at, head, lower = 0, False, None
+    at, head = 0, False
     while m := TOKEN.search(page, at):
         if m.start() > at and not head:
             reader.add(page[at : m.start()])
@@ -251,10 +253,9 @@ def read_with(page: str, reader: Reader) -> Reader:
             if not head:
                 reader.end(name)
         elif name in RAW:
-            lower = page.lower() if lower is None else lower
-            end = lower.find(f"</{name}", at)
-            if end >= 0 and not m["rest"].endswith("/"):
-                at = end
+            end = RAW_END[name].search(page, at)
+            if end and not m["rest"].endswith("/"):
+                at = end.start()
             elif name in ("script", "style", "textarea", "title"):
                 at = len(page)
         elif head or name == "html":

@@ -103,3 +103,9 @@ def test_copies_of_a_page_do_not_make_its_lead_a_side(spark):
     page = "<body><div class=lead>lead</div><div class=main><p>{}</p></div></body>".format("word " * 400)
     for r in extraction.extract_pages(pages(spark, [(i, f"http://h.org/{i}", page) for i in range(5)])).collect():
         assert r.text.startswith("lead\n")
+
+
+def test_letters_that_lower_case_lengthens_move_nothing():
+    for n in (1, 20):
+        page = f"<body><p>{'\u0130' * n}<script>var a = '<p>';</SCRIPT><p>one</p><svg><text>x</text></svg><p>two</p><style>p{{}}</style><p>three</p>"
+        assert extraction.extract(page, None).split("\n") == ["\u0130" * n, "one", "two", "three"]
