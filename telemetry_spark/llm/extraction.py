@@ -41,7 +41,9 @@ TRIFLE = 0.1
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
-    r"|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?:[^<>\"']++|\"[^\"]{0,8192}+\"|'[^']{0,8192}+'|[\"'])*+)>?", re.S)
+    r"|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)", re.S)
+#: What ends a tag, or opens a quoted value in it.
+IN_TAG = re.compile(r"[<>]|=\s*+([\"'])")
 ATTRIBUTE = re.compile(r"([A-Za-z][-\w:]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -229,6 +231,21 @@ class Reader:
                     break
 
 
+def tag_end(page: str, at: int, unclosed: set[str]) -> tuple[int, int]:
+    """Where a tag's attributes end and where the page goes on. A quote is open to the next of its kind; ``unclosed`` are those
+    with none left in the page, which open nothing."""
+    while m := IN_TAG.search(page, at):
+        if not (quote := m[1]):
+            return m.start(), m.end() if m[0] == ">" else m.start()
+        at = m.end()
+        if quote not in unclosed:
+            if (end := page.find(quote, at)) < 0:
+                unclosed.add(quote)
+            else:
+                at = end + 1
+    return len(page), len(page)
+
+
 def read(page: str) -> Page:
     """Containers and blocks of a page. An element that holds most of its text is read whatever its name."""
     reader = read_with(page, Reader())
@@ -237,24 +254,27 @@ def read(page: str) -> Page:
 
 
 def read_with(page: str, reader: Reader) -> Reader:
-    at, head = 0, False
+    at, head, unclosed = 0, False, set()
     while m := TOKEN.search(page, at):
         if m.start() > at and not head:
             reader.add(page[at : m.start()])
-        at, name = m.end(), (m["name"] or "").lower()
+        at, name, rest = m.end(), (m["name"] or "").lower(), ""
+        if name:
+            end, after = tag_end(page, at, unclosed)
+            rest, at = page[at:end], after
         if not name:
             if m[0].startswith("<![CDATA[") and not head:
                 reader.add(html.escape(m[0][9:].removesuffix("]]>"), quote=False))
         elif name in ("head", "body"):
             head = name == "head" and not m["end"]
             if name == "body" and not m["end"]:
-                reader.start(name, m["rest"], m.start())
+                reader.start(name, rest, m.start())
         elif m["end"]:
             if not head:
                 reader.end(name)
         elif name in RAW:
             end = RAW_END[name].search(page, at)
-            if end and not m["rest"].endswith("/"):
+            if end and not rest.endswith("/"):
                 at = end.start()
             elif name in ("script", "style", "textarea", "title"):
                 at = len(page)
@@ -266,7 +286,7 @@ def read_with(page: str, reader: Reader) -> Reader:
             if name == "hr":
                 reader.flush()
         else:
-            reader.start(name, m["rest"], m.start())
+            reader.start(name, rest, m.start())
     if at < len(page) and not head:
         reader.add(page[at:])
     reader.flush()

@@ -109,3 +109,12 @@ def test_letters_that_lower_case_lengthens_move_nothing():
     for n in (1, 20):
         page = f"<body><p>{'\u0130' * n}<script>var a = '<p>';</SCRIPT><p>one</p><svg><text>x</text></svg><p>two</p><style>p{{}}</style><p>three</p>"
         assert extraction.extract(page, None).split("\n") == ["\u0130" * n, "one", "two", "three"]
+
+
+def test_long_attributes_end_at_their_quote():
+    for quote, other in ("\"'", "'\""):
+        value = f"<div class={other}x{other}><script>a > b</div> " * 4000
+        page = f"<body><div data-props = {quote}{value}{quote} class=post><p>one</p></div><p title={quote}x > y{quote}>two</p><p title={quote}{value}>three"
+        assert extraction.extract(page, None).startswith("one\ntwo")
+        assert extraction.extract(page[: page.index("<p title=" + quote + value[:9])], None) == "one\ntwo"
+    assert extraction.extract("<p title=it's>one</p><p>two's</p>", None) == "one\ntwo's"
