@@ -29,8 +29,8 @@ from telemetry_spark.llm.common import crc_mod, share, written
 
 START = "▁"
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
-#: Longer runs of letters (scripts without spaces) go through a rescaled recursion of their own.
-LONG_WORD = 40
+#: Longer runs of letters (scripts without spaces) go through rescaled recursions of their own, learning so many letters at a time.
+LONG_WORD, LONG_LOT = 40, 65_536
 #: Texts are scored in lots of about so many characters, and at most so many words are remembered.
 LOT_CHARS, MEMORY_WORDS, LOT_WORDS = 2_000_000, 500_000, 8192
 
@@ -152,11 +152,53 @@ class Model:
                 out[some] = np.log(alpha[-1])
         return out
 
+    def pieces_from(self, letters: np.ndarray, lo: int, hi: int) -> np.ndarray:
+        """The piece of each length at each of the letters ``lo`` to ``hi`` of a long run, or -1."""
+        ids, hashes = np.full((hi - lo, self.longest), -1, np.int64), np.zeros(hi - lo, np.uint64)
+        for more in range(min(self.longest, len(letters) - lo)):
+            ends = letters[lo + more : hi + more]
+            hashes = self.slots.longer(hashes[: len(ends)], ends)
+            ids[: len(ends), more] = self.slots.find(hashes)
+        ids[ids[:, 0] < 0, 0] = len(self.pieces)
+        return ids
+
+    def expected_long(self, word: str, language: int) -> np.ndarray:
+        """Expected counts of the pieces in a long run of letters.
+
+        The forward sums are rescaled at each letter. Backward goes the probability that a piece begins at a letter:
+        that of a span is the one of its end, times the share that the span has in the forward sum there.
+        """
+        size, longest = len(word), self.longest
+        letters = np.array([word], f"<U{size}").view(np.uint32).astype(np.uint64)
+        column = np.append(self.table[:, language], 0.0)  # the last for spans that are no piece
+        lots = [(lo, min(lo + LONG_LOT, size)) for lo in range(0, size, LONG_LOT)]
+        grown, ahead = np.empty(size), np.zeros(longest + 1)
+        for lo, hi in lots:
+            for at, own in enumerate(column[self.pieces_from(letters, lo, hi)], lo):
+                ahead[:-1] += own
+                grown[at] = ahead[0]
+                ahead[:-1] = ahead[1:] / ahead[0]
+        grown = np.append(np.log(grown), np.zeros(longest))
+        begins = np.zeros(size + 1 + longest)
+        begins[size] = 1
+        out, steps = np.zeros(len(self.table)), np.arange(1, longest + 1)
+        for lo, hi in reversed(lots):
+            ids, at = self.pieces_from(letters, lo, hi), np.arange(lo, hi)
+            logs = np.append(0.0, np.cumsum(grown[lo : hi + longest]))
+            shares = column[ids] * np.exp(logs[at - lo, None] - logs[at[:, None] - lo + steps])
+            for i in range(hi - 1, lo - 1, -1):
+                begins[i] = shares[i - lo] @ begins[i + 1 : i + 1 + longest]
+            shares *= begins[at[:, None] + steps]
+            out += np.bincount(ids[ids >= 0], shares[ids >= 0], len(out))
+        return out
+
     def expected(self, words: list[str], counts: np.ndarray, language: int) -> np.ndarray:
         """Expected counts of the pieces in words of one language."""
         out, by_size = np.zeros(len(self.table)), {}
         for at, word in enumerate(words):
-            if len(word) <= LONG_WORD:
+            if len(word) > LONG_WORD:
+                out += counts[at] * self.expected_long(word, language)
+            else:
                 by_size.setdefault(len(word), []).append(at)
         column = self.table[:, language]
         for places in (own[i : i + LOT_WORDS] for own in by_size.values() for i in range(0, len(own), LOT_WORDS)):

@@ -45,6 +45,44 @@ def test_expected_counts_add_up(small_model):
     assert (counts * lengths).sum() == pytest.approx(2 * 5)  # each segmentation covers the word
 
 
+def expected_by_enumeration(model, word, language):
+    total, sums = 0.0, np.zeros(len(model.table))
+    for cuts in itertools.product([0, 1], repeat=len(word) - 1):
+        ends = [i + 1 for i, c in enumerate(cuts) if c] + [len(word)]
+        parts = [word[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+        ids = [model.index.get(p, len(model.pieces) if len(p) == 1 else None) for p in parts]
+        if None not in ids:
+            p = math.prod(model.table[i, language] for i in ids)
+            total += p
+            np.add.at(sums, ids, p)
+    return sums / total
+
+
+@pytest.mark.parametrize("lot", [1, 3, 100])
+def test_long_runs_are_learned_from(small_model, monkeypatch, lot):
+    words, counts = ["▁ababbaabab", "▁acbabacc", "▁b"], np.array([2.0, 3.0, 1.0])
+    whole = ["▁" + "abbabac" * 9]
+    monkeypatch.setattr(langid, "LONG_WORD", 100)
+    plain = small_model.expected(whole, np.array([1.0]), 1)
+    monkeypatch.setattr(langid, "LONG_WORD", 1)
+    monkeypatch.setattr(langid, "LONG_LOT", lot)
+    for language in range(3):
+        brute = sum(n * expected_by_enumeration(small_model, w, language) for w, n in zip(words, counts, strict=True))
+        assert small_model.expected(words, counts, language) == pytest.approx(brute)
+    assert small_model.expected(whole, np.array([1.0]), 1) == pytest.approx(plain)
+    lengths = np.array([len(p) for p in small_model.pieces] + [1])
+    assert (small_model.expected(["▁" + "ab" * 4000], np.array([2.0]), 0) * lengths).sum() == pytest.approx(2 * 8001)
+
+
+def test_languages_without_spaces(spark):
+    """Two languages whose texts are single runs of letters: only what these hold can tell them apart."""
+    rng = np.random.default_rng(5)
+    rows = [(i, "".join(rng.choice(list("กขคงจ" if i % 2 else "ฉชซญฐ"), 200)), "xa" if i % 2 else "xb") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    found = langid.predict(docs, langid.fit(docs, PIECES, rounds=2)).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert len(found) == 60 and all(r.lang == r.lang_pred and r.score > 0.9 for r in found)
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = langid.predict(docs, langid.fit(docs, PIECES, rounds=2)).join(docs.select("doc_id", "lang"), "doc_id").collect()
