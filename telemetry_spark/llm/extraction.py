@@ -273,9 +273,11 @@ def read_with(page: str, reader: Reader) -> Reader:
             if not head:
                 reader.end(name)
         elif name in RAW:
-            end = RAW_END[name].search(page, at)
-            if end and not rest.endswith("/"):
-                at = end.start()
+            found = None if name in unclosed else RAW_END[name].search(page, at)
+            if not found:
+                unclosed.add(name)
+            if found and not rest.endswith("/"):
+                at = found.start()
             elif name in ("script", "style", "textarea", "title"):
                 at = len(page)
         elif head or name == "html":

@@ -1,3 +1,5 @@
+import time
+
 from pyspark.sql import functions as F
 
 from telemetry_spark.llm import extraction
@@ -118,3 +120,9 @@ def test_long_attributes_end_at_their_quote():
         assert extraction.extract(page, None).startswith("one\ntwo")
         assert extraction.extract(page[: page.index("<p title=" + quote + value[:9])], None) == "one\ntwo"
     assert extraction.extract("<p title=it's>one</p><p>two's</p>", None) == "one\ntwo's"
+
+
+def test_a_missing_end_is_searched_once():
+    started = time.process_time()
+    assert extraction.extract("<p>one</p>" + "<svg><p>" * 50_000 + "two", None) == "one\ntwo"
+    assert time.process_time() - started < 4
