@@ -79,16 +79,15 @@ def cap_spans(
     ranking = [F.expr(f"not ({IS_ROOT})"), *order]
     kept = first_n(df, ["trace_id"], ranking, limit)
     trace = Window.partitionBy("trace_id")
-    placed = kept.withColumns(
-        {
-            "__n": F.row_number().over(trace.orderBy(*ranking)),
-            "__roots": F.count_if(F.expr(IS_ROOT)).over(trace),
-            "__took": F.max(F.when(F.expr(IS_ROOT), F.col("duration_ms"))).over(trace),
-        }
-    )
+    seen = {
+        "__n": F.row_number().over(trace.orderBy(*ranking)),
+        "__roots": F.count_if(F.expr(IS_ROOT)).over(trace),
+    }
     stays = F.col("__n") <= limit - F.when(F.col("__roots") > 0, 0).otherwise(1)
     if threshold_s is not None:
+        seen["__took"] = F.max(F.when(F.expr(IS_ROOT), F.col("duration_ms"))).over(trace)
         stays = stays & (F.col("__took") >= threshold_s * 1000)
+    placed = kept.withColumns(seen)
     return placed.where(stays).drop("__n", "__roots", "__took")
 
 

@@ -27,8 +27,3 @@ def spark():
 @pytest.fixture
 def scratch():
     return tempfile.mkdtemp(prefix="telemetry-test-")
-
-
-def values(df, *cols):
-    """Rows as tuples, for comparing small results."""
-    return [tuple(r) for r in (df.select(*cols) if cols else df).collect()]

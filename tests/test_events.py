@@ -3,7 +3,7 @@
 import json
 import os
 
-from conftest import values
+from helpers import values
 from pyspark.sql import functions as F
 
 from telemetry_spark.config import Config

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from telemetry_spark.config import MAX_BATCH_ENTRIES
 from telemetry_spark.operators import changes as change
 from telemetry_spark.operators.performance import PERIOD
 from telemetry_spark.plans.session import fresh_dir
@@ -181,7 +182,7 @@ UNION ALL SELECT NULL, count(*) FROM events WHERE event_type = 'view'"""
 
 
 def streamed_metrics(spark, sf):
-    """Metrics through a flusher whose delivery writes them: at most 200 of each kind go out in a flush."""
+    """Metrics through a flusher whose delivery writes them: what a buffer holds of each kind goes out in a flush."""
     rows = event_stream(spark, sf).select(
         F.col("event_type").alias("source"), F.col("event_id").alias("seq"), "value", F.col("ts").alias("recorded_at")
     )
@@ -191,13 +192,13 @@ def streamed_metrics(spark, sf):
         entries.write.mode("overwrite").parquet(f"{sent}/batch={batch_id}")
         return 202
 
-    run_flush(rows, MetricFlusher(deliver, fresh_dir(spark, "flush-state"), limit=200), fresh_dir(spark, "flush-checkpoint"))
+    run_flush(rows, MetricFlusher(deliver, fresh_dir(spark, "flush-state")), fresh_dir(spark, "flush-checkpoint"))
     return spark.read.parquet(sent).select("source", "seq", "value")
 
 
 STREAM_METRICS_SQL = f"""
 SELECT event_type AS source, event_id AS seq, value FROM events
-QUALIFY row_number() OVER (PARTITION BY event_type, {BATCH_SQL} ORDER BY ts, event_id) <= 200"""
+QUALIFY row_number() OVER (PARTITION BY event_type, {BATCH_SQL} ORDER BY ts, event_id) <= {MAX_BATCH_ENTRIES}"""
 
 QUERIES = {
     "streamed_performance": (streamed_performance, STREAM_PERFORMANCE_SQL),

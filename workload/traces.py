@@ -146,14 +146,14 @@ SELECT event_id, e.trace_id, trace_name, trace_duration_ms, trace_spans FROM e L
 
 
 def stitched_traces(spark, sf):
-    """Backend requests for returned lines, one in nine with a header no tracer would write."""
+    """A backend request for every line, one in nine with a header no tracer would write."""
     client = order_spans(spark, sf)
     seed = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     ours = traceparent(
         hex_id(F.col("l_orderkey") + 1, 32), line_id(), F.lit(None).cast("string"), F.lit(True)
     )
     header = F.when(F.col("l_tax") == 0, F.upper(ours)).otherwise(ours)
-    backend = table(spark, sf, "lineitem").where("l_returnflag = 'R'").select(
+    backend = table(spark, sf, "lineitem").select(
         F.concat_ws("-", F.lit("b"), seed).alias("span_id"), F.concat(F.lit("part "), F.col("l_partkey")).alias("name"),
         header.alias("traceparent"),
     )
@@ -164,7 +164,7 @@ STITCH_SQL = f"""
 SELECT {hex_sql('l_orderkey + 1', 32)} AS trace_id, {LINE_ID_SQL} AS parent_span_id,
        'b-' || concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS backend_span_id,
        'part ' || l_partkey AS backend_name, 'line ' || l_linenumber AS client_name
-FROM lineitem WHERE l_returnflag = 'R' AND (l_tax <> 0 OR regexp_full_match({LINE_ID_SQL}, '[0-9]+'))
+FROM lineitem WHERE (l_tax <> 0 OR regexp_full_match({LINE_ID_SQL}, '[0-9]+'))
   AND (l_tax <> 0 OR regexp_full_match({hex_sql('l_orderkey + 1', 32)}, '[0-9]+'))"""
 
 CELL = 4 * 86400
