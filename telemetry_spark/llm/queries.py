@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetry_spark.llm import decontamination, extraction, langid, licenses, neardup, neighbours, packing, sharding, toxicity, urls
+from telemetry_spark.llm import (
+    centroids,
+    decontamination,
+    extraction,
+    filter_audit,
+    langid,
+    licenses,
+    neardup,
+    neighbours,
+    packing,
+    piece_codec,
+    sharding,
+    toxicity,
+    urls,
+)
 
 
 #: Rows that a Python worker gets at once. Texts are long, and a worker holds a whole batch of them.
@@ -108,6 +122,73 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), 40)
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.with_inertia(*centroids.cluster(table(spark, sf_dir, "embeddings")))
+
+
+def _round_sql(n: int) -> str:
+    """Nearest centroids of round n, and the centroids that follow from them."""
+    return f"""
+a{n} AS MATERIALIZED (SELECT r, vec_id, v, min(o).k AS k, min(o).d AS d FROM (
+  SELECT r, vec_id, v.v, {{'d': list_sum(list_transform(list_zip(v.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT, 'k': k}} AS o
+  FROM v, c{n} c) GROUP BY r, vec_id, v),
+m{n} AS MATERIALIZED (SELECT k, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS v FROM (
+  SELECT k, i, sum(x) AS s, count(*) AS n FROM (SELECT k, unnest(range(1, 65)) AS i, unnest(v) AS x FROM a{n}) GROUP BY k, i) GROUP BY k),
+c{n + 1} AS MATERIALIZED (SELECT c.k, coalesce(m.v, c.v) AS v FROM c{n} c LEFT JOIN m{n} m USING (k)),"""
+
+
+CENTROIDS_SQL = f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS k, v FROM v WHERE vec_id IS NOT NULL
+  QUALIFY row_number() OVER (ORDER BY sha256('1:' || vec_id), v) <= 16),{"".join(map(_round_sql, range(4)))}
+z AS (SELECT 1)
+SELECT vec_id, k::INTEGER AS cluster, d AS distance, sum(d) OVER (PARTITION BY k)::BIGINT AS cluster_inertia, sum(d) OVER ()::BIGINT AS inertia,
+       sha256(array_to_string(c3.v, ',')) AS centroid_sha256
+FROM a3 JOIN c3 USING (k)"""
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = filter_audit.checked(table(spark, sf_dir, "documents"))
+    return filter_audit.audit(found, filter_audit.postings(found, table(spark, sf_dir, "labels")))
+
+
+FILTER_AUDIT_SQL = """
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first,
+                  regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, good, toxic, (len(w) < 50)::INT + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::INT
+        + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t))::INT + 8 * regexp_matches(t, '[#$%&*|]')::INT
+        + 16 * coalesce(doc_id > first, false)::INT AS failed
+      FROM d LEFT JOIN l USING (doc_id)),
+m AS (SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS g, count(*) FILTER (toxic) AS x FROM f GROUP BY ALL),
+u AS (SELECT part, s, sum(n) AS total, coalesce(sum(n) FILTER (failed & s <> 0), 0) AS n, coalesce(sum(g) FILTER (failed & s <> 0), 0) AS g,
+             coalesce(sum(x) FILTER (failed & s <> 0), 0) AS x FROM m, (SELECT unnest(range(32)) AS s) GROUP BY part, s),
+i AS (SELECT unnest(range(5)) AS f),
+o AS (SELECT [a.f, b.f, c.f, d.f, e.f] AS o FROM i a, i b, i c, i d, i e WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+s AS (SELECT array_to_string(list_transform(o, lambda f: chr((65 + f)::INT)), '') AS filter_order, step,
+             1 << o[step] AS own, list_sum(list_transform(o[1:step], lambda f: 1 << f))::BIGINT AS after
+      FROM (SELECT o, unnest(range(1, 6)) AS step FROM o)),
+r AS (SELECT a.part, filter_order, step::INT AS step, own, a.total - a.n AS kept, a.n - b.n AS removed, p.n - (a.n - b.n) AS redundant,
+             z.n - q.n AS unique_fails, a.g - b.g AS good_lost, a.x - b.x AS toxic_lost
+      FROM s JOIN u a ON a.s = after JOIN u b ON b.part = a.part AND b.s = after - own JOIN u p ON p.part = a.part AND p.s = own
+      JOIN u z ON z.part = a.part AND z.s = 31 JOIN u q ON q.part = a.part AND q.s = 31 - own)
+SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       sum(removed) OVER (PARTITION BY part, own)::BIGINT AS shapley FROM r"""
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    found = piece_codec.coded(docs, vocabulary("piece_bpe_32k.model"))
+    digest = F.sha2(piece_codec.ids_text(F.col("coded.ids")), 256)
+    return found.select(
+        "doc_id", F.size("coded.ids").cast("bigint").alias("n_tokens"), digest.alias("ids_sha256"),
+        F.sha2("coded.decoded", 256).alias("decoded_sha256"), "coded.agrees",
+    )
+
+
 #: Queries by name with the SQL that must agree, or None where SQL cannot say it.
 REGISTRY = {
     "op1_toxicity": (op1_toxicity, None),
@@ -120,4 +201,7 @@ REGISTRY = {
     "op8_decontamination": (op8_decontamination, DECONTAMINATION_SQL),
     "op9_near_duplicates": (op9_near_duplicates, NEAR_DUPLICATES_SQL),
     "op10_sharding": (op10_sharding, None),
+    "op11_centroid_clustering": (op11_centroid_clustering, CENTROIDS_SQL),
+    "op12_filter_audit": (op12_filter_audit, FILTER_AUDIT_SQL),
+    "op13_sentencepiece": (op13_sentencepiece, None),
 }
