@@ -1,10 +1,11 @@
 """SentencePiece encoding and decoding for merge-type vocabularies.
 
-Method. A text's letters are symbols in a linked row. An agenda holds every pair of adjacent symbols that together make a piece, the highest
+Method. A text's letters are symbols in a row. An agenda holds every pair of adjacent symbols that together make a piece, the highest
 score first and of equal scores the leftmost; the best pair is merged and its new neighbours are proposed, until the agenda is
-empty. Symbols that are no piece are spelled in bytes. A place between two letters that stand side by side in no piece can never be
-merged over; where the vocabulary has no space mark after another letter, texts are cut there first, and the ids of short cuts
-are remembered. Decoding joins the pieces' texts, takes off the mark in front and reads runs of bytes as UTF-8.
+empty. Symbols that are no piece are spelled in bytes. Where no piece has a space mark after another letter, nothing is ever merged over
+such a place: texts are cut there, the cuts of a lot of texts that are new go through their agendas side by side, one merge of each a
+round, and the ids of short cuts are remembered. Longer cuts, and those with letters that are no piece, have a heap for their agenda.
+Decoding joins the pieces' texts, takes off the mark in front and reads runs of bytes as UTF-8.
 
 Every text is checked against the ``sentencepiece`` library, in the same Arrow batch: ``agrees`` says whether its ids and its decoding
 are the library's. What is returned is always what the agenda found.
@@ -19,17 +20,23 @@ from __future__ import annotations
 
 import codecs
 import heapq
-import re
+import itertools
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-#: Cuts of up to so many letters are remembered, and at most so many of them.
-MEMORY_LETTERS, MEMORY_CUTS = 32, 200_000
+#: A cut: what stands between two places where a space mark follows another letter.
+CUT = regex.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+#: Cuts of up to so many letters are remembered, and at most twice so many of them.
+SHORT_LETTERS, MEMORY_CUTS = 32, 400_000
+#: Texts are encoded in lots of about so many letters.
+LOT_LETTERS = 3_000_000
 CODED = "ids array<int>, decoded string, agrees boolean"
 
 
@@ -74,24 +81,89 @@ class Vocabulary:
             else:
                 self.unknown = i
                 self.surfaces.append(trained.unk_surface.encode())
-        marked_inside = re.compile(f"[^{MARK}]{MARK}")
-        self.cuts = None if any(marked_inside.search(p) for p in self.ids) else re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+        self.costs = {p: -s for p, s in self.scores.items()}
+        self.cut = bool(self.prefix) and all(CUT.fullmatch(p) for p in self.ids)
+        self._pairs()
+
+    def _pairs(self) -> None:
+        """Every pair of pieces that together make a piece, for looking up many pairs at once; every letter's symbol, which is its piece or,
+        past all ids, the letter itself; and all pieces' texts in one row."""
+        self.symbols = len(self.surfaces) + 0x110000
+        found = sorted(
+            (self.ids[p[:i]] * self.symbols + self.ids[p[i:]], self.costs[p], own)
+            for p, own in self.ids.items() for i in range(1, len(p)) if p[:i] in self.ids and p[i:] in self.ids
+        )
+        self.pair_keys, self.pair_costs, self.pair_ids = (np.array(c) for c in zip(*[*found, (1 << 62, 0.0, 0)], strict=True))
+        self.letters = np.arange(len(self.surfaces), self.symbols)
+        for piece, own in self.ids.items():
+            if len(piece) == 1:
+                self.letters[ord(piece)] = own
+        self.row = np.frombuffer(b"".join(self.surfaces), np.uint8)
+        self.ends = np.cumsum([0, *map(len, self.surfaces)])
+
+    def proposed(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Cost of merging pairs of symbols (infinite if they make no piece), and what they make."""
+        keys = left * self.symbols + right
+        at = np.searchsorted(self.pair_keys, keys)
+        return np.where(self.pair_keys[at] == keys, self.pair_costs[at], np.inf), self.pair_ids[at]
+
+    def merged_together(self, cuts: list[str]) -> dict[str, bytes]:
+        """Ids (as 32-bit integers) of cuts. Those of one length keep one length: each round merges the best pair of every row, and
+        rows without a pair are done."""
+        out = {}
+        for size, group in itertools.groupby(sorted(cuts, key=len), key=len):
+            names = np.array(list(group), object)
+            if size > SHORT_LETTERS:
+                out.update((n, self.packed(self.merged(n))) for n in names)
+                continue
+            symbols = self.letters[np.array(names, f"<U{size}").view(np.uint32).reshape(len(names), size)]
+            cost, whole = self.proposed(symbols[:, :-1], symbols[:, 1:])
+            while len(names):
+                width, at = symbols.shape[1], cost.argmin(axis=1) if cost.shape[1] else np.zeros(len(names), np.int64)
+                rows = np.arange(len(names))
+                done = np.isinf(cost[rows, at]) if cost.shape[1] else np.ones(len(names), bool)
+                ready = symbols[done]
+                raw = ready.astype(np.int32).tobytes()
+                out.update(zip(names[done], (raw[i : i + width * 4] for i in range(0, len(raw), width * 4)), strict=True))
+                for name, row in zip(names[done], ready, strict=True) if (ready >= len(self.surfaces)).any() else ():
+                    out[name] = self.packed([i for symbol in row.tolist() for i in self.spelled(symbol)])
+                names, symbols, cost, whole, at = (x[~done] for x in (names, symbols, cost, whole, at))
+                if not len(names):
+                    break
+                rows, places = np.arange(len(names)), np.arange(width)
+                symbols[rows, at] = whole[rows, at]
+                symbols = symbols[places != at[:, None] + 1].reshape(len(names), width - 1)
+                left_over = places[:-1] != at[:, None]
+                cost, whole = (x[left_over].reshape(len(names), width - 2) for x in (cost, whole))
+                for changed, first in ((at < width - 2, at), (at > 0, at - 1)):
+                    row, place = rows[changed], first[changed]
+                    cost[row, place], whole[row, place] = self.proposed(symbols[row, place], symbols[row, place + 1])
+        return out
+
+    def spelled(self, symbol: int) -> list[int]:
+        """A symbol's id, or the bytes of a letter that is no piece."""
+        if symbol < len(self.surfaces):
+            return [symbol]
+        return [self.bytes[b] for b in chr(symbol - len(self.surfaces)).encode()]
+
+    @staticmethod
+    def packed(ids: list[int]) -> bytes:
+        return struct.pack(f"{len(ids)}i", *ids)
 
     def merged(self, letters: str) -> list[int]:
-        """Ids of one cut: pairs are taken off the agenda by score, then from the left."""
-        symbols, scores, agenda = list(letters), self.scores, []
+        """Ids of one cut. The agenda is a heap; a pair that has lost a side to another merge, or whose sides have grown, is out of date."""
+        symbols, costs, agenda = list(letters), self.costs, []
         before, after = list(range(-1, len(symbols) - 1)), [*range(1, len(symbols)), -1]
 
         def propose(left: int, right: int) -> None:
             pair = symbols[left] + symbols[right]
-            if pair in scores:
-                heapq.heappush(agenda, (-scores[pair], left, right, pair))
+            if pair in costs:
+                heapq.heappush(agenda, (costs[pair], left, right, pair))
 
         for right in range(1, len(symbols)):
             propose(right - 1, right)
         while agenda:
             _, left, right, pair = heapq.heappop(agenda)
-            # A pair that lost a side to another merge, or whose sides have grown, is out of date.
             if not symbols[left] or not symbols[right] or len(symbols[left]) + len(symbols[right]) != len(pair):
                 continue
             symbols[left], symbols[right], following = pair, "", after[right]
@@ -107,37 +179,66 @@ class Vocabulary:
             out += [known] if known is not None else [self.bytes[b] for b in symbol.encode()]
         return out
 
-    def decode(self, ids: list[int | None]) -> str:
-        size = len(self.surfaces)
-        ids = [i if i is not None and 0 <= i < size else self.unknown for i in ids]
-        first = next((i for i in ids if i not in self.silent), None)
-        joined = b"".join([self.surfaces[i] for i in ids])
-        if first in self.marked:
-            joined = joined[1:]
-        return joined.decode("utf-8", "one-by-one")
+    def decode(self, ids: np.ndarray) -> str:
+        """The text of ids, all of them inside the vocabulary."""
+        sizes = self.ends[ids + 1] - self.ends[ids]
+        shift = self.ends[ids] - np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        joined = self.row[np.repeat(shift, sizes) + np.arange(sizes.sum())].tobytes() if len(ids) else b""
+        first = next((i for i in map(int, ids) if i not in self.silent), None)
+        return joined[first in self.marked :].decode("utf-8", "one-by-one")
 
+    def inside(self, ids: list[int | None]) -> np.ndarray:
+        """Ids with the unknown piece in place of those outside the vocabulary."""
+        return np.array([i if i is not None and 0 <= i < len(self.surfaces) else self.unknown for i in ids], np.int32)
 
-class Encoder(dict):
-    """Ids of whole texts; as a dictionary, the ids (as 32-bit integers) of the cuts it remembers."""
 
-    def __init__(self, vocabulary: Vocabulary, limit: int = MEMORY_CUTS):
-        super().__init__()
-        self.vocabulary, self.limit = vocabulary, limit
+class Encoder:
+    """Ids of whole texts. It remembers the ids of cuts, each without the mark in front that every cut has. When it holds too many it
+    starts anew and takes over from what it held only those that come again."""
 
-    def __missing__(self, cut: str) -> bytes:
-        found = np.array(self.vocabulary.merged(cut), np.int32).tobytes()
-        if len(cut) <= MEMORY_LETTERS:
-            if len(self) >= self.limit:
-                self.clear()
-            self[cut] = found
-        return found
+    def __init__(self, vocabulary: Vocabulary, limit: int = MEMORY_CUTS):
+        self.vocabulary, self.limit, self.known, self.before = vocabulary, limit, {}, {}
+
+    def cuts(self, text: str) -> list[str]:
+        marked = text.replace(" ", MARK)
+        if MARK * 2 in marked or marked.startswith(MARK) or marked.endswith(MARK):
+            return [c[1:] for c in CUT.findall(MARK + marked)]
+        return marked.split(MARK)
+
+    def learn(self, cuts: set[str]) -> dict[str, bytes]:
+        """Have the ids of all these cuts at hand; those too long to be remembered are returned."""
+        new = cuts.difference(self.known)
+        if len(self.known) + len(new) > self.limit:
+            self.before, self.known, new = self.known, {}, cuts
+        again = {c: self.before[c] for c in new if c in self.before}
+        found = self.vocabulary.merged_together([MARK + c for c in new if c not in again])
+        self.known |= again
+        self.known |= {c[1:]: ids for c, ids in found.items() if len(c) <= SHORT_LETTERS}
+        return {c[1:]: ids for c, ids in found.items() if len(c) > SHORT_LETTERS}
+
+    def of_all(self, texts: list[str]) -> list[np.ndarray]:
+        if not self.vocabulary.cut:
+            return [np.array(self.vocabulary.merged(self.vocabulary.prefix + t.replace(" ", MARK)) if t else [], np.int32) for t in texts]
+        each = [self.cuts(t) if t else [] for t in texts]
+        long = self.learn(set().union(*each))
+        known = self.known
+        if long:
+            return [np.frombuffer(b"".join([known[c] if c in known else long[c] for c in own]), np.int32) for own in each]
+        return [np.frombuffer(b"".join([known[c] for c in own]), np.int32) for own in each]
+
+    def lots(self, texts: Iterator[str]) -> Iterator[tuple[str, np.ndarray]]:
+        """Texts with their ids, encoded a lot at a time."""
+        lot, letters = [], 0
+        for text in texts:
+            lot.append(text)
+            letters += len(text)
+            if letters >= LOT_LETTERS:
+                yield from zip(lot, self.of_all(lot), strict=True)
+                lot, letters = [], 0
+        yield from zip(lot, self.of_all(lot), strict=True)
 
     def ids(self, text: str) -> np.ndarray:
-        if not text:
-            return np.empty(0, np.int32)
-        marked = self.vocabulary.prefix + text.replace(" ", MARK)
-        cuts = self.vocabulary.cuts.findall(marked) if self.vocabulary.cuts else [marked]
-        return np.frombuffer(b"".join(map(self.__getitem__, cuts)), np.int32)
+        return self.of_all([text])[0]
 
 
 def coded(docs: DataFrame, vocabulary: str, column: str = "coded", text_col: str = "text") -> DataFrame:
@@ -149,13 +250,12 @@ def coded(docs: DataFrame, vocabulary: str, column: str = "coded", text_col: str
         encoder = Encoder(known)
         for texts in batches:
             ids, decoded, agrees = [], [], []
-            for raw in texts.cast("binary"):
-                text = (raw.as_py() or b"").decode("utf-8", "one-by-one")
-                own = encoder.ids(text)
-                plain = own.tolist()
+            whole = ((raw.as_py() or b"").decode("utf-8", "one-by-one") for raw in texts.cast("binary"))
+            for text, own in encoder.lots(whole):
                 ids.append(own)
-                decoded.append(known.decode(plain))
-                agrees.append(plain == known.library.encode(text) and decoded[-1] == known.library.decode(plain))
+                decoded.append(known.decode(own))
+                theirs = known.library.encode(text, return_type="numpy")
+                agrees.append(np.array_equal(own, theirs) and decoded[-1] == known.library.decode(own))
             ends = np.cumsum([0, *map(len, ids)])
             values = np.concatenate(ids) if ids else np.empty(0, np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
@@ -171,7 +271,7 @@ def decoded(docs: DataFrame, vocabulary: str, column: str = "text", ids_col: str
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = Vocabulary(vocabulary)
         for lists in batches:
-            yield pa.array([None if x is None else known.decode(x) for x in lists.to_pylist()], pa.string())
+            yield pa.array([None if x is None else known.decode(known.inside(x)) for x in lists.to_pylist()], pa.string())
 
     return docs.withColumn(column, run(F.col(ids_col)))
 
