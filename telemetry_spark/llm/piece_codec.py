@@ -93,7 +93,19 @@ class Vocabulary:
             (self.ids[p[:i]] * self.symbols + self.ids[p[i:]], self.costs[p], own)
             for p, own in self.ids.items() for i in range(1, len(p)) if p[:i] in self.ids and p[i:] in self.ids
         )
-        self.pair_keys, self.pair_costs, self.pair_ids = (np.array(c) for c in zip(*[*found, (1 << 62, 0.0, 0)], strict=True))
+        keys, self.pair_costs, self.pair_ids = (np.array(c) for c in zip(*[*found, (-1, np.inf, 0)], strict=True))
+        # Open addressing: each slot has the number of a pair, an empty one that of the last, which is none.
+        self.shift = np.uint64(64 - max(4, (6 * len(keys)).bit_length()))
+        slots = 1 << (64 - int(self.shift))
+        self.slot_keys, self.slot_pairs = np.full(slots, -1), np.full(slots, len(found), np.int32)
+        left = np.arange(len(found))
+        at = self.slot(keys[left])
+        while len(left):
+            free = self.slot_pairs[at] == len(found)
+            self.slot_pairs[at[free]] = left[free]  # of several for one slot the last one written has it
+            self.slot_keys[at[free]] = keys[left[free]]
+            out = self.slot_pairs[at] != left
+            left, at = left[out], (at[out] + 1) % slots
         self.letters = np.arange(len(self.surfaces), self.symbols)
         for piece, own in self.ids.items():
             if len(piece) == 1:
@@ -101,11 +113,26 @@ class Vocabulary:
         self.row = np.frombuffer(b"".join(self.surfaces), np.uint8)
         self.ends = np.cumsum([0, *map(len, self.surfaces)])
 
+    def slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
     def proposed(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Cost of merging pairs of symbols (infinite if they make no piece), and what they make."""
         keys = left * self.symbols + right
-        at = np.searchsorted(self.pair_keys, keys)
-        return np.where(self.pair_keys[at] == keys, self.pair_costs[at], np.inf), self.pair_ids[at]
+        at = self.slot(keys)
+        there, pairs = self.slot_keys[at], self.slot_pairs[at]
+        none = len(self.pair_costs) - 1
+        # Few slots hold another pair: those go on to the next one.
+        row = np.nonzero((there != keys) & (there >= 0))
+        pairs[row] = none
+        while len(row[0]):
+            at[row] = (at[row] + 1) % len(self.slot_keys)
+            there = self.slot_keys[at[row]]
+            found = there == keys[row]
+            hit = tuple(r[found] for r in row)
+            pairs[hit] = self.slot_pairs[at[hit]]
+            row = tuple(r[~found & (there >= 0)] for r in row)
+        return self.pair_costs[pairs], self.pair_ids[pairs]
 
     def merged_together(self, cuts: list[str]) -> dict[str, bytes]:
         """Ids (as 32-bit integers) of cuts. Those of one length keep one length: each round merges the best pair of every row, and
