@@ -25,6 +25,20 @@ def file_stream(spark: SparkSession, path: str, schema: str, glob: str = "*.parq
     return reader.option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
+def control_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows that steer a stream, out of a folder that may still be empty."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    return file_stream(spark, path, schema)
+
+
+def state_rows(spark: SparkSession, checkpoint: str, variable: str, flatten: bool = True) -> DataFrame:
+    """What a stream keeps under one of its processor's names, as of its last committed batch: ``key`` with its value, or with the
+    entries of a map or list, a row each unless they are not to be flattened."""
+    reader = spark.read.format("statestore").option("stateVarName", variable)
+    return reader.option("flattenCollectionTypes", flatten).load(checkpoint)
+
+
 def start(df: DataFrame, path: str, checkpoint: str, every: str = "60 seconds") -> StreamingQuery:
     """Write a stream as Parquet, one micro-batch per flush interval."""
     writer = df.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")

@@ -1,24 +1,31 @@
 """Keyed state: trails, users, traces, queues and tallies with retries.
 
-Each processor sees one key's new rows of a micro-batch in the order of their ``at`` and ``seq``; how many those can
-be is bounded by the source's rate per trigger. What is kept between micro-batches is bounded by the rule itself.
+With a watermark, processors that follow ``InOrder`` see a key's rows in the order of ``at`` and ``seq`` whatever micro-batch they come in:
+rows wait in state by slots of time and are replayed when the watermark has passed their slot. Without one they see each micro-batch's
+rows in that order at once. What is kept is bounded by the rule itself, and by the rows that wait.
 """
 
 from __future__ import annotations
 
-import json
+import io
 from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from telemetry_spark.config import MAX_CONSECUTIVE_FAILURES, MAX_PENDING_TRACES, MAX_SPANS
 from telemetry_spark.functions.delivery import FAILED, delivery_outcome_of
 from telemetry_spark.functions.latency import BOUNDARIES_MS, LABELS
+from telemetry_spark.plans.session import fresh_dir
+from telemetry_spark.streaming.runs import control_stream, flush_now, state_rows
 
 DAY_MS = 24 * 3600 * 1000
+#: The kind of a control row: what waits is replayed at once.
+FLUSH = "flush"
 
 
 def _ordered(chunks: Iterator[pd.DataFrame]) -> Iterator[dict]:
@@ -29,7 +36,85 @@ def _ordered(chunks: Iterator[pd.DataFrame]) -> Iterator[dict]:
         yield dict(zip(rows.columns, values, strict=True))
 
 
-class BreadcrumbRing(StatefulProcessor):
+def _epoch_ms(moment) -> int:
+    return pd.Timestamp(moment).value // 1_000_000
+
+
+class InOrder(StatefulProcessor):
+    """Replays a key's rows in event time. A subclass says what a row does in ``replay``, and what has fallen due by a time in ``due``.
+
+    Rows wait by slots of ``slot_ms``, as the chunks they came in: a hot key's rows are read chunk by chunk and never held together, and
+    one slot's rows are what is sorted at a time. A slot is replayed when the watermark passes its end. A control row (kind ``flush``)
+    has all that waits replayed at once; rows of earlier times that come after that are replayed after it.
+    """
+
+    slot_ms = 60_000
+    in_order = False
+
+    def waiting(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.parts = handle.getMapState("waiting", "slot bigint", "parts int")
+        self.chunks = handle.getMapState("chunks", "slot bigint, part int", "rows binary")
+
+    def handleInputRows(self, key, rows, timerValues):
+        if not self.in_order:
+            yield from self.replay(key, _ordered(rows))
+            return
+        asked = False
+        for chunk in rows:
+            chunk = chunk[chunk["at"].notna()]
+            asked = asked or bool((chunk["kind"] == FLUSH).any())
+            chunk = chunk[chunk["kind"] != FLUSH]
+            if chunk.empty:
+                continue
+            for slot, part in chunk.groupby(chunk["at"].map(_epoch_ms) // self.slot_ms):
+                self._wait(int(slot), part)
+        if asked:
+            yield from self._drain(key, None)
+
+    def _wait(self, slot: int, part: pd.DataFrame) -> None:
+        known = self.parts.getValue((slot,))[0] if self.parts.containsKey((slot,)) else 0
+        if not known:
+            self.handle.registerTimer((slot + 1) * self.slot_ms)
+        sink = io.BytesIO()
+        table = pa.Table.from_pandas(part, preserve_index=False)
+        with pa.ipc.new_stream(sink, table.schema) as writer:
+            writer.write_table(table)
+        self.chunks.updateValue((slot, known), (sink.getvalue(),))
+        self.parts.updateValue((slot,), (known + 1,))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        yield from self._drain(key, timerValues.getCurrentWatermarkInMs())
+
+    def _drain(self, key, upto: int | None):
+        """Replay, slot by slot, what waits for the watermark; all of it if there is none."""
+        for slot in sorted(slot for (slot,) in self.parts.keys()):
+            if upto is not None and (slot + 1) * self.slot_ms > upto:
+                break
+            parts = self.parts.getValue((slot,))[0]
+            chunks = []
+            for part in range(parts):
+                with pa.ipc.open_stream(self.chunks.getValue((slot, part))[0]) as reader:
+                    chunks.append(reader.read_all().to_pandas())
+                self.chunks.removeKey((slot, part))
+            self.parts.removeKey((slot,))
+            if upto is None:
+                self.handle.deleteTimer((slot + 1) * self.slot_ms)
+            yield from self.replay(key, _ordered(iter(chunks)))
+        if upto is not None:
+            yield from self.due(key, upto)
+
+    def replay(self, key, rows: Iterator[dict]) -> Iterator[pd.DataFrame]:
+        raise NotImplementedError
+
+    def due(self, key, upto: int) -> Iterator[pd.DataFrame]:
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+class BreadcrumbRing(InOrder):
     """Keeps a key's last breadcrumbs since the last clear and sends them with each error.
 
     Rows: ``at``, ``seq``, ``kind`` (crumb, clear or error), ``id``, ``crumb`` (text).
@@ -41,12 +126,13 @@ class BreadcrumbRing(StatefulProcessor):
         self.size = size
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.waiting(handle)
         self.ring = handle.getListState("ring", "crumb string")
 
-    def handleInputRows(self, key, rows, timerValues):
+    def replay(self, key, rows):
         ring = [r[0] for r in self.ring.get()] if self.ring.exists() else []
         out = []
-        for row in _ordered(rows):
+        for row in rows:
             if row["kind"] == "crumb":
                 ring = [*ring, row["crumb"]][-self.size :]
             elif row["kind"] == "clear":
@@ -59,11 +145,8 @@ class BreadcrumbRing(StatefulProcessor):
             self.ring.clear()
         yield pd.DataFrame(out, columns=["id", "crumbs", "trail"])
 
-    def close(self) -> None:
-        pass
-
 
-class UserState(StatefulProcessor):
+class UserState(InOrder):
     """Keeps a key's current user. Rows: ``at``, ``seq``, ``kind`` (set or event), ``id``, ``user``.
 
     An event's own user wins; setting a null user clears.
@@ -72,12 +155,13 @@ class UserState(StatefulProcessor):
     SCHEMA = "id string, user string"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.waiting(handle)
         self.user = handle.getValueState("user", "user string")
 
-    def handleInputRows(self, key, rows, timerValues):
+    def replay(self, key, rows):
         current = self.user.get()[0] if self.user.exists() else None
         out = []
-        for row in _ordered(rows):
+        for row in rows:
             if row["kind"] == "set":
                 current = row["user"]
             else:
@@ -88,9 +172,6 @@ class UserState(StatefulProcessor):
             self.user.update((current,))
         yield pd.DataFrame(out, columns=["id", "user"])
 
-    def close(self) -> None:
-        pass
-
 
 class TraceAssembler(StatefulProcessor):
     """Holds a trace's spans until its root comes, then sends them, root first, if the trace was slow.
@@ -174,30 +255,7 @@ class QueueAdmission(StatefulProcessor):
         pass
 
 
-def _add(tally: dict, duration: float) -> None:
-    label = LABELS[bisect_left(BOUNDARIES_MS, duration)]
-    tally["count"] += 1
-    tally["sum"] += duration
-    tally["max"] = max(tally["max"], duration)
-    tally["newest_max"] = max(tally["newest_max"], duration)
-    tally["histogram"][label] = tally["histogram"].get(label, 0) + 1
-
-
-def _take_off(tallies: dict, sent: dict, carry_max: bool) -> None:
-    """Subtract what was sent, and only that: records that came in while it was on its way stay."""
-    for name, gone in sent.items():
-        tally = tallies[name]
-        tally["count"] -= gone["count"]
-        tally["sum"] = max(0.0, tally["sum"] - gone["sum"])
-        left = {k: n - gone["histogram"].get(k, 0) for k, n in tally["histogram"].items()}
-        tally["histogram"] = {k: n for k, n in left.items() if n > 0}
-        if not carry_max:
-            tally["max"] = tally["newest_max"]
-        if tally["count"] <= 0:
-            del tallies[name]
-
-
-class TallyFlusher(StatefulProcessor):
+class TallyFlusher(InOrder):
     """Tallies of one source between deliveries.
 
     Rows: ``at``, ``seq``, ``kind``, ``transaction_name``, ``duration_ms``, ``status``. A ``record`` is tallied, a
@@ -205,65 +263,161 @@ class TallyFlusher(StatefulProcessor):
     tallies go, failed ones stay for the next snapshot until ``limit`` failures in a row drop them too.
     ``carry_max`` keeps a maximum that has been sent on a tally that still holds newer records; without it such a tally
     goes on with the maximum of its newer records.
+
+    A snapshot covers the period from where the last settled one ended, at first from the source's first row, to its own moment. With a
+    watermark and ``interval_ms`` snapshots also fall due by themselves, at every multiple of the interval that finds a tally; a timer
+    sends the last one when no row follows it.
+
+    State: one entry per transaction with what is held and what of it has been sent, one per transaction and label, and the settings of
+    the source; a batch rewrites the entries it touches.
     """
 
     SCHEMA = (
         "source string, flush_seq bigint, transaction_name string, request_count bigint, duration_sum_ms double, "
-        "max_duration_ms double, histogram map<string,bigint>"
+        "max_duration_ms double, histogram map<string,bigint>, period_started_at timestamp, period_ended_at timestamp"
     )
+    COLUMNS = ["source", "flush_seq", "transaction_name", "request_count", "duration_sum_ms", "max_duration_ms", "histogram",
+               "period_started_at", "period_ended_at"]
 
-    def __init__(self, limit: int = MAX_CONSECUTIVE_FAILURES, carry_max: bool = True):
-        self.limit, self.carry_max = limit, carry_max
+    def __init__(self, limit: int = MAX_CONSECUTIVE_FAILURES, carry_max: bool = True, interval_ms: int | None = None):
+        self.limit, self.carry_max, self.interval_ms = limit, carry_max, interval_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("tallies", "state string")
-
-    def handleInputRows(self, key, rows, timerValues):
-        kept = json.loads(self.state.get()[0]) if self.state.exists() else {"tallies": {}, "sent": {}, "failures": 0}
-        tallies, out = kept["tallies"], []
-        for row in _ordered(rows):
+        self.waiting(handle)
+        self.tallies = handle.getMapState(
+            "tallies", "transaction_name string", "n bigint, total double, longest double, newest double, sent_n bigint, sent_total double")
+        self.labels = handle.getMapState("labels", "transaction_name string, label string", "n bigint, sent_n bigint")
+        self.settings = handle.getValueState("settings", "failures int, started_us bigint, ended_us bigint, next_ms bigint, flushes bigint")
+
+    def replay(self, key, rows):
+        known = self.settings.get() if self.settings.exists() else (0, None, None, None, 0)
+        failures, started, ended, due, flushes = known
+        out = []
+        for row in rows:
+            at_us = pd.Timestamp(row["at"]).value // 1000
+            started = at_us if started is None else started
+            if due is not None and at_us >= due * 1000:
+                if ended is None:  # else the last snapshot is still on its way
+                    flushes += 1
+                    ended = self._snapshot(key, flushes, started, due * 1000, out)
+                due = None
             if row["kind"] == "record":
-                if row["duration_ms"] is None:
-                    continue  # nothing was measured
-                empty = {"count": 0, "sum": 0.0, "max": 0.0, "newest_max": 0.0, "histogram": {}}
-                _add(tallies.setdefault(row["transaction_name"], empty), float(row["duration_ms"]))
+                if row["duration_ms"] is not None:  # else nothing was measured
+                    self._add(row["transaction_name"], float(row["duration_ms"]))
+                    due = self._next(at_us) if due is None else due
             elif row["kind"] == "snapshot":
-                kept["sent"] = json.loads(json.dumps(tallies))
-                for name, tally in tallies.items():
-                    tally["newest_max"] = 0.0
-                    out.append((
-                        key[0], row["seq"], name, tally["count"], tally["sum"], tally["max"], dict(tally["histogram"])
-                    ))
-            else:
+                ended = self._snapshot(key, row["seq"], started, at_us, out) or ended
+            elif ended is not None:
                 # No status is no answer, which the rules count as a failure.
-                self._settle(kept, 0 if row["status"] is None else int(row["status"]))
-        self.state.update((json.dumps(kept),))
-        columns = ["source", "flush_seq", "transaction_name", "request_count", "duration_sum_ms", "max_duration_ms",
-                   "histogram"]
-        yield pd.DataFrame(out, columns=columns)
-
-    def _settle(self, kept: dict, status: int) -> None:
-        if not kept["sent"]:
-            return
-        if delivery_outcome_of(status) == FAILED:
-            kept["failures"] += 1
-            if kept["failures"] < self.limit:
-                return
-        kept["failures"] = 0
-        _take_off(kept["tallies"], kept["sent"], self.carry_max)
-        kept["sent"] = {}
+                failed = delivery_outcome_of(0 if row["status"] is None else int(row["status"])) == FAILED
+                failures = failures + 1 if failed else 0
+                if not failed or failures >= self.limit:
+                    self._take_off()
+                    failures, started = 0, ended
+                ended = None
+                if due is None and self.interval_ms is not None and any(True for _ in self.tallies.keys()):
+                    due = self._next(at_us)  # what failed, or came in meanwhile, is tried again
+        self._keep(failures, started, ended, due, flushes)
+        yield pd.DataFrame(out, columns=self.COLUMNS)
+
+    def due(self, key, upto):
+        failures, started, ended, due, flushes = self.settings.get() if self.settings.exists() else (0, None, None, None, 0)
+        out = []
+        if due is not None and due <= upto:
+            if ended is None:
+                flushes += 1
+                ended = self._snapshot(key, flushes, started, due * 1000, out)
+            self._keep(failures, started, ended, None, flushes)
+        yield pd.DataFrame(out, columns=self.COLUMNS)
+
+    def _next(self, at_us: int) -> int | None:
+        return None if self.interval_ms is None else (at_us // 1000 // self.interval_ms + 1) * self.interval_ms
+
+    def _keep(self, failures, started, ended, due, flushes) -> None:
+        if due is not None and self.in_order:
+            self.handle.registerTimer(due)
+        self.settings.update((failures, started, ended, due, flushes))
+
+    def _add(self, name, duration: float) -> None:
+        n, total, longest, newest, sent_n, sent_total = self.tallies.getValue((name,)) if self.tallies.containsKey((name,)) else (0, 0.0, 0.0, 0.0, 0, 0.0)
+        self.tallies.updateValue((name,), (n + 1, total + duration, max(longest, duration), max(newest, duration), sent_n, sent_total))
+        entry = (name, LABELS[bisect_left(BOUNDARIES_MS, duration)])
+        held, sent = self.labels.getValue(entry) if self.labels.containsKey(entry) else (0, 0)
+        self.labels.updateValue(entry, (held + 1, sent))
+
+    def _snapshot(self, key, seq: int, started: int, ended: int, out: list) -> int | None:
+        """Send every tally, and remember what of it is on its way. Without tallies there is nothing to settle."""
+        histograms = {}
+        for (name, label), (n, _) in list(self.labels.iterator()):
+            histograms.setdefault(name, {})[label] = n
+            self.labels.updateValue((name, label), (n, n))
+        period = [pd.Timestamp(us, unit="us") for us in (started, ended)]
+        tallies = list(self.tallies.iterator())
+        for (name,), (n, total, longest, _, _, _) in tallies:
+            out.append((key[0], seq, name, n, total, longest, histograms.get(name, {}), *period))
+            self.tallies.updateValue((name,), (n, total, longest, 0.0, n, total))
+        return ended if tallies else None
+
+    def _take_off(self) -> None:
+        """Subtract what was sent, and only that: records that came in while it was on its way stay."""
+        for (name, label), (n, sent) in list(self.labels.iterator()):
+            if n > sent:
+                self.labels.updateValue((name, label), (n - sent, 0))
+            else:
+                self.labels.removeKey((name, label))
+        for (name,), (n, total, longest, newest, sent_n, sent_total) in list(self.tallies.iterator()):
+            if n > sent_n:
+                rest = max(0.0, total - sent_total)
+                self.tallies.updateValue((name,), (n - sent_n, rest, longest if self.carry_max else newest, newest, 0, 0.0))
+            else:
+                self.tallies.removeKey((name,))
 
-    def close(self) -> None:
-        pass
 
+def keyed(df: DataFrame, key: str, processor: StatefulProcessor, watermark: str | None = None, control: DataFrame | None = None) -> DataFrame:
+    """Run a processor over a stream, one state per key; with a watermark on ``at`` where its state expires or rows are to be in order.
 
-def keyed(df: DataFrame, key: str, processor: StatefulProcessor, watermark: str | None = None) -> DataFrame:
-    """Run a processor over a stream, one state per key; with a watermark on ``at`` where its state expires."""
+    ``control`` is a stream of control rows: the key, ``at`` and ``kind``.
+    """
+    if control is not None:
+        df = df.unionByName(control, allowMissingColumns=True)
     if watermark is not None:
         df = df.withWatermark("at", watermark)
+    processor.in_order = watermark is not None
     return df.groupBy(key).transformWithStateInPandas(
         statefulProcessor=processor,
         outputStructType=processor.SCHEMA,
         outputMode="Append",
         timeMode="None" if watermark is None else "EventTime",
     )
+
+
+def waiting_keys(spark: SparkSession, checkpoint: str, slot_ms: int) -> DataFrame:
+    """A control row for each key with rows that wait, as of the last committed batch. Its time lies in the key's last slot, just before
+    that slot's end, so that it is never late itself and moves the watermark by less than a slot."""
+    held = state_rows(spark, checkpoint, "waiting")
+    return held.groupBy("key").agg(F.max("user_map_key.slot").alias("slot")).select(
+        "key.*", F.timestamp_millis((F.col("slot") + 1) * slot_ms - 1).alias("at"), F.lit(FLUSH).alias("kind"))
+
+
+def flush_waiting(df: DataFrame, key: str, processor: InOrder, watermark: str, path: str, checkpoint: str, control: str) -> DataFrame:
+    """Process everything that has arrived in order, then replay what still waits, and stop. The stream's output is what is returned."""
+    spark = df.sparkSession
+    asks = control_stream(spark, control, f"`{key}` {df.schema[key].dataType.simpleString()}, at timestamp, kind string")
+    stream = keyed(df, key, processor, watermark, asks)
+    schema = stream.schema
+    flush_now(stream, path, checkpoint)
+    waiting_keys(spark, checkpoint, processor.slot_ms).write.mode("append").parquet(control)
+    flush_now(stream, path, checkpoint)
+    return spark.read.schema(schema).parquet(path)
+
+
+def collected_in_order(df: DataFrame, key: str, processor: InOrder, watermark: str, checkpoint: str | None = None) -> DataFrame:
+    """All that a finite stream comes to in event time, out of a fresh folder."""
+    out, own, control = (fresh_dir(df.sparkSession, f"in-order-{name}") for name in ("out", "checkpoint", "control"))
+    return flush_waiting(df, key, processor, watermark, out, checkpoint or own, control)
+
+
+def kept_trails(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The trails that a stream of ``BreadcrumbRing`` keeps, oldest crumb first: its key and ``trail``, as of the last committed batch."""
+    held = state_rows(spark, checkpoint, "ring", flatten=False)
+    return held.select("key.*", F.transform("list_value", lambda c: c["crumb"]).alias("trail"))

@@ -11,12 +11,13 @@ from telemetry_spark.plans.session import fresh_dir
 from telemetry_spark.streaming import state
 from telemetry_spark.streaming.flush import MetricFlusher
 from telemetry_spark.streaming.runs import collected, file_stream, prepare, run_flush
-from telemetry_spark.streaming.windows import stream_changes, stream_performance
+from telemetry_spark.streaming.tallies import collected_tallies
+from telemetry_spark.streaming.windows import stream_changes
 from telemetry_spark.functions.timefmt import iso_seconds
 from workload.delivery import QUEUE_LIMIT, QUEUE_SQL
 from workload.events import TRAILS_SQL, USERS_SQL, CLEARS
-from workload.performance import HOURLY_SQL
-from workload.tables import MEASUREMENTS_SQL, iso_sql, item
+from workload.performance import PERFORMANCE_SAMPLES_SQL
+from workload.tables import iso_sql, item
 
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 #: Events arrive in micro-batches of so many days of the month.
@@ -24,12 +25,18 @@ BATCH_DAYS = 8
 BATCH_SQL = f"(day(ts) - 1) // {BATCH_DAYS}"
 
 
-def event_stream(spark, sf):
-    """The events as they would arrive: written out days by days, each part one micro-batch of the stream."""
+#: How late an event may come in a scattered stream, what the watermark allows, and how much of a key's time is replayed at once.
+LATE_DAYS, LATE_WATERMARK, SLOT_MS = 1, "2 days", state.DAY_MS
+
+
+def event_stream(spark, sf, scattered=False):
+    """The events as they would arrive: written out days by days, each part one micro-batch of the stream. In a scattered stream an
+    event may come up to a day late, so that of the days around the end of a part some events come in the next one."""
     prepare(spark)
     path, files = fresh_dir(spark, "event-files"), spark.sparkContext.defaultParallelism
     events = spark.read.parquet(f"{sf}/events.parquet")
-    part = F.floor((F.dayofmonth("ts") - 1) / BATCH_DAYS)
+    late = F.pmod(F.xxhash64("event_id"), F.lit(100)) / 100 * LATE_DAYS if scattered else F.lit(0)
+    part = F.floor((F.dayofmonth("ts") - 1 + late) / BATCH_DAYS)
     for number in range(31 // BATCH_DAYS + 1):
         events.where(part == number).repartition(files, "event_id").write.mode("append").parquet(path)
     df = file_stream(spark, path, EVENT_SCHEMA, files_per_trigger=files)
@@ -37,36 +44,56 @@ def event_stream(spark, sf):
 
 
 def streamed_performance(spark, sf):
-    """Hourly tallies of the windows the watermark has closed."""
+    """Hourly tallies: of the windows the watermark has closed, and of those that are open when the stream is flushed."""
     timings = event_stream(spark, sf).select(
         F.col("event_type").alias("transaction_name"), F.lit("production").alias("environment"),
         F.lit(None).cast("string").alias("release"), "ts", (F.col("value") * 20).alias("duration_ms"),
     )
-    closed = collected(stream_performance(timings, every="1 hour"), "stream-performance")
+    sent = collected_tallies(timings, every="1 hour")
     stamped = {c: iso_seconds(F.col(c)) for c in PERIOD}
-    return closed.withColumns({"duration_sum_ms": F.round("duration_sum_ms", 4), **stamped}).drop("environment", "release")
+    return sent.withColumns({"duration_sum_ms": F.round("duration_sum_ms", 4), **stamped}).drop("environment", "release")
 
 
-STREAM_PERFORMANCE_SQL = f"""
-SELECT * EXCLUDE (started, s), round(s, 4) AS duration_sum_ms, {iso_sql('started')} AS period_started_at,
-       {iso_sql('started + INTERVAL 1 HOUR')} AS period_ended_at FROM ({HOURLY_SQL})
-WHERE started + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM ({MEASUREMENTS_SQL}))"""
+def in_order(rows, key, processor, **options):
+    processor.slot_ms = SLOT_MS
+    return state.collected_in_order(rows, key, processor, LATE_WATERMARK, **options)
 
 
-def streamed_trails(spark, sf):
+def trail_rows(spark, sf):
     kind = F.when(F.col("event_type") == "error", "error").when(F.expr(CLEARS), "clear").otherwise("crumb")
-    rows = event_stream(spark, sf).select(
+    return event_stream(spark, sf, scattered=True).select(
         "user_id", F.col("ts").alias("at"), F.col("event_id").alias("seq"), kind.alias("kind"),
         F.col("event_id").cast("string").alias("id"), F.col("event_id").cast("string").alias("crumb"),
     )
-    found = collected(state.keyed(rows, "user_id", state.BreadcrumbRing()), "stream-trails")
+
+
+def streamed_trails(spark, sf):
+    """Trails of errors out of a stream that comes out of order."""
+    found = in_order(trail_rows(spark, sf), "user_id", state.BreadcrumbRing())
     return found.select(
         F.col("id").cast("bigint").alias("event_id"), "crumbs", F.array_join("trail", ",").alias("trail")
     )
 
 
+def kept_trails(spark, sf):
+    """The trails a stream still keeps when all events have come, read out of its state."""
+    checkpoint = fresh_dir(spark, "kept-trails")
+    in_order(trail_rows(spark, sf), "user_id", state.BreadcrumbRing(), checkpoint=checkpoint)
+    kept = state.kept_trails(spark, checkpoint)
+    return kept.select("user_id", F.size("trail").alias("crumbs"), F.array_join("trail", ",").alias("trail"))
+
+
+KEPT_TRAILS_SQL = f"""
+WITH c AS (SELECT user_id, event_id, ts, max(CASE WHEN {CLEARS} THEN (ts, event_id) END) OVER (PARTITION BY user_id) AS cleared
+           FROM events WHERE event_type <> 'error'),
+n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM c
+      WHERE cleared IS NULL OR (ts, event_id) > cleared)
+SELECT user_id, count(*)::INTEGER AS crumbs, string_agg(event_id, ',' ORDER BY n DESC) AS trail FROM n WHERE n <= 30 GROUP BY user_id"""
+
+
 def streamed_users(spark, sf):
-    rows = event_stream(spark, sf).where("event_type in ('signup', 'purchase', 'error')")
+    """Users of errors out of a stream that comes out of order."""
+    rows = event_stream(spark, sf, scattered=True).where("event_type in ('signup', 'purchase', 'error')")
     user = F.when(F.col("event_type") == "signup", item(rows).cast("string")).when(
         (F.col("event_type") == "error") & (F.col("value") > 40), "explicit"
     )
@@ -75,7 +102,7 @@ def streamed_users(spark, sf):
         F.when(F.col("event_type") == "error", "event").otherwise("set").alias("kind"),
         F.concat_ws(":", "user_id", "event_id").alias("id"), user.alias("user"),
     )
-    found = collected(state.keyed(shaped, "user_id", state.UserState()), "stream-users")
+    found = in_order(shaped, "user_id", state.UserState())
     ids = F.split("id", ":")
     return found.select(ids[0].cast("bigint").alias("user_id"), ids[1].cast("bigint").alias("event_id"), "user")
 
@@ -120,8 +147,8 @@ ADMISSION_SQL = f"SELECT source, trace_id, admitted, pending FROM ({QUEUE_SQL})"
 
 
 def streamed_tallies(spark, sf):
-    """Tallies per user: a purchase is a flush that succeeds, a click one that fails, everything else a timing."""
-    rows = event_stream(spark, sf)
+    """Tallies per user: a purchase is a flush that succeeds, a click one that fails, everything else a timing. They come out of order."""
+    rows = event_stream(spark, sf, scattered=True)
     base = rows.select(
         F.col("user_id").cast("string").alias("source"), F.col("ts").alias("at"), "event_id",
         F.when(F.col("event_type").isin("purchase", "click"), F.array(F.lit("snapshot"), F.lit("outcome")))
@@ -133,21 +160,23 @@ def streamed_tallies(spark, sf):
         "source", "at", (F.col("event_id") * 2 + F.col("step")).alias("seq"), "kind", "transaction_name", "duration_ms",
         "status",
     )
-    found = collected(state.keyed(moves, "source", state.TallyFlusher()), "stream-tallies")
+    found = in_order(moves, "source", state.TallyFlusher())
     return found.select(
         F.col("source").cast("bigint").alias("source"), F.floor(F.col("flush_seq") / 2).alias("event_id"),
         "request_count", F.round("duration_sum_ms", 4).alias("duration_sum_ms"), "max_duration_ms",
         F.coalesce(F.try_element_at("histogram", F.lit("50")), F.lit(0)).alias("le_50"),
         F.coalesce(F.try_element_at("histogram", F.lit("500")), F.lit(0)).alias("le_500"),
+        *[iso_seconds(F.col(c)).alias(c) for c in PERIOD],
     )
 
 
-TALLIES_SQL = """
+TALLIES_SQL = f"""
 WITH RECURSIVE m AS (
-  SELECT user_id AS source, event_id, event_type, value * 20 AS d,
+  SELECT user_id AS source, event_id, event_type, ts, value * 20 AS d,
          row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
 w AS (
-  SELECT source, 0 AS n, NULL::BIGINT AS event_id, 0 AS failures, []::DOUBLE[] AS held, false AS flush, []::DOUBLE[] AS sent
+  SELECT source, 0 AS n, NULL::BIGINT AS event_id, 0 AS failures, []::DOUBLE[] AS held, false AS flush, []::DOUBLE[] AS sent,
+         ts AS started, ts AS sent_started, ts AS ended
   FROM m WHERE n = 1
   UNION ALL
   SELECT m.source, m.n, m.event_id,
@@ -155,11 +184,14 @@ w AS (
          WHEN m.event_type = 'purchase' AND len(w.held) > 0 THEN 0 ELSE w.failures END,
     CASE WHEN m.event_type = 'purchase' OR (m.event_type = 'click' AND w.failures = 4) THEN []::DOUBLE[]
          WHEN m.event_type = 'click' THEN w.held ELSE list_append(w.held, m.d) END,
-    m.event_type IN ('click', 'purchase') AND len(w.held) > 0, w.held
+    m.event_type IN ('click', 'purchase') AND len(w.held) > 0, w.held,
+    CASE WHEN len(w.held) > 0 AND (m.event_type = 'purchase' OR m.event_type = 'click' AND w.failures = 4) THEN m.ts ELSE w.started END,
+    w.started, m.ts
   FROM w JOIN m ON m.source = w.source AND m.n = w.n + 1)
 SELECT source, event_id, len(sent) AS request_count, round(list_sum(sent), 4) AS duration_sum_ms,
   CASE WHEN list_max(sent) > 0 THEN list_max(sent) ELSE 0 END AS max_duration_ms,
-  len(list_filter(sent, lambda d: d <= 50)) AS le_50, len(list_filter(sent, lambda d: d > 250 AND d <= 500)) AS le_500
+  len(list_filter(sent, lambda d: d <= 50)) AS le_50, len(list_filter(sent, lambda d: d > 250 AND d <= 500)) AS le_500,
+  {iso_sql('sent_started')} AS period_started_at, {iso_sql('ended')} AS period_ended_at
 FROM w WHERE flush"""
 
 
@@ -201,8 +233,9 @@ SELECT event_type AS source, event_id AS seq, value FROM events
 QUALIFY row_number() OVER (PARTITION BY event_type, {BATCH_SQL} ORDER BY ts, event_id) <= {MAX_BATCH_ENTRIES}"""
 
 QUERIES = {
-    "streamed_performance": (streamed_performance, STREAM_PERFORMANCE_SQL),
+    "streamed_performance": (streamed_performance, PERFORMANCE_SAMPLES_SQL),
     "streamed_trails": (streamed_trails, TRAILS_SQL),
+    "kept_trails": (kept_trails, KEPT_TRAILS_SQL),
     "streamed_users": (streamed_users, USERS_SQL),
     "streamed_traces": (streamed_traces, STREAM_TRACES_SQL),
     "streamed_admission": (streamed_admission, ADMISSION_SQL),
