@@ -20,8 +20,3 @@ def micros(ts: Column) -> Column:
 
 def duration_ms(start: Column, end: Column) -> Column:
     return (micros(end) - micros(start)) / 1000
-
-
-def time_bucket(ts: Column, seconds: float) -> Column:
-    """Number of the fixed-width slice of time a timestamp falls in."""
-    return F.floor(micros(ts) / int(seconds * 1_000_000))

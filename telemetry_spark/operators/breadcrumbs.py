@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from telemetry_spark.config import TRAIL_SLACK_SECONDS, Config
 from telemetry_spark.functions.pii import scrub_columns
-from telemetry_spark.functions.timefmt import micros, time_bucket
+from telemetry_spark.functions.timefmt import micros
 from telemetry_spark.plans.asof import latest_as_of
 from telemetry_spark.plans.caps import first_n
-from telemetry_spark.plans.running import running
+from telemetry_spark.plans.running import clock_slices, running
 from telemetry_spark.plans.session import cut_lineage
 
 
@@ -25,11 +25,11 @@ def recorded(crumbs: DataFrame, cfg: Config = Config()) -> DataFrame:
 
 
 def epochs(
-    crumbs: DataFrame, keys: Sequence[str], order: Sequence[Column], time: Column, slice_seconds: float = 3600.0
+    crumbs: DataFrame, keys: Sequence[str], order: Sequence[Column], time: Column, slice_seconds: float | None = 3600.0
 ) -> DataFrame:
     """Number of clears up to and including each row: a clear starts a new trail."""
     return running(
-        crumbs, keys, order, time_bucket(time, slice_seconds), epoch=("sum", F.col("is_clear").cast("int"))
+        crumbs, keys, order, clock_slices(micros(time), slice_seconds), epoch=("sum", F.col("is_clear").cast("int"))
     )
 
 
@@ -44,7 +44,7 @@ def attach_breadcrumbs(
     keys: Sequence[str],
     crumb: Column,
     n: int = 30,
-    slice_seconds: float = 3600.0,
+    slice_seconds: float | None = 3600.0,
 ) -> DataFrame:
     """Add ``breadcrumbs`` to each error: its trail's last ``n`` since the last clear, oldest first.
 
@@ -63,7 +63,7 @@ def attach_breadcrumbs(
         F.lit(0).alias("__crumbs"), F.lit(0).alias("__clears"),
         F.struct(*[F.col(c) for c in errors.columns]).alias("__error"),
     )
-    slice_by = F.floor(F.col("__at") / int(slice_seconds * 1_000_000))
+    slice_by = clock_slices(F.col("__at"), slice_seconds)
     placed = running(
         trail_rows.unionByName(error_rows, allowMissingColumns=True), keys, [F.col("__at"), F.col("__seq")], slice_by,
         __number=("sum", F.col("__crumbs")), __epoch=("sum", F.col("__clears")),
@@ -95,7 +95,7 @@ def attach_previous_trail(
     trails: DataFrame,
     keys: Sequence[str],
     slack_seconds: float = TRAIL_SLACK_SECONDS,
-    slice_seconds: float = 3600.0,
+    slice_seconds: float | None = None,
 ) -> DataFrame:
     """Add the trail a crashed run left behind: the last one written no later than the crash, one second of slack
     allowed, null when a later run has replaced every such trail."""
@@ -106,7 +106,7 @@ def attach_previous_trail(
 
 
 def resolve_user(
-    events: DataFrame, user_changes: DataFrame, keys: Sequence[str], slice_seconds: float = 86400.0
+    events: DataFrame, user_changes: DataFrame, keys: Sequence[str], slice_seconds: float | None = None
 ) -> DataFrame:
     """Fill in each event's user: its own, else the last one set on its key at or before it. Setting no user clears.
 

@@ -15,7 +15,7 @@ from telemetry_spark.functions.timefmt import micros
 from telemetry_spark.operators.delivery import filter_enabled
 from telemetry_spark.plans.asof import latest_as_of
 from telemetry_spark.plans.caps import first_of
-from telemetry_spark.plans.running import running
+from telemetry_spark.plans.running import clock_slices, running
 
 
 def changes(df: DataFrame, cfg: Config = Config()) -> DataFrame:
@@ -51,13 +51,13 @@ def errors_around_changes(
     before_seconds: float,
     after_seconds: float,
     keys: Sequence[str] = ("environment",),
-    slice_seconds: float = 60.0,
+    slice_seconds: float | None = None,
 ) -> DataFrame:
     """Errors in ``[change - before, change)`` and ``[change, change + after]``, per change (``change_id``).
 
     Each change asks for the running number of errors at three moments, so the work is one ordered pass over errors
     and changes, however many errors stand around each change. Errors are counted per moment first, which bounds a
-    burst of them by the moments in a slice.
+    burst of them by its moments.
     """
     at = micros(F.col("occurred_at"))
     before, after = int(before_seconds * 1_000_000), int(after_seconds * 1_000_000)
@@ -76,7 +76,7 @@ def errors_around_changes(
         "change_id", F.col("m.probe").alias("__probe"),
     )
     order = [F.col("__at"), F.col("__side"), F.col("change_id")]
-    slice_by = F.floor(F.col("__at") / int(slice_seconds * 1_000_000))
+    slice_by = clock_slices(F.col("__at"), slice_seconds)
     seen = running(counted.unionByName(asked), keys, order, slice_by, __seen=("sum", F.col("__error")))
 
     def at_probe(i: int):
@@ -93,7 +93,7 @@ def latest_change(
     records: DataFrame,
     within_seconds: float,
     keys: Sequence[str] = ("environment",),
-    slice_seconds: float = 60.0,
+    slice_seconds: float | None = None,
 ) -> DataFrame:
     """Each error with the last change at or before it, null when that is more than ``within_seconds`` ago."""
     at = F.col("occurred_at")

@@ -23,11 +23,9 @@ from telemetry_spark.functions.delivery import (
     dsn_api_key,
     is_enabled,
 )
-from telemetry_spark.functions.timefmt import micros, time_bucket
+from telemetry_spark.functions.timefmt import micros
 from telemetry_spark.plans.caps import first_n, numbered
-from telemetry_spark.plans.running import running, running_since
-
-DAY = 86400.0
+from telemetry_spark.plans.running import clock_slices, running, running_since
 
 
 def with_config(df: DataFrame, configs: DataFrame, on: str = "project") -> DataFrame:
@@ -58,7 +56,7 @@ def streaks(
     keys: Sequence[str] = ("source",),
     order: Sequence[Column] | None = None,
     limit: int = MAX_CONSECUTIVE_FAILURES,
-    slice_seconds: float = DAY,
+    slice_seconds: float | None = None,
 ) -> DataFrame:
     """Failures in a row at each attempt and what becomes of the batch: any answer resets the streak, and the
     ``limit``-th failure drops the batch and starts again."""
@@ -66,7 +64,7 @@ def streaks(
     tried = attempts.withColumn("outcome", delivery_outcome(F.col("status")))
     failed = F.col("outcome") == FAILED
     counted = running_since(
-        tried, keys, order, time_bucket(F.col("attempted_at"), slice_seconds), ~failed, F.lit(1), "__failures"
+        tried, keys, order, clock_slices(micros(F.col("attempted_at")), slice_seconds), ~failed, F.lit(1), "__failures"
     )
     streak = F.when(failed, F.pmod(F.col("__failures") - 1, F.lit(limit)) + 1).otherwise(0)
     return counted.withColumn("streak", streak.cast("int")).drop("__failures").withColumn(
@@ -117,20 +115,20 @@ def oldest_first(payloads: DataFrame) -> DataFrame:
     return payloads.orderBy(F.col("created_at").asc_nulls_first(), "payload_id")
 
 
-def upload_order(payloads: DataFrame, slice_seconds: float = 3600.0) -> DataFrame:
+def upload_order(payloads: DataFrame, slice_seconds: float | None = None) -> DataFrame:
     """Add ``position``, from 1: oldest first, those of unknown age before all others.
 
-    Payloads are counted by slices of their age, so no task sees all of them.
+    Payloads are counted by slices of equal size, so no task sees all of them, nor all those of unknown age.
     """
     order = [F.col("created_at").asc_nulls_first(), F.col("payload_id")]
-    return numbered(payloads, [], order, time_bucket(F.col("created_at"), slice_seconds))
+    return numbered(payloads, [], order, clock_slices(micros(F.col("created_at")), slice_seconds))
 
 
 def admit(
     events: DataFrame,
     keys: Sequence[str] = ("source",),
     limit: int = MAX_PENDING_TRACES,
-    slice_seconds: float = 3600.0,
+    slice_seconds: float | None = 3600.0,
 ) -> DataFrame:
     """Occupancy of a bounded queue from its finishes (``delta`` +1) and deliveries (-1, of admitted traces only).
 
@@ -138,7 +136,7 @@ def admit(
     new high of that sum above the limit is one drop, so sum and running maximum give the bounded queue exactly.
     """
     order = [F.col("at"), F.col("delta"), F.col("trace_id")]
-    slice_by = time_bucket(F.col("at"), slice_seconds)
+    slice_by = clock_slices(micros(F.col("at")), slice_seconds)
     summed = running(events, keys, order, slice_by, __sum=("sum", F.col("delta")))
     highs = running(summed, keys, order, slice_by, __high=("max_before", F.col("__sum")))
     ceiling = F.greatest(F.coalesce(F.col("__high"), F.lit(limit)), F.lit(limit))

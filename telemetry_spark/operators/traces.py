@@ -18,7 +18,7 @@ from telemetry_spark.functions.tracing import (
     strict_data,
 )
 from telemetry_spark.plans.caps import first_n, first_of
-from telemetry_spark.plans.running import running
+from telemetry_spark.plans.running import clock_slices, running
 from telemetry_spark.plans.session import cut_lineage
 
 IS_ROOT = "parent_span_id is null"
@@ -180,7 +180,7 @@ def stitch_traces(client: DataFrame, backend: DataFrame) -> DataFrame:
     return continued.join(callers, ["trace_id", "parent_span_id"])
 
 
-def infer_parents(df: DataFrame, slice_seconds: float = 60.0) -> DataFrame:
+def infer_parents(df: DataFrame, slice_seconds: float | None = 60.0) -> DataFrame:
     """Add ``parent_span_id``: the innermost span open on the same thread when a span starts, else the root.
 
     Spans of one thread nest like calls, so the number of open spans gives each its level, and its parent is the last
@@ -201,7 +201,7 @@ def infer_parents(df: DataFrame, slice_seconds: float = 60.0) -> DataFrame:
         F.col("__span.span_id").alias("__id"), F.lit(-1).alias("__step"),
     )
     order = [F.col("__at"), F.col("__side"), F.col("__outer"), F.col("__id")]
-    slice_by = F.floor(F.col("__at") / int(slice_seconds * 1_000_000))
+    slice_by = clock_slices(F.col("__at"), slice_seconds)
     both = opened.unionByName(closed, allowMissingColumns=True)
     leveled = running(both, ["trace_id", "thread"], order, slice_by, __depth=("sum", F.col("__step")))
     # Two more passes follow on what took two to make, so it is written once.

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telemetry_spark.functions.timefmt import micros
-from telemetry_spark.plans.running import running
+from telemetry_spark.plans.running import clock_slices, running
 
 
 def latest_as_of(
@@ -20,7 +20,7 @@ def latest_as_of(
     right_order: Column,
     value: Column,
     name: str,
-    slice_seconds: float = 3600.0,
+    slice_seconds: float | None = None,
 ) -> DataFrame:
     """Add to each left row the ``value`` of the latest right row of its keys at or before it, null if there is none.
 
@@ -39,6 +39,6 @@ def latest_as_of(
     lookups = lookups.withColumn("__tie", F.col("__tie").cast(tie_type))
     both = known.unionByName(lookups, allowMissingColumns=True)
     order = [F.col("__at"), F.col("__side"), F.col("__tie")]
-    slice_by = F.floor(F.col("__at") / int(slice_seconds * 1_000_000))
+    slice_by = clock_slices(F.col("__at"), slice_seconds)
     carried = running(both, keys, order, slice_by, __latest=("last", F.col("__known")))
     return carried.where("__side = 1").select("__row.*", F.col("__latest.value").alias(name))

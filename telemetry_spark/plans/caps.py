@@ -47,7 +47,7 @@ def first_n(
 
 
 def numbered(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], slice_by: Column, name: str = "position"
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], slice_by: Column | None = None, name: str = "position"
 ) -> DataFrame:
     """Add each row's position in its group, from 1, for callers that need the rows past a cap as well."""
     return running(df, keys, order, slice_by, **{name: ("sum", F.lit(1))})

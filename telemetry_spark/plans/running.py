@@ -1,8 +1,12 @@
 """Running aggregates per key that do not need a whole key in one task.
 
-A window partitioned by key alone puts all rows of a hot key in one task. Here a key's rows are cut into slices
-(of time, usually). Each slice is scanned on its own, one small row per slice carries what came before it, and the
+A window partitioned by key alone puts all rows of a hot key in one task. Here a key's rows are cut into slices.
+Each slice is scanned on its own, one small row per slice carries what came before it, and the
 two are joined on (key, slice). The work of a hot key spreads over as many tasks as it has slices.
+
+By default slices are cut by rows: Spark samples (key, order), cuts its range at quantiles, and what lies between two cuts is a slice, however
+its rows lie in time. That deals and writes the rows once more. Where rows are known to spread over time, slices of a clock (``clock_slices``)
+are cheaper, because they follow from the row itself.
 """
 
 from __future__ import annotations
@@ -12,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from telemetry_spark.plans.session import cut_lineage
+
 KEY, SLICE = "__key", "__slice"
 
 
@@ -23,26 +29,41 @@ def _before(window):
     return window.rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _sliced(df: DataFrame, keys: Sequence[str], slice_by: Column) -> DataFrame:
+def clock_slices(at_micros: Column, seconds: float | None) -> Column | None:
+    """Slices of so many seconds of a time in microseconds; none if slices are to be cut by rows."""
+    return None if seconds is None else F.floor(at_micros / int(seconds * 1_000_000))
+
+
+def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence[Column], slice_by: Column | None) -> DataFrame:
     """Key and slice as two columns. A struct of keys is never null and equals itself even where a key is null, so
-    the join back is a plain equality on the partitioning the windows already made."""
-    return df.withColumns({KEY: F.struct(F.lit(0).alias("one"), *[F.col(k) for k in keys]), SLICE: slice_by})
+    the join back is a plain equality on the partitioning the windows already made.
+
+    Cut by rows, a slice is one range of (key, order). Rows that are equal there are told apart by a hash of all they hold, so
+    that many rows of one moment, or without a time, make several ranges; only rows alike in every column stay together. The
+    rows are written, so that all that is read off the slices reads the same cuts.
+    """
+    rows = df.withColumn(KEY, F.struct(F.lit(0).alias("one"), *[F.col(k) for k in keys]))
+    if slice_by is not None:
+        return rows.withColumn(SLICE, slice_by)
+    hashable = [F.col(f.name) for f in df.schema if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    dealt = rows.repartitionByRange(KEY, *order, F.xxhash64(*hashable))
+    return cut_lineage(dealt.withColumn(SLICE, F.spark_partition_id()))
 
 
 def running(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
-    slice_by: Column,
+    slice_by: Column | None = None,
     **aggregates: tuple[str, Column],
 ) -> DataFrame:
     """Add running aggregates over each key in ``order``, the current row included (except for ``max_before``).
 
     ``aggregates`` maps a new column to ``("sum" | "max" | "max_before" | "last", value)``; ``last`` skips nulls.
-    ``slice_by`` must not decrease along ``order``.
+    ``slice_by`` must not decrease along ``order``; without it slices are cut by rows.
     """
     names = list(aggregates)
-    rows = _sliced(df, keys, slice_by)
+    rows = _sliced(df, keys, order, slice_by)
     local = Window.partitionBy(KEY, SLICE).orderBy(*order)
     across = _before(Window.partitionBy(KEY).orderBy(SLICE))
     totals, carries, scans, results = [], [], {}, {}
@@ -82,13 +103,13 @@ def running_since(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
-    slice_by: Column,
+    slice_by: Column | None,
     reset: Column,
     value: Column,
     name: str,
 ) -> DataFrame:
     """Add the sum of ``value`` over a key's rows after the last row where ``reset`` holds (a reset row gets 0)."""
-    rows = _sliced(df, keys, slice_by).withColumns(
+    rows = _sliced(df, keys, order, slice_by).withColumns(
         {"__reset": reset.cast("int"), "__value": F.when(reset, 0).otherwise(value)}
     )
     local = _prefix(Window.partitionBy(KEY, SLICE).orderBy(*order))

@@ -23,7 +23,7 @@ def to_envelopes(
     df: DataFrame,
     signal: str,
     order: Sequence[Column],
-    slice_by: Column,
+    slice_by: Column | None = None,
     keys: Sequence[str] = (),
     batch_size: int = MAX_BATCH_ENTRIES,
     fields: Sequence[str] | None = None,

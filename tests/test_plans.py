@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from telemetry_spark.plans.asof import latest_as_of
 from telemetry_spark.plans.caps import first_n, first_of, numbered
-from telemetry_spark.plans.running import running, running_since
+from telemetry_spark.operators.delivery import upload_order
+from telemetry_spark.plans.running import _sliced, running, running_since
 
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -113,3 +114,49 @@ def test_first_of_is_the_same_in_every_run(rows):
     assert sorted(map(str, want)) == sorted(map(str, first_of(tied.repartition(7), ["k"], [F.col("t")]).collect()))
     least = {r.k: r.t for r in tied.groupBy("k").agg(F.min("t").alias("t")).collect()}
     assert {r.k: r.t for r in want} == least
+
+
+@pytest.fixture
+def small_pieces(spark):
+    """Ranges as many as asked for, also of little data."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_slices_by_rows_match_windows(rows, small_pieces):
+    order, marked = [F.col("t")], F.when(F.col("r"), F.col("v"))
+    got = running(rows, ["k"], order, s=("sum", F.col("v")), m=("max", marked), b=("max_before", F.col("v")), l=("last", marked))
+    upto = Window.partitionBy("k").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("k").orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
+    want = rows.select(
+        "*", F.sum("v").over(upto).alias("s"), F.max(marked).over(upto).alias("m"), F.max("v").over(before).alias("b"),
+        F.last(marked, ignorenulls=True).over(upto).alias("l"),
+    )
+    assert same(got, want)
+    since = running_since(rows, ["k"], order, None, F.col("r"), F.col("v"), "since")
+    epochs = rows.withColumn("e", F.sum(F.col("r").cast("int")).over(upto))
+    inside = Window.partitionBy("k", "e").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+    assert same(since, epochs.withColumn("since", F.sum(F.when(F.col("r"), 0).otherwise(F.col("v"))).over(inside)).drop("e"))
+
+
+@pytest.mark.parametrize("at", ["timestamp'2024-01-01'", "cast(null as timestamp)"])
+def test_rows_of_one_moment_or_of_no_time_are_spread_evenly(spark, small_pieces, at):
+    """One key, all rows in one second or without a time: no slice, and so no task, has much more than its share."""
+    df = spark.range(8000).selectExpr("'hot' as k", f"{at} as at", "id")
+    sliced = _sliced(df, ["k"], [F.col("at")], None)
+    sizes = [r["count"] for r in sliced.groupBy("__slice").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 8000 / 8
+    placed = numbered(df, ["k"], [F.col("at"), F.col("id")])
+    assert placed.agg(F.count_distinct("position"), F.max("position")).first()[:] == (8000, 8000)
+    per_task = numbered(df, ["k"], [F.col("at"), F.col("id")]).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(per_task) >= 4
+
+
+def test_payloads_of_unknown_age_are_spread(spark, small_pieces):
+    payloads = spark.range(4000).selectExpr("id as payload_id", "cast(null as timestamp) as created_at")
+    got = upload_order(payloads)
+    assert {(r.payload_id + 1) for r in got.collect()} == {r.position for r in got.collect()}
+    assert all(r.position == r.payload_id + 1 for r in got.collect())

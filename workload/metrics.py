@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from telemetry_spark.functions.timefmt import iso_seconds, time_bucket
+from telemetry_spark.functions.timefmt import iso_seconds
 from telemetry_spark.operators import metrics as op
 from telemetry_spark.operators.delivery import drop_report, retain, streaks
 from telemetry_spark.sources.envelopes import routed, to_envelopes
@@ -150,7 +150,7 @@ def metric_envelopes(spark, sf):
         F.col("stamp").alias("recorded_at"),
     )
     bodies = to_envelopes(
-        shaped, "custom_metrics", [F.col("at"), F.col("event_id")], time_bucket(F.col("at"), 3600),
+        shaped, "custom_metrics", [F.col("at"), F.col("event_id")],
         fields=["metric_name", "value", "environment", "release", "recorded_at"],
     )
     return routed(bodies, "custom_metrics", F.lit("https://key@tracker.example.com/api/v1/events"))
