@@ -19,6 +19,16 @@ SIGNAL_CLASS = "Signal: "
 SIGNAL_MESSAGE = "Uncaught fatal signal: "
 
 
+def is_json_object(text: Column) -> Column:
+    """Whether a text is one JSON object and nothing else. Spark's readers stop where the first value ends, so the text is read as
+    one member of an object with another member after it, which shows whether the text ends there, too."""
+    after = F.concat(F.lit("end-"), F.hex(F.xxhash64(text)))
+    whole = F.concat(F.lit('{"document":'), text, F.lit(',"'), after, F.lit('":1}'))
+    members = F.json_object_keys(F.when(F.try_parse_json(whole).isNotNull(), whole))
+    kind = F.schema_of_variant(F.try_parse_json(text))
+    return F.coalesce(kind.startswith("OBJECT") & (members == F.array(F.lit("document"), after)), F.lit(False))
+
+
 def read_events(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Event documents, one per file, and the text of files that hold no JSON object. The schema is fixed."""
     files = (
@@ -28,8 +38,7 @@ def read_events(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
             F.col("_metadata.file_modification_time").alias("created_at"),
         )
     )
-    kind = F.schema_of_variant(F.try_parse_json("value"))
-    typed = files.withColumn("is_object", F.coalesce(kind.startswith("OBJECT"), F.lit(False)))
+    typed = files.withColumn("is_object", is_json_object(F.col("value")))
     parsed = typed.where("is_object").withColumn("event", F.from_json("value", ERROR_EVENT))
     corrupt = typed.where("not is_object").select("payload_id", F.col("value").alias(CORRUPT))
     return parsed.select("payload_id", "created_at", "event.*"), corrupt
@@ -47,15 +56,19 @@ def signal_events(df: DataFrame) -> DataFrame:
     )
 
 
+def crash_time(file_name: Column, written: Column) -> Column:
+    """When a raw signal report was begun: as its file's name says, or else when the file was written."""
+    name = F.regexp_extract(file_name, r"\Asignal-[0-9]+-([0-9]{9,11})\.txt\z", 1)
+    return F.coalesce(F.timestamp_seconds(F.when(name != "", name.cast("bigint"))), written)
+
+
 def read_signal_reports(spark: SparkSession, path: str) -> DataFrame:
     """Raw signal reports as events. ``crashed_at`` comes from the file name, or else its modification time."""
     files = spark.read.text(path, wholetext=True, pathGlobFilter="*.txt")
-    name = F.regexp_extract(F.col("_metadata.file_name"), r"\Asignal-[0-9]+-([0-9]{9,11})\.txt\z", 1)
-    named = F.timestamp_seconds(F.when(name != "", name.cast("bigint")))
     written = F.col("_metadata.file_modification_time")
     stamped = files.select(
         "value", F.col("_metadata.file_path").alias("payload_id"), written.alias("created_at"),
-        F.coalesce(named, written).alias("crashed_at"),
+        crash_time(F.col("_metadata.file_name"), written).alias("crashed_at"),
     )
     return signal_events(stamped)
 

@@ -225,6 +225,36 @@ SELECT event_id, 'Signal: ' || name AS exception_class, 'Uncaught fatal signal:
   '0   Shop 0x1 main + ' || user_id || '|1   [EMAIL FILTERED]' AS methods, '{{}}' AS context FROM s"""
 
 
+def completed_reports(spark, sf):
+    """Raw signal reports with what their handler could not know: the user current at upload and the trail the crashed run left."""
+    rows = events(spark, sf)
+    signed = F.when(F.col("event_type") == "signup", item(rows).cast("string"))
+    users = rows.where("event_type in ('signup', 'purchase')").select(
+        "user_id", F.col("ts").alias("at"), F.col("event_id").alias("seq"), F.when(signed.isNotNull(), F.struct(signed.alias("id"))).alias("user")
+    )
+    entry = F.struct(F.concat(F.lit("item "), item(rows)).alias("message"))
+    trails = rows.where("event_type = 'view'").select("user_id", F.col("ts").alias("modified_at"), F.array(entry).alias("breadcrumbs"))
+    raw = rows.where("event_type = 'error'").select(
+        "event_id", "user_id", F.col("ts").alias("crashed_at"), F.concat(F.lit("Abort trap\n0   Shop 0x1 main + "), "event_id").alias("value")
+    )
+    uploaded = F.col("crashed_at") + F.make_dt_interval(hours=F.lit(1))
+    done = complete_signal_reports(signal_events(raw), REPORTING, uploaded, users, trails, ("user_id",))
+    return done.select(
+        "event_id", "exception_class", F.col("user.id").alias("user"), F.col("breadcrumbs")[0]["message"].alias("last_message"),
+        iso_seconds(F.col("occurred_at")).alias("occurred_at"),
+    )
+
+
+COMPLETED_SQL = f"""
+WITH u AS (SELECT user_id, ts, CASE WHEN event_type = 'signup' THEN {ITEM_SQL}::VARCHAR END AS current FROM events
+           WHERE event_type IN ('signup', 'purchase')),
+t AS (SELECT user_id, ts, 'item ' || {ITEM_SQL} AS last_message FROM events WHERE event_type = 'view'),
+e AS (SELECT user_id, event_id, ts + INTERVAL 1 HOUR AS uploaded, ts + INTERVAL 1 SECOND AS limit_at FROM events WHERE event_type = 'error'),
+s AS (SELECT e.*, u.current AS "user" FROM e ASOF LEFT JOIN u ON e.user_id = u.user_id AND e.uploaded >= u.ts)
+SELECT event_id, 'Signal: Abort trap' AS exception_class, "user", last_message, {iso_sql('uploaded')} AS occurred_at
+FROM s ASOF LEFT JOIN t ON s.user_id = t.user_id AND s.limit_at >= t.ts"""
+
+
 def parsed_frames(spark, sf):
     line = F.concat(
         F.lit(" "), F.col("l_linenumber"), F.when(F.col("l_returnflag") == "R", "  Shop  0x").otherwise("  libz.dylib  0x"),
@@ -393,6 +423,7 @@ QUERIES = {
     "previous_trails": (previous_trails, PREVIOUS_SQL),
     "built_events": (built_events, BUILT_SQL),
     "written_events": (written_events, WRITTEN_SQL),
+    "completed_reports": (completed_reports, COMPLETED_SQL),
     "signal_reports": (signal_reports, SIGNALS_SQL),
     "parsed_frames": (parsed_frames, FRAMES_SQL),
     "long_stacks": (long_stacks, STACKS_SQL),

@@ -8,16 +8,18 @@ from telemetry_spark.config import MAX_BATCH_ENTRIES
 from telemetry_spark.operators import changes as change
 from telemetry_spark.operators.performance import PERIOD
 from telemetry_spark.plans.session import fresh_dir
+from telemetry_spark.sources.reports import CORRUPT
 from telemetry_spark.streaming import state
 from telemetry_spark.streaming.flush import MetricFlusher
-from telemetry_spark.streaming.runs import collected, file_stream, prepare, run_flush
+from telemetry_spark.streaming.ingest import stream_reports
+from telemetry_spark.streaming.runs import collected, file_stream, flush_now, prepare, run_flush
 from telemetry_spark.streaming.tallies import collected_tallies
 from telemetry_spark.streaming.windows import stream_changes
 from telemetry_spark.functions.timefmt import iso_seconds
 from workload.delivery import QUEUE_LIMIT, QUEUE_SQL
-from workload.events import TRAILS_SQL, USERS_SQL, CLEARS
+from workload.events import CLEARS, REPORTING, TRAILS_SQL, USERS_SQL
 from workload.performance import PERFORMANCE_SAMPLES_SQL
-from workload.tables import iso_sql, item
+from workload.tables import events, iso_sql, item
 
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 #: Events arrive in micro-batches of so many days of the month.
@@ -34,11 +36,11 @@ def event_stream(spark, sf, scattered=False):
     event may come up to a day late, so that of the days around the end of a part some events come in the next one."""
     prepare(spark)
     path, files = fresh_dir(spark, "event-files"), spark.sparkContext.defaultParallelism
-    events = spark.read.parquet(f"{sf}/events.parquet")
+    rows = spark.read.parquet(f"{sf}/events.parquet")
     late = F.pmod(F.xxhash64("event_id"), F.lit(100)) / 100 * LATE_DAYS if scattered else F.lit(0)
     part = F.floor((F.dayofmonth("ts") - 1 + late) / BATCH_DAYS)
     for number in range(31 // BATCH_DAYS + 1):
-        events.where(part == number).repartition(files, "event_id").write.mode("append").parquet(path)
+        rows.where(part == number).repartition(files, "event_id").write.mode("append").parquet(path)
     df = file_stream(spark, path, EVENT_SCHEMA, files_per_trigger=files)
     return df.withColumn("ts", F.col("ts").cast("timestamp"))
 
@@ -232,7 +234,38 @@ STREAM_METRICS_SQL = f"""
 SELECT event_type AS source, event_id AS seq, value FROM events
 QUALIFY row_number() OVER (PARTITION BY event_type, {BATCH_SQL} ORDER BY ts, event_id) <= {MAX_BATCH_ENTRIES}"""
 
+def ingested_reports(spark, sf):
+    """Every user's last error as a file of their own, read as a stream in two goes with a restart in between: a JSON document, or for
+    every third user a raw signal report. Every fifth of the others left a file that holds no document."""
+    prepare(spark)
+    failed = events(spark, sf).where("event_type = 'error'").groupBy("user_id").agg(F.max("event_id").alias("event_id"))
+    broken = F.when(F.col("user_id") % 5 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    path, archive, out, checkpoint = (fresh_dir(spark, f"reports-{name}") for name in ("in", "archive", "out", "checkpoint"))
+    for half in range(2):
+        own = failed.where(F.col("user_id") % 2 == half).repartition("user_id")
+        text = F.concat(F.lit("Abort trap\n0   Shop 0x1 u"), "user_id", F.lit("@example.com + "), "event_id")
+        own.where("user_id % 3 = 0").select(F.col("user_id").alias("u"), text.alias("value")).write.partitionBy("u").mode("append").text(path)
+        # Two documents in one file are no document.
+        documents = own.where("user_id % 3 <> 0").select(
+            F.col("user_id").alias("u"), F.lit("E").alias("exception_class"), F.concat(F.lit("failed "), "event_id").alias("message"), F.explode(broken).alias("n"))
+        documents.write.partitionBy("u").mode("append").json(path)
+        rows = stream_reports(spark, path, REPORTING, archive, files_per_trigger=1000)
+        flush_now(rows.select("exception_class", "message", F.element_at("backtrace", 1)["method"].alias("method"), CORRUPT), out, checkpoint)
+    read = spark.read.schema(f"exception_class string, message string, method string, {CORRUPT} string").parquet(out)
+    return read.select("exception_class", "message", "method", F.length(CORRUPT).alias("corrupt_letters"))
+
+
+INGESTED_SQL = """
+WITH e AS (SELECT user_id, max(event_id) AS event_id FROM events WHERE event_type = 'error' GROUP BY user_id)
+SELECT CASE WHEN user_id % 3 = 0 THEN 'Signal: Abort trap' WHEN user_id % 5 <> 0 THEN 'E' END AS exception_class,
+  CASE WHEN user_id % 3 = 0 THEN 'Uncaught fatal signal: Abort trap' WHEN user_id % 5 <> 0 THEN 'failed ' || event_id END AS message,
+  CASE WHEN user_id % 3 = 0 THEN '0   Shop 0x1 [EMAIL FILTERED] + ' || event_id END AS method,
+  CASE WHEN user_id % 3 <> 0 AND user_id % 5 = 0
+       THEN 2 * length('{"exception_class":"E","message":"failed ' || event_id || '","n":1}' || chr(10)) END AS corrupt_letters
+FROM e"""
+
 QUERIES = {
+    "ingested_reports": (ingested_reports, INGESTED_SQL),
     "streamed_performance": (streamed_performance, PERFORMANCE_SAMPLES_SQL),
     "streamed_trails": (streamed_trails, TRAILS_SQL),
     "kept_trails": (kept_trails, KEPT_TRAILS_SQL),
