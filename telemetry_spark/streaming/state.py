@@ -17,9 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from telemetry_spark.config import MAX_CONSECUTIVE_FAILURES, MAX_PENDING_TRACES, MAX_SPANS
+from telemetry_spark.config import MAX_CONSECUTIVE_FAILURES, MAX_PENDING_TRACES, MAX_SPANS, Config
 from telemetry_spark.functions.delivery import FAILED, delivery_outcome_of
 from telemetry_spark.functions.latency import BOUNDARIES_MS, LABELS
+from telemetry_spark.functions.timefmt import iso_millis
+from telemetry_spark.operators.traces import strict_spans
 from telemetry_spark.plans.session import fresh_dir
 from telemetry_spark.streaming.runs import control_stream, flush_now, state_rows
 
@@ -391,6 +393,21 @@ def keyed(df: DataFrame, key: str, processor: StatefulProcessor, watermark: str
     )
 
 
+def stream_traces(df: DataFrame, cfg: Config = Config(), watermark: str = "10 minutes", limit: int = MAX_SPANS, ttl_ms: int = DAY_MS) -> DataFrame:
+    """Slow traces out of a stream of recorded spans (``operators.traces.spans``, with ``seq``): root and rest as JSON texts.
+
+    Names and data are reduced before a span is kept when privacy is strict, so no state holds what may not be sent.
+    """
+    reduced = strict_spans(df) if cfg.strict_privacy else df
+    fields = ["span_id", "parent_span_id", "name", "kind", iso_millis(F.col("started_at")).alias("started_at"), "duration_ms",
+              "environment", "release", "data"]
+    rows = reduced.where(F.lit(cfg.track_tracing)).select(
+        "trace_id", F.col("started_at").alias("at"), "seq", F.col("parent_span_id").isNull().alias("is_root"), "duration_ms",
+        F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("span"),
+    )
+    return keyed(rows, "trace_id", TraceAssembler(cfg.trace_capture_threshold, limit, ttl_ms), watermark)
+
+
 def waiting_keys(spark: SparkSession, checkpoint: str, slot_ms: int) -> DataFrame:
     """A control row for each key with rows that wait, as of the last committed batch. Its time lies in the key's last slot, just before
     that slot's end, so that it is never late itself and moves the watermark by less than a slot."""

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from telemetry_spark.functions.timefmt import iso_seconds
 from telemetry_spark.operators import metrics as op
-from telemetry_spark.operators.delivery import drop_report, retain, streaks
+from telemetry_spark.operators.delivery import drop_report, label_retention, retain, streaks
+from telemetry_spark.operators.drops import DropLedger
 from telemetry_spark.sources.envelopes import routed, to_envelopes
 from workload import delivery
 from workload.tables import events, iso_sql, table
@@ -142,6 +143,27 @@ UNION ALL SELECT 'batch', CASE outcome WHEN 'rejected' THEN 'rejected' ELSE 'fai
 UNION ALL SELECT 'event', drop_reason, count(*) FROM ({delivery.RETAIN_SQL}) WHERE drop_reason IS NOT NULL GROUP BY 2"""
 
 
+def drops_in_passing(spark, sf):
+    """What the rules, deliveries and retention drop, counted by the very passes that let the rest through."""
+    ledger = DropLedger()
+    kept = [
+        ledger.keep(readings(spark, sf), "metric", {"not a finite number": ~F.coalesce(op.finite(F.col("value")), F.lit(False))}),
+        ledger.keep(op.with_hostname(infrastructure(spark, sf), "web-1"), "infra_metric", {"no hostname": F.col("hostname").isNull()}),
+    ]
+    tried = streaks(delivery.event_attempts(spark, sf))
+    dropped = F.col("action") == "dropped"
+    kept.append(ledger.keep(tried, "batch", {
+        "rejected": dropped & (F.col("outcome") == "rejected"), "failed too often": dropped & (F.col("outcome") != "rejected")}))
+    aged = label_retention(delivery.payloads(spark, sf), F.lit(delivery.NOW).cast("timestamp"))
+    kept.append(ledger.keep(aged, "event", {r: F.col("drop_reason") == r for r in ("expired", "excess")}))
+    for rows in kept:
+        rows.write.format("noop").mode("overwrite").save()
+    return ledger.report(spark)
+
+
+PASSING_SQL = f"SELECT * FROM ({DROPS_SQL}) WHERE reason <> 'buffer full' AND dropped > 0"
+
+
 def metric_envelopes(spark, sf):
     """Bodies of 1000 metrics each, with the endpoint they go to."""
     fields = metrics(spark, sf).withColumn("stamp", iso_seconds(F.col("recorded_at")))
@@ -171,6 +193,7 @@ QUERIES = {
     "resolved_hostnames": (resolved_hostnames, HOSTNAMES_SQL),
     "capped_metrics": (capped_metrics, CAPPED_SQL),
     "metric_overflow": (metric_overflow, OVERFLOW_SQL),
+    "drops_in_passing": (drops_in_passing, PASSING_SQL),
     "drop_counts": (drop_counts, DROPS_SQL),
     "metric_envelopes": (metric_envelopes, ENVELOPES_SQL),
 }

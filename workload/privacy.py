@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from telemetry_spark.functions import privacy as fn
 from telemetry_spark.functions.timefmt import iso_seconds
 from telemetry_spark.operators.events import strict_events, strict_failures
+from telemetry_spark.operators.issues import issue_sketches, merged_issues
 from telemetry_spark.operators.issues import issues as issues_of
 from workload.performance import PAGE_PARTS_SQL, REDUCED_PATH_SQL
 from workload.tables import ITEM_SQL, events, iso_sql, item, table
@@ -75,6 +76,18 @@ SELECT 'Error' || CAST(floor({ITEM_SQL} / 10) AS BIGINT) AS exception_class,
 FROM events GROUP BY 1, 2"""
 
 
+def daily_issues(spark, sf):
+    """Issues by day, merged from the sketches of their hours."""
+    hours = issue_sketches(error_rows(spark, sf).drop("event_type"))
+    return merged_issues(hours, "1 day").select(
+        "exception_class", iso_seconds(F.col("period_started_at")).alias("period_started_at"), "events", "affected_users")
+
+
+DAILY_ISSUES_SQL = f"""
+SELECT 'Error' || CAST(floor({ITEM_SQL} / 10) AS BIGINT) AS exception_class, {iso_sql("date_trunc('day', ts)")} AS period_started_at,
+  count(*) AS events, count(DISTINCT user_id) AS affected_users FROM events GROUP BY 1, event_type, 2"""
+
+
 def strict_event_rows(spark, sf):
     """Events reduced twice over, the second time to show that nothing more happens."""
     rows = error_rows(spark, sf)
@@ -191,6 +204,7 @@ SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN o_custkey::VARCHAR
 QUERIES = {
     "message_fingerprints": (message_fingerprints, FINGERPRINT_SQL),
     "issues": (issues, ISSUES_SQL),
+    "daily_issues": (daily_issues, DAILY_ISSUES_SQL),
     "strict_events": (strict_event_rows, STRICT_EVENTS_SQL),
     "kept_fingerprints": (kept_fingerprints, KEPT_SQL),
     "strict_pages": (strict_pages, PAGES_SQL),

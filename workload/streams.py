@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from telemetry_spark.config import MAX_BATCH_ENTRIES
+from telemetry_spark.config import MAX_BATCH_ENTRIES, Config
 from telemetry_spark.operators import changes as change
 from telemetry_spark.operators.performance import PERIOD
 from telemetry_spark.plans.session import fresh_dir
@@ -132,6 +132,27 @@ SELECT r.trace::VARCHAR AS trace_id, CAST(least(r.n, 6) AS INTEGER) AS spans, r.
 FROM r JOIN e USING (trace) WHERE r.value * 40 >= 1000 GROUP BY r.trace, r.n, r.root"""
 
 
+def strict_streamed_traces(spark, sf):
+    """Traces of ten events each with names that tell too much, reduced before they are kept; a purchase is the root."""
+    rows = event_stream(spark, sf)
+    recorded = rows.select(
+        F.floor(F.col("event_id") / 10).cast("string").alias("trace_id"), F.col("event_id").cast("string").alias("span_id"),
+        F.when(F.col("event_type") != "purchase", "up").alias("parent_span_id"), F.concat(F.lit("GET https://api.example.com/users/"), "user_id").alias("name"),
+        F.lit("http").alias("kind"), F.col("ts").alias("started_at"), (F.col("value") * 40).alias("duration_ms"),
+        F.lit("production").alias("environment"), F.lit(None).cast("string").alias("release"), F.lit('{"status":200,"who":"ada"}').alias("data"),
+        F.col("event_id").alias("seq"),
+    )
+    found = collected(state.stream_traces(recorded, Config(strict_privacy=True), ttl_ms=60 * state.DAY_MS), "strict-traces")
+    root = F.from_json("root", "name string, span_id string")
+    return found.where("root is not null").select("trace_id", "spans", root["span_id"].alias("root"), root["name"].alias("name"))
+
+
+STRICT_STREAM_SQL = """
+WITH e AS (SELECT *, event_id // 10 AS trace, row_number() OVER (PARTITION BY event_id // 10 ORDER BY ts, event_id) AS n FROM events),
+r AS (SELECT trace, arg_min(event_id, n) AS root, arg_min(value, n) AS value, min(n) AS n FROM e WHERE event_type = 'purchase' GROUP BY trace)
+SELECT trace::VARCHAR AS trace_id, n::INTEGER AS spans, root::VARCHAR AS root, 'GET api.example.com' AS name FROM r WHERE value * 40 >= 1000"""
+
+
 def streamed_admission(spark, sf):
     moves = event_stream(spark, sf).select(
         F.col("user_id").cast("string").alias("source"), F.col("ts").alias("at"), F.col("event_id").alias("seq"),
@@ -271,6 +292,7 @@ QUERIES = {
     "kept_trails": (kept_trails, KEPT_TRAILS_SQL),
     "streamed_users": (streamed_users, USERS_SQL),
     "streamed_traces": (streamed_traces, STREAM_TRACES_SQL),
+    "strict_streamed_traces": (strict_streamed_traces, STRICT_STREAM_SQL),
     "streamed_admission": (streamed_admission, ADMISSION_SQL),
     "streamed_tallies": (streamed_tallies, TALLIES_SQL),
     "streamed_changes": (streamed_changes, STREAM_CHANGES_SQL),
