@@ -81,8 +81,8 @@ def contamination(
     kept = fingerprints(windows.withColumnRenamed("span", "words"), kinds).select(F.explode("marks").alias("mark")).distinct()
     kept = bounded(written(kept, "benchmark-marks"), broadcast_rows)
     common = marked.select("row", F.explode("marks").alias("mark")).join(kept, "mark")
-    hits = written(common.groupBy("row").agg(F.collect_set("mark").alias("hits")), "fingerprint-hits")
-    spans = extended(rows, hits, windows, kinds, window, broadcast_rows)
+    candidates = written(common.select("row").distinct(), "fingerprint-hits")
+    spans = extended(rows, candidates, kept, windows, kinds, window, broadcast_rows)
     found = spans.groupBy("row").agg(
         F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"),
         F.array_sort(F.collect_set(F.struct("begin", "end"))).alias("spans"),
@@ -104,16 +104,20 @@ def without_contaminated(docs: DataFrame, found: DataFrame, id_col: str = "doc_i
     return rows.join(bounded(dirty, 200_000), F.col("__row") == F.col("__dirty"), "left_anti").drop("__row")
 
 
-def extended(rows: DataFrame, hits: DataFrame, windows: DataFrame, kinds: list[tuple[int, int]], window: int, broadcast_rows: int) -> DataFrame:
-    """Grow the hits of candidate documents to whole windows: ``row, begin, end, item_id`` of the runs that are an item's window."""
-    tokens = rows.select("row", "text").join(hits, "row").select("row", "hits", ascii_words(F.col("text")).alias("words"))
+def extended(
+    rows: DataFrame, candidates: DataFrame, marks: DataFrame, windows: DataFrame, kinds: list[tuple[int, int]], window: int, broadcast_rows: int,
+) -> DataFrame:
+    """Grow the hits of candidate documents to whole windows: ``row, begin, end, item_id`` of the runs that are an item's window.
+
+    Runs meet the benchmark's marks one by one, so a text takes time in proportion to its words however many of them are hits.
+    """
+    tokens = rows.select("row", "text").join(candidates, "row").select("row", ascii_words(F.col("text")).alias("words"))
     spans = []
     for k, w in kinds:
         length = k + w - 1
-        placed = tokens.withColumn("runs", runs(F.col("words"), k))
-        near = F.filter(F.transform("runs", lambda h, i: F.when(F.array_contains(F.col("hits"), h), i)), lambda i: i.isNotNull())
-        begins = F.transform(near, lambda i: F.sequence(F.greatest(i - (length - k), F.lit(0)), i))  # noqa: B023
-        at = placed.select("row", "words", F.array_distinct(F.flatten(begins)).alias("begins"))
+        near = tokens.select("row", F.posexplode(runs(F.col("words"), k)).alias("at", "mark")).join(marks, "mark")
+        begins = near.select("row", F.explode(F.sequence(F.greatest(F.col("at") - (length - k), F.lit(0)), F.col("at"))).alias("begin"))
+        at = tokens.join(begins.groupBy("row").agg(F.collect_set("begin").alias("begins")), "row")
         cut = F.transform("begins", lambda b: F.struct(b.alias("begin"), F.slice(F.col("words"), b + 1, length).alias("span")))  # noqa: B023
         spans.append(at.select("row", F.explode(cut).alias("s")).select("row", "s.begin", "s.span").where(F.size("span") == length))
     tried = spans[0]

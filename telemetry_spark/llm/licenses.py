@@ -20,7 +20,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemetry_spark.llm.common import NO_WORD, ascii_words, written
@@ -64,6 +64,11 @@ class Template:
     mandatory: tuple[int, int]  # the first place and the place after the last of the phrase that must occur
     base: bool
 
+    @property
+    def phrase(self) -> list[tuple[int, str]]:
+        """The words of the mandatory phrase, function words included."""
+        return [(i, self.words[i]) for i in range(*self.mandatory)]
+
     @property
     def indexed(self) -> list[tuple[int, str]]:
         return [(i, w) for i, w in enumerate(self.words) if self.base or w not in UNINDEXED]
@@ -111,22 +116,27 @@ def idf_of(known: Sequence[Template], frequency: dict[str, int], n: int) -> dict
 
 
 def places_of_licence_words(docs: DataFrame, known: Sequence[Template], id_col: str, text_col: str) -> DataFrame:
-    """For each document its number of words and the places of those that a template has."""
+    """For each document its number of words and the places of those that a template has; ``others`` are the places of function words
+    of mandatory phrases, which are read for verification only."""
     vocabulary = sorted({w for t in known for _, w in t.indexed})
+    small = sorted({w for t in known for _, w in t.phrase}.difference(vocabulary))
     tokens = docs.select(F.col(id_col).alias("doc_id"), ascii_words(F.col(text_col)).alias("words"))
-    placed = F.filter(
-        F.transform("words", lambda word, i: F.when(word.isin(vocabulary), F.struct(word.alias("word"), i.alias("at")))),
-        lambda place: place.isNotNull(),
-    )
-    rows = tokens.select("doc_id", F.size("words").cast("bigint").alias("n_words"), placed.alias("places"))
+
+    def placed(among: list[str]) -> Column:
+        found = F.transform("words", lambda word, i: F.when(word.isin(among), F.struct(word.alias("word"), i.alias("at"))))
+        return F.filter(found, lambda place: place.isNotNull())
+
+    rows = tokens.select("doc_id", "words", F.size("words").cast("bigint").alias("n_words"), placed(vocabulary).alias("places"))
+    others = F.when(F.size("places") > 0, placed(small)) if small else F.lit(None).cast(rows.schema["places"].dataType)
+    rows = rows.select("doc_id", "n_words", "places", others.alias("others"))
     return written(rows.select(F.monotonically_increasing_id().alias("row"), "*"), "licence-places")
 
 
-def postings(spark: SparkSession, known: Sequence[Template], idf: dict[str, float]) -> DataFrame:
-    """A row for each indexed word of each template."""
+def postings(spark: SparkSession, known: Sequence[Template], idf: dict[str, float], whole_phrases: bool = False) -> DataFrame:
+    """A row for each indexed word of each template; for verification also for the function words of its phrase, without weight."""
     rows = [
-        (number, word, at, idf[word], t.mandatory[0] <= at < t.mandatory[1])
-        for number, t in enumerate(known) for at, word in t.indexed
+        (number, word, at, idf[word] if (at, word) in t.indexed else 0.0, t.mandatory[0] <= at < t.mandatory[1])
+        for number, t in enumerate(known) for at, word in sorted({*t.indexed, *(t.phrase if whole_phrases else ())})
     ]
     return F.broadcast(spark.createDataFrame(rows, "template int, word string, place int, idf double, mandatory boolean"))
 
@@ -135,7 +145,7 @@ def totals(known: Sequence[Template], idf: dict[str, float]) -> dict[int, float]
     return {number: sum(idf[w] for _, w in t.indexed) for number, t in enumerate(known)}
 
 
-def by_template(values: dict[int, object]) -> F.Column:
+def by_template(values: dict[int, object]) -> Column:
     """The value of the row's template."""
     return F.element_at(F.array(*(F.lit(values[i]) for i in range(len(values)))), F.col("template") + 1)
 
@@ -160,14 +170,15 @@ def candidates(places: DataFrame, known: Sequence[Template], idf: dict[str, floa
 
 
 def verified(places: DataFrame, tried: DataFrame, known: Sequence[Template], idf: dict[str, float]) -> DataFrame:
-    """Candidates whose mandatory words all stand at their places: ``row, at, label, base, share``."""
+    """Candidates whose mandatory phrase stands whole, word by word: ``row, at, label, base, share``."""
     spark = places.sparkSession
-    wanted = tried.join(postings(spark, known, idf), "template").withColumn("stands", F.col("at") + F.col("place"))
-    there = places.join(tried.select("row").distinct(), "row", "left_semi").select("row", F.explode("places").alias("p"))
+    wanted = tried.join(postings(spark, known, idf, True), "template").withColumn("stands", F.col("at") + F.col("place"))
+    every = F.concat("places", F.coalesce("others", F.array().cast(places.schema["places"].dataType)))
+    there = places.join(tried.select("row").distinct(), "row", "left_semi").select("row", F.explode(every).alias("p"))
     there = there.select("row", F.col("p.word").alias("word"), F.col("p.at").alias("stands"))
     met = wanted.join(there, ["row", "word", "stands"])
     summed = met.groupBy("row", "template", "at").agg(F.sum("idf").alias("weight"), F.count_if("mandatory").alias("kept"))
-    needed = {i: sum(t.mandatory[0] <= at < t.mandatory[1] for at, _ in t.indexed) for i, t in enumerate(known)}
+    needed = {i: len(t.phrase) for i, t in enumerate(known)}
     full = {i: max(x, 1e-9) for i, x in totals(known, idf).items()}
     share = F.least(F.col("weight") / by_template(full), F.lit(1.0))
     base = by_template({i: t.base for i, t in enumerate(known)})

@@ -58,3 +58,22 @@ def test_short_items_and_odd_rows(spark, odd_documents):
     assert rows_of(decontamination.contamination(docs, bench, broadcast_rows=0)) == want
     assert decontamination.contamination(docs.limit(0), bench).count() == 0
     assert not any(r[5] for r in rows_of(decontamination.contamination(docs, bench.limit(0))))
+
+
+def test_a_text_of_hits_takes_time_in_proportion(spark):
+    """Long texts made of benchmark passages: twice the words take about twice the time."""
+    import time
+
+    items = spark.createDataFrame([(i, " ".join(f"w{i}x{j}" for j in range(30))) for i in range(400)], "item_id bigint, text string").cache()
+    passages = [" ".join(f"w{i}x{j}" for j in range(30)) for i in range(400)]
+
+    def seconds(words):
+        text = " ".join(passages[i % 400] for i in range(words // 30))
+        docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+        started = time.perf_counter()
+        row = decontamination.contamination(docs, items).first()
+        assert row.n_hit == row.n_words and row.n_items == min(400, words // 30)
+        return time.perf_counter() - started
+
+    seconds(3000)
+    assert seconds(160_000) < 2.5 * seconds(80_000)

@@ -43,3 +43,41 @@ def test_texts_and_odd_rows(spark, odd_documents):
     assert labels[30] == ("mit", 1.0) and labels[31] == ("", 0.0) and labels[34] == ("", 0.0) and labels[36][0] == "mit"
     assert set(labels[32][0].split(",")) == {t[0] for t in licenses.TEXTS} and labels[1] == ("", 0.0)
     assert licenses.scan(docs.limit(0)).count() == 0
+
+
+def brute_labels(texts, found_words):
+    """Labels of the text templates: the phrase stands word for word, and with it enough of the template's weight."""
+    known = [t for t in licenses.templates() if not t.base]
+    idf = licenses.idf_of(licenses.templates(), found_words, len(texts))
+    out = {}
+    for key, text in texts:
+        words, labels = WORD.findall(text.lower()), set()
+        for t in known:
+            total = sum(idf[w] for _, w in t.indexed)
+            for at in range(-len(t.words), len(words)):
+                stands = [0 <= at + i < len(words) and words[at + i] == w for i, w in enumerate(t.words)]
+                if at >= 0 and all(stands[slice(*t.mandatory)]) and sum(idf[w] for i, w in t.indexed if stands[i]) >= licenses.LEAST_SHARE * total:
+                    labels.add(t.label)
+        out[key] = labels
+    return out
+
+
+def test_a_phrase_stands_only_as_a_whole(spark):
+    """One changed word of a mandatory phrase, a function word too, takes the label away; a changed word elsewhere need not."""
+    texts, key = [], 0
+    for label, text, phrase in licenses.TEXTS:
+        words, own = text.split(), phrase.split()
+        start = next(i for i in range(len(words)) if words[i : i + len(own)] == own)
+        for place in range(len(words)):
+            texts.append((key, " ".join(["before", *words[:place], "qq", *words[place + 1 :], "after"]), label, start <= place < start + len(own)))
+            key += 1
+    docs = spark.createDataFrame([t[:2] for t in texts], "doc_id bigint, text string")
+    got = {r.doc_id: set(filter(None, r.labels.split(","))) - {b for _, b in licenses.BASE if b in r.base_labels.split(",")} for r in licenses.scan(docs).collect()}
+    vocabulary = {w for t in licenses.templates() for _, w in t.indexed}
+    counts = {w: sum(w in set(t[1].split()) for t in texts) for w in vocabulary}
+    want = brute_labels([t[:2] for t in texts], counts)
+    base = {key: {b for phrase, b in licenses.BASE if phrase in text} for key, text, *_ in texts}
+    for key, _, label, inside in texts:
+        assert got[key] == want[key] - base[key]
+        assert not (inside and label in want[key])
+    assert sum(label in want[key] for key, _, label, inside in texts) > 50
