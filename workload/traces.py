@@ -161,11 +161,11 @@ def stitched_traces(spark, sf):
 
 
 STITCH_SQL = f"""
-SELECT {hex_sql('l_orderkey + 1', 32)} AS trace_id, {LINE_ID_SQL} AS parent_span_id,
-       'b-' || concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS backend_span_id,
-       'part ' || l_partkey AS backend_name, 'line ' || l_linenumber AS client_name
-FROM lineitem WHERE (l_tax <> 0 OR regexp_full_match({LINE_ID_SQL}, '[0-9]+'))
-  AND (l_tax <> 0 OR regexp_full_match({hex_sql('l_orderkey + 1', 32)}, '[0-9]+'))"""
+WITH l AS (SELECT *, {hex_sql('l_orderkey + 1', 32)} AS trace_id, {LINE_ID_SQL} AS parent_span_id FROM lineitem)
+SELECT trace_id, parent_span_id, 'b-' || concat_ws('-', b.l_orderkey, b.l_linenumber, b.l_partkey, b.l_suppkey) AS backend_span_id,
+       'part ' || b.l_partkey AS backend_name, 'line ' || c.l_linenumber AS client_name
+FROM l b JOIN l c USING (trace_id, parent_span_id)
+WHERE b.l_tax <> 0 OR (regexp_full_match(parent_span_id, '[0-9]+') AND regexp_full_match(trace_id, '[0-9]+'))"""
 
 CELL = 4 * 86400
 
