@@ -63,4 +63,4 @@ def test_odd_rows_pass_every_stage(spark, sf, odd_documents):
 def test_the_pipeline_is_registered():
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
     numbers = {name.split("_")[0] for name in __spark_entry__.queries() if name.startswith("op")}
-    assert numbers == {f"op{n}" for n in range(1, 11)}
+    assert numbers == {f"op{n}" for n in range(1, 14)}
