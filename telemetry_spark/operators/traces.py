@@ -152,13 +152,17 @@ def span_tree(df: DataFrame, max_depth: int = MAX_SPANS) -> DataFrame:
     return nodes.where("up is null").where(F.col("depth") < max_depth).drop("up")
 
 
+def trace_top() -> Column:
+    """A trace's first root as an aggregate, or its first span (``first.late``) if it has none."""
+    first = F.struct(F.expr(f"not ({IS_ROOT})").alias("late"), "started_at", "span_id")
+    return F.min(F.struct(first.alias("first"), "name", "duration_ms"))
+
+
 def link_errors_to_traces(events: DataFrame, df: DataFrame) -> DataFrame:
     """Each error with its trace's root and number of spans, null for an error without a known trace."""
     # Errors outside any trace share a null id; they skip the joins instead of meeting in one partition.
     traced = events.where("trace_id is not null")
-    first = F.struct(F.expr(f"not ({IS_ROOT})").alias("late"), "started_at", "span_id")
-    top = F.min(F.struct(first.alias("first"), "name", "duration_ms"))
-    known = df.groupBy("trace_id").agg(F.count(F.lit(1)).alias("trace_spans"), top.alias("__top"))
+    known = df.groupBy("trace_id").agg(F.count(F.lit(1)).alias("trace_spans"), trace_top().alias("__top"))
     root = F.when(~F.col("__top.first.late"), F.col("__top"))
     known = known.select(
         "trace_id", "trace_spans", root["name"].alias("trace_name"), root["duration_ms"].alias("trace_duration_ms")

@@ -32,6 +32,12 @@ def control_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return file_stream(spark, path, schema)
 
 
+def seconds_of(spark: SparkSession, *intervals: str) -> int:
+    """The length of some intervals together."""
+    moment = " + ".join(["timestamp_micros(0)", *[f"interval {i}" for i in intervals]])
+    return spark.sql(f"select unix_seconds({moment})").first()[0]
+
+
 def state_rows(spark: SparkSession, checkpoint: str, variable: str, flatten: bool = True) -> DataFrame:
     """What a stream keeps under one of its processor's names, as of its last committed batch: ``key`` with its value, or with the
     entries of a map or list, a row each unless they are not to be flattened."""

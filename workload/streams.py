@@ -12,14 +12,17 @@ from telemetry_spark.sources.reports import CORRUPT
 from telemetry_spark.streaming import state
 from telemetry_spark.streaming.flush import MetricFlusher
 from telemetry_spark.streaming.ingest import stream_reports
+from telemetry_spark.streaming.joins import flush_joined, stream_linked_errors, stream_stitched
 from telemetry_spark.streaming.runs import collected, file_stream, flush_now, prepare, run_flush
+from telemetry_spark.streaming.sink import FolderReceiver, received, run_delivery
 from telemetry_spark.streaming.tallies import collected_tallies
 from telemetry_spark.streaming.windows import stream_changes
 from telemetry_spark.functions.timefmt import iso_seconds
+from telemetry_spark.functions.tracing import traceparent
 from workload.delivery import QUEUE_LIMIT, QUEUE_SQL
 from workload.events import CLEARS, REPORTING, TRAILS_SQL, USERS_SQL
 from workload.performance import PERFORMANCE_SAMPLES_SQL
-from workload.tables import events, iso_sql, item
+from workload.tables import events, hex_id, hex_sql, iso_sql, item
 
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 #: Events arrive in micro-batches of so many days of the month.
@@ -38,7 +41,8 @@ def event_stream(spark, sf, scattered=False):
     path, files = fresh_dir(spark, "event-files"), spark.sparkContext.defaultParallelism
     rows = spark.read.parquet(f"{sf}/events.parquet")
     late = F.pmod(F.xxhash64("event_id"), F.lit(100)) / 100 * LATE_DAYS if scattered else F.lit(0)
-    part = F.floor((F.dayofmonth("ts") - 1 + late) / BATCH_DAYS)
+    seconds = F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")
+    part = F.floor((F.dayofmonth("ts") - 1 + seconds / 86400 + late) / BATCH_DAYS)
     for number in range(31 // BATCH_DAYS + 1):
         rows.where(part == number).repartition(files, "event_id").write.mode("append").parquet(path)
     df = file_stream(spark, path, EVENT_SCHEMA, files_per_trigger=files)
@@ -285,7 +289,70 @@ SELECT CASE WHEN user_id % 3 = 0 THEN 'Signal: Abort trap' WHEN user_id % 5 <> 0
        THEN 2 * length('{"exception_class":"E","message":"failed ' || event_id || '","n":1}' || chr(10)) END AS corrupt_letters
 FROM e"""
 
+
+
+def sunk_events(spark, sf):
+    """Every event through the sink that delivers in tasks, with the batch that settled it."""
+    folder, rows = fresh_dir(spark, "sunk"), event_stream(spark, sf)
+    run_delivery(rows, FolderReceiver(folder), fresh_dir(spark, "sunk-checkpoint"))
+    return received(spark, folder, rows.schema).select("batch_id", "event_id", "user_id", "event_type", "value")
+
+
+SUNK_SQL = f"SELECT {BATCH_SQL} AS batch_id, event_id, user_id, event_type, value FROM events"
+
+
+def joined(spark, sf, name, build):
+    """What a join of two streams comes to when the clock has passed the last event by far."""
+    clock, out, checkpoint = (fresh_dir(spark, f"{name}-{part}") for part in ("clock", "out", "checkpoint"))
+    last = events(spark, sf).agg(F.coalesce(F.max("ts"), F.timestamp_seconds(F.lit(0))) + F.expr("interval 10 days")).first()[0]
+    return flush_joined(build(clock), out, checkpoint, clock, last)
+
+
+def streamed_links(spark, sf):
+    """Errors linked to traces while both stream in, out of order: a user's events of a day are a trace, its purchases are roots. Errors
+    of small value have no trace, those of large value one that has no spans."""
+    day = F.concat_ws("-", "user_id", F.dayofmonth("ts"))
+    spans = event_stream(spark, sf, scattered=True).select(
+        day.alias("trace_id"), F.col("event_id").cast("string").alias("span_id"), F.when(F.col("event_type") != "purchase", "up").alias("parent_span_id"),
+        F.concat_ws(" ", "event_type", "event_id").alias("name"), F.col("ts").alias("started_at"), F.col("value").alias("duration_ms"),
+    )
+    trace = F.when(F.col("value") > 40, F.concat(day, F.lit("-lost"))).when(F.col("value") >= 5, day)
+    errors = event_stream(spark, sf, scattered=True).where("event_type = 'error'").select("event_id", F.col("ts").alias("occurred_at"), trace.alias("trace_id"))
+    found = joined(spark, sf, "links", lambda clock: stream_linked_errors(errors, spans, LATE_WATERMARK, gap="1 day", clock=clock))
+    return found.select("event_id", "trace_id", "trace_spans", "trace_name", "trace_duration_ms")
+
+
+STREAM_LINKS_SQL = """
+WITH t AS (SELECT user_id || '-' || day(ts) AS trace_id, count(*) AS trace_spans,
+                  arg_min(event_type || ' ' || event_id, (ts, event_id)) FILTER (event_type = 'purchase') AS trace_name,
+                  arg_min(value, (ts, event_id)) FILTER (event_type = 'purchase') AS trace_duration_ms FROM events GROUP BY 1),
+e AS (SELECT event_id, CASE WHEN value > 40 THEN user_id || '-' || day(ts) || '-lost' WHEN value >= 5 THEN user_id || '-' || day(ts) END AS trace_id
+      FROM events WHERE event_type = 'error')
+SELECT event_id, e.trace_id, trace_spans, trace_name, trace_duration_ms FROM e LEFT JOIN t USING (trace_id)"""
+
+
+def streamed_stitches(spark, sf):
+    """Every event's call, and the back-end request it made some minutes later; one in nine with a header no tracer would write."""
+    trace, span = hex_id(F.col("event_id") % 1000 + 1, 32), hex_id(F.col("event_id") + 1, 16)
+    client = event_stream(spark, sf, scattered=True).select(
+        trace.alias("trace_id"), span.alias("span_id"), F.concat_ws(" ", F.lit("call"), "event_id").alias("name"), F.col("ts").alias("started_at"))
+    ours = traceparent(trace, span, F.lit(None).cast("string"), F.lit(True))
+    header = F.when(F.col("event_id") % 9 == 0, F.concat(F.lit("x"), ours)).otherwise(ours)
+    backend = event_stream(spark, sf, scattered=True).select(
+        F.concat(F.lit("b"), "event_id").alias("span_id"), F.col("event_type").alias("name"), header.alias("traceparent"),
+        (F.col("ts") + F.make_dt_interval(mins=(F.col("event_id") % 50).cast("int"))).alias("started_at"))
+    return joined(spark, sf, "stitches", lambda clock: stream_stitched(client, backend, LATE_WATERMARK, clock=clock))
+
+
+STREAM_STITCHES_SQL = f"""
+SELECT {hex_sql('event_id % 1000 + 1', 32)} AS trace_id, {hex_sql('event_id + 1', 16)} AS parent_span_id, 'b' || event_id AS backend_span_id,
+       event_type AS backend_name, 'call ' || event_id AS client_name
+FROM events WHERE event_id % 9 <> 0"""
+
 QUERIES = {
+    "sunk_events": (sunk_events, SUNK_SQL),
+    "streamed_links": (streamed_links, STREAM_LINKS_SQL),
+    "streamed_stitches": (streamed_stitches, STREAM_STITCHES_SQL),
     "ingested_reports": (ingested_reports, INGESTED_SQL),
     "streamed_performance": (streamed_performance, PERFORMANCE_SAMPLES_SQL),
     "streamed_trails": (streamed_trails, TRAILS_SQL),
