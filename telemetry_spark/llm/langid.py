@@ -16,7 +16,7 @@ out; rows that repeat an id are scored each by itself; no rows give no rows; oth
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,8 +31,10 @@ START = "▁"
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 #: Longer runs of letters (scripts without spaces) go through rescaled recursions of their own, learning so many letters at a time.
 LONG_WORD, LONG_LOT = 40, 65_536
-#: Texts are scored in lots of about so many characters, and at most so many words are remembered.
+#: Texts are scored in lots of about so many characters, whatever Arrow's batches; at most so many words are remembered, or learned from at once.
 LOT_CHARS, MEMORY_WORDS, LOT_WORDS = 2_000_000, 500_000, 8192
+#: So many numbers are held of the words that are remembered and of those in the recursion: the more languages, the fewer words.
+MEMORY_CELLS, LOT_CELLS = 8_000_000, 32_768
 
 
 def load_pieces(path: str) -> list[str]:
@@ -146,8 +148,9 @@ class Model:
                 out[at] = self.long_word(word)
             else:
                 by_size.setdefault(len(word), []).append(at)
+        lot = max(1, min(LOT_WORDS, LOT_CELLS // max(1, len(self.languages))))
         for places in by_size.values():
-            for some in (places[i : i + LOT_WORDS] for i in range(0, len(places), LOT_WORDS)):
+            for some in (places[i : i + lot] for i in range(0, len(places), lot)):
                 alpha, _ = self.forward([words[i] for i in some])
                 out[some] = np.log(alpha[-1])
         return out
@@ -218,6 +221,63 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall(text.lower()) if text else []
 
 
+def lots(batches: Iterator, texts_of: Callable, most_rows: int | None = None) -> Iterator:
+    """Batches put together until they hold ``LOT_CHARS`` characters or ``most_rows`` rows: work on arrays pays only where these are long."""
+    held, chars, rows = [], 0, 0
+    for batch in batches:
+        held.append(batch)
+        chars += sum(len(t) for t in texts_of(batch) if t)
+        rows += len(batch)
+        if chars >= LOT_CHARS or (most_rows is not None and rows >= most_rows):
+            yield pd.concat(held, ignore_index=True)
+            held, chars, rows = [], 0, 0
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+class WordLogs:
+    """Log probabilities of words, remembered until there are too many of them."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.limit = max(1, min(MEMORY_WORDS, MEMORY_CELLS // max(1, len(model.languages))))
+        self.forget()
+
+    def forget(self) -> None:
+        self.places, self.table = {}, np.zeros((0, len(self.model.languages)))
+
+    def learn(self, words: set[str]) -> None:
+        new = list(words.difference(self.places))
+        if len(self.places) + len(new) > self.limit:
+            self.forget()
+            new = list(words)
+        self.places.update(zip(new, range(len(self.places), len(self.places) + len(new)), strict=True))
+        self.table = np.concatenate([self.table, self.model.log_probabilities([START + w for w in new])])
+
+    def known(self, words: list[str]) -> np.ndarray:
+        return self.table[np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))].sum(axis=0)
+
+    def sums(self, texts: list[list[str]]) -> Iterator[np.ndarray]:
+        """The sum over each text's words. Texts meet in groups of at most ``limit`` words; a longer one goes by itself, in slices of its own."""
+        group, size = [], 0
+        for words in [*texts, None]:
+            if group and (words is None or size + len(words) > self.limit):
+                self.learn(set().union(*group))
+                yield from map(self.known, group)
+                group, size = [], 0
+            if words is None:
+                return
+            if len(words) <= self.limit:
+                group.append(words)
+                size += len(words)
+                continue
+            total = np.zeros(len(self.model.languages))
+            for some in (words[i : i + self.limit] for i in range(0, len(words), self.limit)):
+                self.learn(set(some))
+                total += self.known(some)
+            yield total
+
+
 def labelled_sample(docs: DataFrame, docs_per_language: int, max_languages: int, id_col: str, text_col: str, lang_col: str) -> DataFrame:
     """Labelled documents of the training folds, about ``docs_per_language`` for each language."""
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (crc_mod(F.col(id_col), 5) != 0))
@@ -264,7 +324,7 @@ def expected_counts(words: DataFrame, model: Model) -> np.ndarray:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums = np.zeros((len(model.table), len(model.languages)))
-        for batch in batches:
+        for batch in lots(batches, lambda b: b["word"], LOT_WORDS * len(model.languages)):
             for lang, own in batch.groupby("lang"):
                 at = model.languages.index(lang)
                 sums[:, at] += model.expected([START + w for w in own["word"]], own["n"].to_numpy(float), at)
@@ -295,23 +355,10 @@ def annotated(docs: DataFrame, model: Model, column: str, text_col: str = "text"
 
     @F.pandas_udf("lang_pred string, score double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        places, table = {}, np.zeros((0, len(model.languages)))
-        for texts in batches:
-            found, lot, chars = [], [], 0
-            for at, text in enumerate(texts, 1):
-                lot.append(words_of(text))
-                chars += len(text or "")
-                if chars < LOT_CHARS and at < len(texts):
-                    continue
-                if len(places) > MEMORY_WORDS:
-                    places, table = {}, table[:0]
-                new = list(set().union(*lot).difference(places))
-                places.update(zip(new, range(len(places), len(places) + len(new)), strict=True))
-                table = np.concatenate([table, model.log_probabilities([START + w for w in new])])
-                for words in lot:
-                    ids = np.fromiter(map(places.__getitem__, words), np.int64, len(words))
-                    found.append(decide(table[ids].sum(axis=0), len(ids)))
-                lot, chars = [], 0
+        logs = WordLogs(model)
+        for texts in lots(batches, lambda b: b):
+            words = [words_of(text) for text in texts]
+            found = [decide(total, len(own)) for total, own in zip(logs.sums(words), words, strict=True)]
             yield pd.DataFrame(found, columns=["lang_pred", "score"])
 
     return docs.withColumn(column, run(F.col(text_col)))

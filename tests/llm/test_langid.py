@@ -100,3 +100,41 @@ def test_odd_rows(spark, odd_documents):
     assert langid.predict(empty, langid.fit(odd_documents, PIECES, rounds=1)).count() == 0
     with pytest.raises(ValueError, match="languages"):
         langid.fit(odd_documents, PIECES, max_languages=1)
+
+
+def test_sums_do_not_depend_on_how_words_are_remembered(small_model, monkeypatch):
+    """Groups of texts, texts longer than the memory and words that come again: always the sum of the words' own logs."""
+    rng = np.random.default_rng(5)
+    texts = [["".join(rng.choice(list("abc"), rng.integers(1, 6))) for _ in range(n)] for n in (0, 3, 40, 7, 0, 25, 1, 8)]
+    want = [small_model.log_probabilities([langid.START + w for w in t]).sum(axis=0) for t in texts]
+    for cells in (1, 9, 30, 90, 10_000):
+        monkeypatch.setattr(langid, "MEMORY_CELLS", cells)
+        monkeypatch.setattr(langid, "LOT_CELLS", cells)
+        logs = langid.WordLogs(small_model)
+        got = list(logs.sums(texts))
+        assert len(got) == len(texts) and all(g == pytest.approx(w) for g, w in zip(got, want, strict=True))
+        assert len(logs.places) <= logs.limit
+
+
+def test_lots_keep_rows_and_their_order(monkeypatch):
+    monkeypatch.setattr(langid, "LOT_CHARS", 10)
+    batches = [langid.pd.Series(["x" * n, None]) for n in (3, 4, 20, 0, 9)]
+    got = list(langid.lots(iter(batches), lambda b: b))
+    assert [len(g) for g in got] == [6, 4] and sum((list(g) for g in got), []) == sum((list(b) for b in batches), [])
+    assert [len(g) for g in langid.lots(iter(batches), lambda b: b, 2)] == [2] * 5 and list(langid.lots(iter(()), lambda b: b)) == []
+
+
+def test_three_hundred_languages_stay_within_bounds():
+    """The recursion and the remembered words hold so many numbers whatever the number of languages."""
+    import tracemalloc
+
+    pieces = ["▁", "▁a", "a", "b", "ab", "ba"]
+    model = langid.Model([f"l{i:03d}" for i in range(300)], pieces, np.random.default_rng(3).dirichlet(np.ones(7), 300).T)
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("abcdefghij"), 12)) for _ in range(60_000)]
+    tracemalloc.start()
+    logs = langid.WordLogs(model)
+    sums = list(logs.sums([words[:30_000], words[30_000:]]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(sums) == 2 and np.isfinite(sums).all() and peak < 1 << 28
