@@ -109,3 +109,18 @@ def test_state_is_kept_by_transaction_and_label(spark, stream, scratch):
     assert {(r.transaction_name, r.n, r.total) for r in tallies} == {("x", 2, 320.0), ("y", 1, 30.0)}
     labels = runs.state_rows(spark, scratch + "/checkpoint", "labels").select("user_map_key.*", "user_map_value.n").collect()
     assert {tuple(r) for r in labels} == {("x", "50", 1), ("x", "500", 1), ("y", "50", 1)}
+
+
+def test_keys_of_a_bucket_wait_together(spark, stream, scratch):
+    """What a call and a timer cost is shared by the keys of a bucket; each key's trail stays its own."""
+    rows = [(f"d{i % 1500}", 1 + i // 1500, "crumb", None, f"c{i}") for i in range(3000)]
+    df = state.keyed(stream(CRUMB, [rows]), "device", state.BreadcrumbRing(), "1 hour")
+    runs.flush_now(df, scratch + "/out", scratch + "/checkpoint")
+    assert runs.state_rows(spark, scratch + "/checkpoint", "waiting").count() <= state.BUCKETS
+
+
+def test_sources_of_a_bucket_keep_their_own_tallies(spark, stream):
+    rows = [(f"s{i % 700}", 10 + i // 700, "record", "x", float(i % 700), None) for i in range(1400)]
+    rows += [(f"s{i}", 20, "snapshot", None, None, None) for i in range(700)]
+    got = state.collected_in_order(stream(TALLY, [rows]), "source", state.TallyFlusher(), "1 minute").collect()
+    assert {(r.source, r.request_count, r.duration_sum_ms) for r in got} == {(f"s{i}", 2, 2.0 * i) for i in range(700)}
