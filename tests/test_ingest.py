@@ -79,3 +79,9 @@ def test_strict_and_silent_projects(spark, scratch, folder):
     assert spark.read.schema(silent.schema).parquet(f"{scratch}/none").count() == 0
     strict = taken(spark, scratch, Config(dsn=DSN, strict_privacy=True)).first()
     assert strict.message is None or "12" not in strict.message
+
+
+def test_files_are_listed_by_as_many_tasks_as_can_run(spark):
+    runs.prepare(spark)
+    tasks = int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism"))
+    assert tasks == 4 * spark.sparkContext.defaultParallelism
