@@ -260,3 +260,18 @@ def test_span_data(spark):
         '{"db.statement":"SELECT ? = ? AND token = ?","db.system":"mysql"}', '{"status":200}',
     ]
     assert got[5].endswith('..."}') and len(got[5]) == 4003 + len('{"db.statement":""}')
+
+
+def test_what_a_literal_begins_with_leaves_none_out(spark):
+    """Asking for a literal's first letters before its pattern changes nothing, whatever stands before it."""
+    import random
+
+    from telemetry_spark.functions import sqltext
+
+    rng = random.Random(4)
+    texts = ["".join(rng.choices(["'", '"', "$", "$a$", "1", ".5", "0x1F", "E'", "u&'", "N", "b", "\\", " ", "x", "_", "e9", "\n"], k=25)) for _ in range(400)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for asked, double in ((sqltext.LITERAL, ""), (sqltext.LITERAL_WITH_DOUBLE_QUOTES, f"|{sqltext.DOUBLE_QUOTED_STRING}")):
+        plain = f"(?s){sqltext.STRING}{double}|{sqltext.DOLLAR_QUOTED}|{sqltext.NUMBER}"
+        assert f"(?={sqltext.BEGINS}" in asked
+        assert df.where(F.regexp_replace("t", asked, "?") != F.regexp_replace("t", plain, "?")).isEmpty()
