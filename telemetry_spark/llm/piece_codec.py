@@ -19,6 +19,7 @@ with user-defined or unused pieces are refused.
 from __future__ import annotations
 
 import codecs
+import functools
 import heapq
 import itertools
 import struct
@@ -268,13 +269,19 @@ class Encoder:
         return self.of_all([text])[0]
 
 
+@functools.lru_cache(maxsize=1)
+def shared_encoder(path: str) -> Encoder:
+    """A worker's encoder: the tasks that it runs one after the other read the vocabulary once and share what is remembered."""
+    return Encoder(Vocabulary(path))
+
+
 def coded(docs: DataFrame, vocabulary: str, column: str = "coded", text_col: str = "text") -> DataFrame:
     """Add ``struct(ids, decoded, agrees)``: a text's ids, what they decode to, and whether the library finds the same."""
 
     @F.arrow_udf(CODED)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known = Vocabulary(vocabulary)
-        encoder = Encoder(known)
+        encoder = shared_encoder(vocabulary)
+        known = encoder.vocabulary
         for texts in batches:
             ids, decoded, agrees = [], [], []
             whole = ((raw.as_py() or b"").decode("utf-8", "one-by-one") for raw in texts.cast("binary"))
@@ -296,7 +303,7 @@ def decoded(docs: DataFrame, vocabulary: str, column: str = "text", ids_col: str
 
     @F.arrow_udf("string")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known = Vocabulary(vocabulary)
+        known = shared_encoder(vocabulary).vocabulary
         for lists in batches:
             yield pa.array([None if x is None else known.decode(known.inside(x)) for x in lists.to_pylist()], pa.string())
 

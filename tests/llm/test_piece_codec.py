@@ -118,3 +118,8 @@ def test_a_vocabulary_with_marks_inside_is_not_cut(tmp_path):
 def test_the_query_agrees_with_the_library(spark, sf):
     rows = queries.op13_sentencepiece(spark, sf).collect()
     assert len(rows) == spark.read.parquet(f"{sf}/documents.parquet").count() and all(r.agrees for r in rows)
+
+
+def test_a_workers_tasks_share_an_encoder():
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    assert piece_codec.shared_encoder(path) is piece_codec.shared_encoder(path)
