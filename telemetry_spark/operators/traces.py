@@ -17,7 +17,7 @@ from telemetry_spark.functions.tracing import (
     span_kind,
     strict_data,
 )
-from telemetry_spark.plans.caps import first_n, first_of
+from telemetry_spark.plans.caps import first_of
 from telemetry_spark.plans.running import clock_slices, running
 from telemetry_spark.plans.session import cut_lineage
 
@@ -72,23 +72,35 @@ def cap_spans(
 ) -> DataFrame:
     """The root and the first ``limit - 1`` other spans recorded in each trace, which is as many without its root.
 
-    The root sorts first, so one ranking serves both, and what it leaves is already partitioned by trace. With a
-    threshold only traces whose root took at least that long stay: the root is always among the spans kept, so it is
-    asked in the same pass.
+    With a threshold only traces whose root took at least that long stay.
     """
-    ranking = [F.expr(f"not ({IS_ROOT})"), *order]
-    kept = first_n(df, ["trace_id"], ranking, limit)
-    trace = Window.partitionBy("trace_id")
+    kept = _placed(df, order, limit)
+    if threshold_s is not None:
+        took = F.max(F.when(F.expr(IS_ROOT), F.col("duration_ms"))).over(Window.partitionBy("trace_id"))
+        kept = kept.withColumn("__took", took).where(F.col("__took") >= threshold_s * 1000).drop("__took")
+    return kept.drop("__late", "__place", "__longest")
+
+
+def _placed(df: DataFrame, order: list[Column], limit: int) -> DataFrame:
+    """The spans that the cap leaves, each with its place (equal where ``order`` is) and, if spans have durations, with
+    ``__longest``: the longest of the roots up to it, which for a span that is no root is the longest of all.
+
+    The root sorts first, so one ranking serves cap, place and threshold, and traces are moved once and sorted once on
+    either side. Spark limits each trace within every task before it moves them (``WindowGroupLimit``): of a hot trace
+    one task reads ``limit`` spans from each task at most.
+    """
+    late = df.withColumn("__late", F.expr(f"not ({IS_ROOT})"))
+    ranked = Window.partitionBy("trace_id").orderBy("__late", *order)
+    so_far = ranked.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     seen = {
-        "__n": F.row_number().over(trace.orderBy(*ranking)),
-        "__roots": F.count_if(F.expr(IS_ROOT)).over(trace),
+        "__n": F.row_number().over(ranked),
+        "__place": F.rank().over(ranked),
+        "__roots": F.count_if(~F.col("__late")).over(so_far),
     }
-    stays = F.col("__n") <= limit - F.when(F.col("__roots") > 0, 0).otherwise(1)
-    if threshold_s is not None:
-        seen["__took"] = F.max(F.when(F.expr(IS_ROOT), F.col("duration_ms"))).over(trace)
-        stays = stays & (F.col("__took") >= threshold_s * 1000)
-    placed = kept.withColumns(seen)
-    return placed.where(stays).drop("__n", "__roots", "__took")
+    if "duration_ms" in df.columns:
+        seen["__longest"] = F.max(F.when(~F.col("__late"), F.col("duration_ms"))).over(so_far)
+    room = (F.col("__roots") > 0) | (F.col("__n") <= limit - 1)
+    return late.withColumns(seen).where((F.col("__n") <= limit) & room).drop("__n", "__roots")
 
 
 def dedupe_finish(df: DataFrame, finishes: DataFrame) -> DataFrame:
@@ -105,9 +117,10 @@ def assemble_traces(
 ) -> DataFrame:
     """One envelope per slow trace: its capped spans, the root first and the rest as recorded.
 
-    The cap comes first, so a hot trace moves ``limit`` spans only, and no list holds more than that.
+    The cap comes first, so a hot trace moves ``limit`` spans of each task only, and no list holds more than ``limit``.
     """
-    kept = cap_spans(df, order, limit, cfg.trace_capture_threshold)
+    least = cfg.trace_capture_threshold * 1000
+    kept = _placed(df, order, limit).where(~F.col("__late") | (F.col("__longest") >= least))
     if cfg.strict_privacy:
         kept = strict_spans(kept)
     span = F.struct(
@@ -115,11 +128,11 @@ def assemble_traces(
         iso_millis(F.col("started_at")).alias("started_at"), F.col("duration_ms"),
         F.col("environment"), F.col("release"), F.col("data"),
     )
-    position = F.struct(F.expr(f"not ({IS_ROOT})").alias("late"), *[o.alias(f"o{i}") for i, o in enumerate(order)])
     listed = kept.groupBy("trace_id").agg(
-        F.sort_array(F.collect_list(F.struct(position.alias("p"), span.alias("s")))).alias("entries")
-    )
-    return listed.select("trace_id", F.transform("entries", lambda e: e["s"]).alias("spans"))
+        F.max("__longest").alias("__took"),
+        F.sort_array(F.collect_list(F.struct(F.col("__place").alias("p"), span.alias("s")))).alias("entries"),
+    ).where(F.col("__took") >= least)
+    return listed.select("trace_id", F.col("entries.s").alias("spans"))
 
 
 def span_tree(df: DataFrame, max_depth: int = MAX_SPANS) -> DataFrame:

@@ -108,6 +108,14 @@ def test_traces_are_assembled_in_two_exchanges(spark):
     assert plan.count("Exchange hashpartitioning") <= 2
 
 
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="needs the given tables")
+@pytest.mark.parametrize("query", ["capped_spans", "assembled_traces", "trace_bodies"])
+def test_traces_move_once_and_are_sorted_once_on_either_side(spark, query):
+    plan = final_plan(workload.REGISTRY[query][0](spark, SF_DIR))
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("- Sort [") + plan.count("* Sort (") <= 2
+    assert plan.count("WindowGroupLimit") + plan.count("* WindowGroupLimit (") >= 2
+
+
 def test_first_of_is_the_same_in_every_run(rows):
     tied = rows.withColumn("t", F.col("t") % 3)
     want = first_of(tied, ["k"], [F.col("t")]).collect()

@@ -37,6 +37,19 @@ def test_a_trace_without_its_root_leaves_room_for_it(spark):
     assert traces.cap_spans(spans(spark, rows), [F.col("seq")]).agg(F.count("*"), F.max("seq")).first() == (499, 498)
 
 
+def test_the_longest_of_several_roots_decides_and_all_stay(spark):
+    rows = [("t", "c", "r1", "c", "service", 9000.0, 0, "{}"), ("t", "r1", None, "first", "controller", 5.0, 1, "{}"),
+            ("t", "r2", None, "second", "controller", 1000.0, 2, "{}"), ("t", "c", "r1", "a", "service", 2.0, 0, "{}"),
+            ("fast", "r", None, "r", "controller", 999.0, 0, "{}"), ("fast", "c", "r", "c", "service", 5000.0, 1, "{}"),
+            ("rootless", "c", "r", "c", "service", 5000.0, 1, "{}"), ("unknown", "r", None, "r", "controller", None, 1, "{}"),
+            (None, "r", None, "r", "controller", 2000.0, 0, "{}"), (None, "c", "r", "c", "service", 1.0, 0, "{}")]
+    given = spans(spark, rows).repartition(3)
+    got = {r.trace_id: [s.name for s in r.spans] for r in traces.assemble_traces(given, [F.col("seq")]).collect()}
+    assert got == {"t": ["first", "second", "a", "c"], None: ["r", "c"]}  # spans that tie go by their own fields
+    assert set(values(traces.cap_spans(given, [F.col("seq")], 500, 1.0).groupBy("trace_id").count())) == {("t", 4), (None, 2)}
+    assert traces.cap_spans(given, [F.col("seq")], 500, 1.0).columns == given.columns
+
+
 def test_a_strict_trace_reduces_every_span(spark):
     rows = [
         ("t", "r", None, "GET /patients/42/notes", "controller", 5000.0, 0, "{}"),
