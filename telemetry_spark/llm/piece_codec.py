@@ -20,8 +20,8 @@ from __future__ import annotations
 
 import codecs
 import functools
+import gc
 import heapq
-import itertools
 import struct
 from collections.abc import Iterator
 
@@ -94,7 +94,9 @@ class Vocabulary:
             (self.ids[p[:i]] * self.symbols + self.ids[p[i:]], self.costs[p], own)
             for p, own in self.ids.items() for i in range(1, len(p)) if p[:i] in self.ids and p[i:] in self.ids
         )
-        keys, self.pair_costs, self.pair_ids = (np.array(c) for c in zip(*[*found, (-1, np.inf, 0)], strict=True))
+        keys, costs, own_ids = zip(*[*found, (-1, np.inf, 0)], strict=True)
+        # Scores are 32-bit numbers in the vocabulary's file already.
+        keys, self.pair_costs, self.pair_ids = np.array(keys), np.array(costs, np.float32), np.array(own_ids, np.int32)
         # Open addressing: each slot has the number of a pair, an empty one that of the last, which is none.
         self.shift = np.uint64(64 - max(4, (6 * len(keys)).bit_length()))
         slots = 1 << (64 - int(self.shift))
@@ -107,7 +109,7 @@ class Vocabulary:
             self.slot_keys[at[free]] = keys[left[free]]
             out = self.slot_pairs[at] != left
             left, at = left[out], (at[out] + 1) % slots
-        self.letters = np.arange(len(self.surfaces), self.symbols)
+        self.letters = np.arange(len(self.surfaces), self.symbols, dtype=np.int32)
         for piece, own in self.ids.items():
             if len(piece) == 1:
                 self.letters[ord(piece)] = own
@@ -119,7 +121,7 @@ class Vocabulary:
 
     def proposed(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Cost of merging pairs of symbols (infinite if they make no piece), and what they make."""
-        keys = left * self.symbols + right
+        keys = left * np.int64(self.symbols) + right
         at = self.slot(keys)
         there, pairs = self.slot_keys[at], self.slot_pairs[at]
         none = len(self.pair_costs) - 1
@@ -135,38 +137,51 @@ class Vocabulary:
             row = tuple(r[~found & (there >= 0)] for r in row)
         return self.pair_costs[pairs], self.pair_ids[pairs]
 
-    def merged_together(self, cuts: list[str]) -> dict[str, bytes]:
-        """Ids (as 32-bit integers) of cuts. Those of one length keep one length: each round merges the best pair of every row, and
-        rows without a pair are done."""
-        out = {}
-        for size, group in itertools.groupby(sorted(cuts, key=len), key=len):
-            names = np.array(list(group), object)
-            if size > SHORT_LETTERS:
-                out.update((n, self.packed(self.merged(n))) for n in names)
+    def merged_together(self, cuts: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Cuts, without the mark in front, and their ids (as 32-bit integers). Those of one length keep one length: each round merges
+        the best pair of every row, and rows without a pair are done."""
+        if not cuts:
+            return
+        sizes = np.fromiter(map(len, cuts), np.int64, len(cuts))
+        order = np.argsort(sizes, kind="stable")
+        sizes, bounds = np.unique(sizes[order], return_index=True)
+        for size, names in zip(sizes.tolist(), np.split(np.array(cuts, object)[order], bounds[1:]), strict=True):
+            if size >= SHORT_LETTERS:
+                yield from ((n, self.packed(self.merged(MARK + n))) for n in names)
                 continue
-            symbols = self.letters[np.array(names, f"<U{size}").view(np.uint32).reshape(len(names), size)]
-            cost, whole = self.proposed(symbols[:, :-1], symbols[:, 1:])
-            while len(names):
-                width, at = symbols.shape[1], cost.argmin(axis=1) if cost.shape[1] else np.zeros(len(names), np.int64)
-                rows = np.arange(len(names))
-                done = np.isinf(cost[rows, at]) if cost.shape[1] else np.ones(len(names), bool)
+            symbols = np.empty((len(names), size + 1), np.int32)
+            symbols[:, 0] = self.letters[ord(MARK)]
+            if size:
+                symbols[:, 1:] = self.letters[np.array(names, f"<U{size}").view(np.uint32).reshape(len(names), size)]
+            for done, ids in self.rows_merged(symbols):
+                yield from zip(names[done], ids, strict=True)
+
+    def rows_merged(self, symbols: np.ndarray) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+        """Numbers and ids of rows of symbols, all of one length, as they are done."""
+        number = np.arange(len(symbols))
+        cost, whole = self.proposed(symbols[:, :-1], symbols[:, 1:])
+        while len(number):
+            width, rows = symbols.shape[1], np.arange(len(number))
+            at = cost.argmin(axis=1) if width > 1 else np.zeros(len(number), np.int64)
+            done = np.isinf(cost[rows, at]) if width > 1 else np.ones(len(number), bool)
+            if done.any():
                 ready = symbols[done]
-                raw = ready.astype(np.int32).tobytes()
-                out.update(zip(names[done], (raw[i : i + width * 4] for i in range(0, len(raw), width * 4)), strict=True))
-                for name, row in zip(names[done], ready, strict=True) if (ready >= len(self.surfaces)).any() else ():
-                    out[name] = self.packed([i for symbol in row.tolist() for i in self.spelled(symbol)])
-                names, symbols, cost, whole, at = (x[~done] for x in (names, symbols, cost, whole, at))
-                if not len(names):
-                    break
-                rows, places = np.arange(len(names)), np.arange(width)
-                symbols[rows, at] = whole[rows, at]
-                symbols = symbols[places != at[:, None] + 1].reshape(len(names), width - 1)
-                left_over = places[:-1] != at[:, None]
-                cost, whole = (x[left_over].reshape(len(names), width - 2) for x in (cost, whole))
-                for changed, first in ((at < width - 2, at), (at > 0, at - 1)):
-                    row, place = rows[changed], first[changed]
-                    cost[row, place], whole[row, place] = self.proposed(symbols[row, place], symbols[row, place + 1])
-        return out
+                if (ready >= len(self.surfaces)).any():
+                    yield number[done], [self.packed([i for symbol in row for i in self.spelled(symbol)]) for row in ready.tolist()]
+                else:
+                    yield number[done], ready.view(f"V{width * 4}").ravel().tolist()
+                number, symbols, cost, whole, at = (x[~done] for x in (number, symbols, cost, whole, at))
+                rows = rows[: len(number)]
+            if not len(number):
+                break
+            places = np.arange(width)
+            symbols[rows, at] = whole[rows, at]
+            symbols = symbols[places != at[:, None] + 1].reshape(len(number), width - 1)
+            left_over = places[:-1] != at[:, None]
+            cost, whole = (x[left_over].reshape(len(number), width - 2) for x in (cost, whole))
+            after, before = np.nonzero(at < width - 2)[0], np.nonzero(at > 0)[0]
+            row, place = np.concatenate([after, before]), np.concatenate([at[after], at[before] - 1])
+            cost[row, place], whole[row, place] = self.proposed(symbols[row, place], symbols[row, place + 1])
 
     def spelled(self, symbol: int) -> list[int]:
         """A symbol's id, or the bytes of a letter that is no piece."""
@@ -233,26 +248,38 @@ class Encoder:
             return [c[1:] for c in CUT.findall(MARK + marked)]
         return marked.split(MARK)
 
-    def learn(self, cuts: set[str]) -> dict[str, bytes]:
-        """Have the ids of all these cuts at hand; those too long to be remembered are returned."""
-        new = cuts.difference(self.known)
+    def learn(self, new: set[str]) -> dict[str, bytes]:
+        """The ids of cuts that are not remembered yet. Those short enough are remembered from now on."""
         if len(self.known) + len(new) > self.limit:
-            self.before, self.known, new = self.known, {}, cuts
-        again = {c: self.before[c] for c in new if c in self.before}
-        found = self.vocabulary.merged_together([MARK + c for c in new if c not in again])
-        self.known |= again
-        self.known |= {c[1:]: ids for c, ids in found.items() if len(c) <= SHORT_LETTERS}
-        return {c[1:]: ids for c, ids in found.items() if len(c) > SHORT_LETTERS}
+            self.before, self.known = self.known, {}
+        found = {c: self.before[c] for c in new if c in self.before}
+        found.update(self.vocabulary.merged_together([c for c in new if c not in found]))
+        self.known.update(found)
+        for c in [c for c in found if len(c) >= SHORT_LETTERS]:
+            del self.known[c]
+        return found
 
     def of_all(self, texts: list[str]) -> list[np.ndarray]:
         if not self.vocabulary.cut:
             return [np.array(self.vocabulary.merged(self.vocabulary.prefix + t.replace(" ", MARK)) if t else [], np.int32) for t in texts]
-        each = [self.cuts(t) if t else [] for t in texts]
-        long = self.learn(set().union(*each))
-        known = self.known
-        if long:
-            return [np.frombuffer(b"".join([known[c] if c in known else long[c] for c in own]), np.int32) for own in each]
-        return [np.frombuffer(b"".join([known[c] for c in own]), np.int32) for own in each]
+        # Long lists of texts and no cycles: the collector would walk them again and again.
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            return self.looked_up([self.cuts(t) if t else [] for t in texts])
+        finally:
+            if collects:
+                gc.enable()
+
+    def looked_up(self, each: list[list[str]]) -> list[np.ndarray]:
+        """Ids of texts given as their cuts. Every cut is looked up once, and learned only if it is not remembered."""
+        ids = [list(map(self.known.get, own)) for own in each]
+        new = [[k for k, i in enumerate(known) if i is None] if None in known else [] for known in ids]
+        found = self.learn({own[k] for own, places in zip(each, new, strict=True) for k in places})
+        for own, known, places in zip(each, ids, new, strict=True):
+            for k in places:
+                known[k] = found[own[k]]
+        return [np.frombuffer(b"".join(known), np.int32) for known in ids]
 
     def lots(self, texts: Iterator[str]) -> Iterator[tuple[str, np.ndarray]]:
         """Texts with their ids, encoded a lot at a time."""

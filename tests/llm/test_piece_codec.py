@@ -60,6 +60,17 @@ def test_the_memory_of_cuts_is_bounded(known, library):
         assert encoder.ids(text).tolist() == library.encode(text) and len(encoder.known) <= 60 and len(encoder.before) <= 60
 
 
+def test_only_cuts_that_are_not_remembered_are_learned(known, library):
+    encoder, asked = piece_codec.Encoder(known), []
+    learn = encoder.learn
+    encoder.learn = lambda cuts: asked.append(set(cuts)) or learn(cuts)
+    texts = ["one two two three", "three  four one " + "long" * 20, "long" * 20 + " four"]
+    for text in texts:
+        assert encoder.ids(text).tolist() == library.encode(text)
+    assert asked == [{"one", "two", "three"}, {"▁four", "long" * 20}, {"long" * 20, "four"}]
+    assert [i.tolist() for i in piece_codec.Encoder(known, limit=2).of_all(texts)] == library.encode(texts)
+
+
 def test_long_texts_take_time_in_proportion(known):
     import time
 
