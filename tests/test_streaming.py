@@ -3,6 +3,7 @@
 import os
 import time
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from telemetry_spark.operators.performance import performance_samples
 from telemetry_spark.streaming import runs, state
 from telemetry_spark.streaming.flush import MetricFlusher
 from telemetry_spark.streaming.windows import stream_changes, stream_performance
+from workload.streams import QUERIES
 
 
 @pytest.fixture
@@ -121,6 +123,39 @@ def test_a_trace_waits_for_its_root(spark, stream, scratch):
     assert got["big"][0] == 500 and got["big"][2] == [f"big{i}" for i in range(1, 500)]
 
 
+def test_a_trace_without_a_limit_keeps_all_its_spans(spark, stream, scratch):
+    schema = "trace_id string, seq bigint, is_root boolean, duration_ms double, span string"
+
+    def span(trace, seq, root=False):
+        return (trace, seq, root, 5000.0, f"{trace}{seq}")
+
+    batches = [[span("big", i) for i in range(1, 30)], [span("big", i) for i in range(30, 1300)], [span("big", i) for i in range(1300, 1310)],
+               [span("big", 1310, True), span("big", 1311), span("open", 1), span("open", 2)]]
+    assembled = state.keyed(timed(stream(schema, batches)), "trace_id", state.TraceAssembler(limit=None), "1 hour")
+    found = flushed(spark, assembled, scratch)
+    assert [(r.trace_id, r.spans, r.root) for r in found] == [("big", 1310, "big1310")]
+    assert list(found[0].rest) == [f"big{i}" for i in range(1, 1310)]
+
+
+def test_long_traces_go_out_in_frames_of_their_own(monkeypatch):
+    monkeypatch.setattr(state, "SENT_SPANS", 10)
+    rows = [("a", ["s"] * 12), ("b", None), ("c", ["s"] * 4), ("d", ["s"] * 6), ("e", [])]
+    assert [list(f["t"]) for f in state._frames(iter(rows), ["t", "rest"], 1)] == [["a"], ["b", "c", "d"], ["e"]]
+    assert [len(f) for f in state._frames(iter(rows), ["t", "rest"])] == [5]
+
+
+def test_the_traces_query_sends_every_span_before_the_root(spark, scratch):
+    os.makedirs(f"{scratch}/sf")
+    rows = [(i, f"2024-01-0{1 + i // 4} 00:00:0{i}", 1, "purchase" if i == 9 else "view", 30.0, "{}") for i in range(10)]
+    events = spark.createDataFrame(rows, "event_id bigint, ts string, user_id bigint, event_type string, value double, props string")
+    events.withColumn("ts", F.col("ts").cast("timestamp_ntz")).coalesce(1).write.parquet(f"{scratch}/sf/events.parquet")
+    query, sql = QUERIES["streamed_traces"]
+    assert [tuple(r) for r in query(spark, f"{scratch}/sf").collect()] == [("0", 10, "9", "0,1,2,3,4,5,6,7,8")]
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW events AS SELECT * FROM '{scratch}/sf/events.parquet/*.parquet'")
+        assert con.execute(sql).fetchall() == [("0", 10, "9", "0,1,2,3,4,5,6,7,8")]
+
+
 def test_a_queue_admits_while_there_is_room(spark, stream, scratch):
     schema = "source string, seq bigint, trace_id string, delta int"
     batches = [[("s", i, f"t{i}", 1) for i in range(3)], [("s", 3, "t3", 1), ("s", 4, "t0", -1), ("s", 5, "t5", 1)]]
