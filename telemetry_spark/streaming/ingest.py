@@ -14,6 +14,10 @@ from telemetry_spark.sources.reports import CORRUPT, complete_signal_reports, cr
 
 #: Reports are JSON documents and raw signal reports; other files are not looked at.
 REPORTS = "*.{json,txt}"
+#: Files are read as bytes. As whole texts each of them would cost a task a set-up of its own, several times as long as the reading.
+#: A task reads so many small files at least, where there are no cores left without one: by Spark's own measure a task would have some thirty.
+TASK_FILES = 200
+FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def report_files(spark: SparkSession, path: str, archive: str | None = None, files_per_trigger: int = 1000) -> DataFrame:
@@ -22,12 +26,13 @@ def report_files(spark: SparkSession, path: str, archive: str | None = None, fil
     The stream's checkpoint says which files were read. With an ``archive`` outside of the folder, files go there once the
     batch that read them is committed and the next one begins, so that a folder that fills for ever stays small.
     """
-    reader = spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", REPORTS)
+    reader = spark.readStream.format("binaryFile").schema(FILE).option("pathGlobFilter", REPORTS)
     reader = reader.option("recursiveFileLookup", True).option("maxFilesPerTrigger", files_per_trigger)
     if archive is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    return reader.load(path).select(
-        "value", F.col("_metadata.file_path").alias("payload_id"), F.col("_metadata.file_name").alias("name"),
+    tasks = max(spark.sparkContext.defaultParallelism, -(-files_per_trigger // TASK_FILES))
+    return reader.load(path).coalesce(tasks).select(
+        F.col("content").cast("string").alias("value"), F.col("_metadata.file_path").alias("payload_id"), F.col("_metadata.file_name").alias("name"),
         F.col("_metadata.file_modification_time").alias("created_at"),
     )
 

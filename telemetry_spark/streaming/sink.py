@@ -40,6 +40,13 @@ class Part(WriterCommitMessage):
     dropped: int = 0
 
 
+def folder_at(path: str) -> tuple[fs.FileSystem, str]:
+    """A folder as pyarrow opens it: its file system, and its path there."""
+    # "file:/a" is how Hadoop writes a local path.
+    uri = path.replace("file:/", "/", 1) if path.startswith("file:/") and not path.startswith("file://") else path
+    return fs.FileSystem.from_uri(uri)
+
+
 class Receiver:
     """Where bodies go. Copies of it work in tasks, so it holds settings only."""
 
@@ -63,9 +70,7 @@ class FolderReceiver(Receiver):
         self.path = path.rstrip("/")
 
     def _open(self, *names: str) -> tuple[fs.FileSystem, str]:
-        # "file:/a" is how Hadoop writes a local path.
-        uri = self.path.replace("file:/", "/", 1) if self.path.startswith("file:/") and not self.path.startswith("file://") else self.path
-        system, root = fs.FileSystem.from_uri(uri)
+        system, root = folder_at(self.path)
         return system, "/".join([root, *names])
 
     def _put(self, folder: str, name: str, write) -> None:

@@ -3,12 +3,14 @@
 import json
 import os
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from telemetry_spark.config import Config
 from telemetry_spark.sources.reports import CORRUPT, is_json_object
 from telemetry_spark.streaming import ingest, runs
+from workload import streams
 
 DSN = "https://key@tracker.example.com/api/v1/events"
 
@@ -81,6 +83,58 @@ def test_strict_and_silent_projects(spark, scratch, folder):
     assert strict.message is None or "12" not in strict.message
 
 
+def test_files_are_read_byte_by_byte(spark, scratch, folder):
+    texts = {"bom.json": b"\xef\xbb\xbf{}", "cut.json": b"{\"a\": \"\xff\xfe\"}", "lines.txt": b"a\r\nb\n\n", "a-b.c.json": b"{}\n",
+             "zero.txt": b"a\x00b", "wide.json": "{\"é\": \"日本\"}".encode()}
+    for name, text in [*texts.items(), ("empty.json", b"")]:  # Spark passes over files of no length
+        with open(f"{scratch}/in/{name}", "wb") as f:
+            f.write(text)
+    files = ingest.report_files(spark, f"{scratch}/in").withColumn("bytes", F.hex("value"))
+    schema = files.schema
+    runs.flush_now(files, f"{scratch}/out", f"{scratch}/checkpoint")
+    found = spark.read.schema(schema).parquet(f"{scratch}/out")
+    assert {r.name: bytes.fromhex(r.bytes) for r in found.collect()} == texts
+    whole = spark.read.text(f"{scratch}/in", wholetext=True, pathGlobFilter=ingest.REPORTS).select("value", F.col("_metadata.file_path").alias("payload_id"))
+    assert found.select("value", "payload_id").exceptAll(whole).count() == 0 == whole.exceptAll(found.select("value", "payload_id")).count()
+
+
+def test_many_small_files_are_read_by_few_tasks_and_moved_by_several_threads(spark, scratch, folder):
+    for i in range(300):
+        folder(f"{i}.json", json.dumps({"message": f"m{i}"}))
+    found = taken(spark, scratch, Config(dsn=DSN), f"{scratch}/archive")
+    assert {r.message for r in found.collect()} == {f"m{i}" for i in range(300)} and found.count() == 300
+    written = [f for f in os.listdir(f"{scratch}/out") if f.endswith(".parquet")]
+    assert len(written) <= max(spark.sparkContext.defaultParallelism, 5)
+    assert int(spark.conf.get("spark.sql.streaming.fileSource.cleaner.numThreads")) > 1
+    assert int(spark.conf.get("spark.sql.streaming.fileSource.log.compactInterval")) >= 100
+
+
+def test_report_files_are_written_as_they_are_a_thousand_to_a_folder(spark, scratch, monkeypatch):
+    monkeypatch.setattr(streams, "FOLDER_FILES", 3)
+    rows = [(f"u={i}.json", f'{{"é": {i}}}\n') for i in range(20)]
+    streams.write_files(spark.createDataFrame(rows, "name string, text string").coalesce(2), f"{scratch}/written")
+    found, most = {}, 0
+    for at, _, names in os.walk(f"{scratch}/written"):
+        most = max(most, len(names))
+        for name in names:
+            with open(f"{at}/{name}", "rb") as f:
+                found[name] = f.read().decode()
+    assert found == dict(rows) and most <= 3
+
+
+def test_the_reports_query_leaves_a_file_for_each_user(spark, scratch):
+    os.makedirs(f"{scratch}/sf")
+    rows = [(i, "2024-01-01 00:00:00", i % 31, "error" if i % 2 else "view", 1.0, "{}") for i in range(200)]
+    events = spark.createDataFrame(rows, "event_id bigint, ts string, user_id bigint, event_type string, value double, props string")
+    events.withColumn("ts", F.col("ts").cast("timestamp_ntz")).coalesce(1).write.parquet(f"{scratch}/sf/events.parquet")
+    query, sql = streams.QUERIES["ingested_reports"]
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW events AS SELECT * FROM '{scratch}/sf/events.parquet/*.parquet'")
+        want = con.execute(sql).fetchall()
+    got = [tuple(r) for r in query(spark, f"{scratch}/sf").collect()]
+    assert len(got) == 31 and sorted(map(repr, got)) == sorted(map(repr, want))
+
+
 def test_files_are_listed_by_as_many_tasks_as_can_run(spark):
     runs.prepare(spark)
     tasks = int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism"))
