@@ -15,9 +15,9 @@ from telemetry_spark.sources.reports import CORRUPT, complete_signal_reports, cr
 #: Reports are JSON documents and raw signal reports; other files are not looked at.
 REPORTS = "*.{json,txt}"
 #: Files are read as bytes. As whole texts each of them would cost a task a set-up of its own, several times as long as the reading.
-#: A task reads so many small files at least, where there are no cores left without one: by Spark's own measure a task would have some thirty.
-TASK_FILES = 200
 FILE = "path string, modificationTime timestamp, length bigint, content binary"
+#: A batch has a task per core, or for so many files if that makes more; by Spark's own measure some thirty small files would make a task.
+TASK_FILES = 200
 
 
 def report_files(spark: SparkSession, path: str, archive: str | None = None, files_per_trigger: int = 1000) -> DataFrame:
